@@ -53,6 +53,24 @@ def match_running(
     otherwise among those with ``since >= at`` the least. `inclusive=False`
     excludes equality. Rows with a null key or time match nothing.
     """
+    hits = _running_hits(left, right, on, at, since, best, take, [F.lit(True)], backward, inclusive, bucket)
+    return hits.select(*left.columns, *[F.col("_hit0")[target].alias(target) for target in take])
+
+
+def _running_hits(
+    left: DataFrame,
+    right: DataFrame,
+    on: Keys,
+    at: str,
+    since: str,
+    best: Sequence[str | Column],
+    take: Mapping[str, str | Column],
+    lanes: Sequence[Column],
+    backward: bool,
+    inclusive: bool,
+    bucket: str | int,
+) -> DataFrame:
+    """Left rows with one struct column ``_hit{i}`` per lane (a condition on right rows)."""
     pairs = _pairs(on)
     candidate = F.struct(
         *[as_column(b).alias(f"b{i}") for i, b in enumerate(best)],
@@ -75,28 +93,31 @@ def match_running(
         F.col(since).alias("_t"),
         F.lit(right_side).alias("_side"),
         F.lit(False).alias("_isleft"),
-        candidate.alias("_best"),
+        *[F.when(lane, candidate).alias(f"_best{i}") for i, lane in enumerate(lanes)],
     )
+    n = range(len(lanes))
     line = lhs.unionByName(rhs, allowMissingColumns=True)
     keyless = F.col("_t").isNull()
     for i in range(len(pairs)):
         keyless = keyless | F.col(f"{GROUP}.k{i}").isNull()
-    line = line.withColumn("_keyless", keyless).withColumn(
-        BUCKET,
-        F.when(F.col("_keyless"), F.col("_spread")).otherwise(
-            bucket_of(F.col("_t"), line.schema["_t"].dataType, bucket)
-        ),
-    )
+    slot = bucket_of(F.col("_t"), line.schema["_t"].dataType, bucket)
+    # Edges need only keys and times, so this pass reads no other left column.
     pick = F.max if backward else F.min
-    by_bucket = Window.partitionBy(GROUP).orderBy(F.col(BUCKET).asc() if backward else F.col(BUCKET).desc())
+    by_bucket = (
+        Window.partitionBy(GROUP)
+        .orderBy(F.col(BUCKET).asc() if backward else F.col(BUCKET).desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     edges = (
-        line.groupBy(GROUP, BUCKET)
-        .agg(pick("_best").alias("_edge"))
-        .select(
-            GROUP,
-            BUCKET,
-            pick("_edge").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        )
+        line.where(~keyless)
+        .groupBy(GROUP, slot.alias(BUCKET))
+        .agg(*[pick(f"_best{i}").alias(f"_edge{i}") for i in n])
+        .select(GROUP, BUCKET, *[pick(f"_edge{i}").over(by_bucket).alias(f"_carry{i}") for i in n])
+        .where(" OR ".join(f"_carry{i} IS NOT NULL" for i in n))
+    )
+    # Rows that can match nothing are spread out instead of gathering under one null key.
+    line = line.withColumn("_keyless", keyless).withColumn(
+        BUCKET, F.when(F.col("_keyless"), F.col("_spread")).otherwise(slot)
     )
     in_bucket = (
         Window.partitionBy(GROUP, BUCKET)
@@ -104,18 +125,17 @@ def match_running(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = (
-        line.withColumn("_run", pick("_best").over(in_bucket))
+        line.withColumns({f"_run{i}": pick(f"_best{i}").over(in_bucket) for i in n})
         .where("_isleft")
-        .join(edges, [GROUP, BUCKET])
-        .withColumn(
-            "_hit",
-            F.when(
-                ~F.col("_keyless"),
-                _better(F.col("_run"), F.col("_carry"), backward),
-            ),
-        )
+        .join(edges, [GROUP, BUCKET], "left")
+    )
+    return matched.select(
+        *left.columns,
+        *[
+            F.when(~F.col("_keyless"), _better(F.col(f"_run{i}"), F.col(f"_carry{i}"), backward)).alias(f"_hit{i}")
+            for i in n
+        ],
     )
-    return matched.select(*left.columns, *[F.col("_hit")[target].alias(target) for target in take])
 
 
 def _better(one: Column, other: Column, greatest: bool) -> Column:
@@ -156,21 +176,28 @@ def interval_join(
     take: Mapping[str, str | Column],
     closed: str = "left",
     tie: Sequence[str | Column] = (),
+    prefer: Sequence[Column] | None = None,
     bucket: str | int = DEFAULT_BUCKET,
 ) -> DataFrame:
-    """Point-in-time lookup: the interval holding `at`, latest end (then start) first.
+    """Point-in-time lookup: the interval holding `at`, latest end (then `tie`, then start) first.
 
     Exact for overlapping intervals too: of all intervals begun by `at`, the one
     ending last is the winner if it is still open, and none is open otherwise.
+    `prefer` lists disjoint conditions on right rows; a hit of an earlier one wins.
     """
     if closed not in ("left", "both"):
         raise ValueError(closed)
-    hit = match_running(
-        left, right, on, at=at, since=start, best=[end, start, *tie],
-        take={**take, "_until": end}, bucket=bucket,
+    lanes = list(prefer) if prefer else [F.lit(True)]
+    hits = _running_hits(
+        left, right, on, at, start, [end, *tie, start], {**take, "_until": end}, lanes, True, True, bucket
+    )
+    open_hits = []
+    for i in range(len(lanes)):
+        until = F.col(f"_hit{i}")["_until"]
+        open_hits.append(F.when(F.col(at) < until if closed == "left" else F.col(at) <= until, F.col(f"_hit{i}")))
+    return hits.withColumn("_hit", F.coalesce(*open_hits)).select(
+        *left.columns, *[F.col("_hit")[target].alias(target) for target in take]
     )
-    valid = F.col(at) < F.col("_until") if closed == "left" else F.col(at) <= F.col("_until")
-    return hit.select(*left.columns, *[F.when(valid, F.col(c)).alias(c) for c in take])
 
 
 def containing_join(

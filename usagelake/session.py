@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,29 +38,37 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A
-    temporary folder is used only under a local master, where driver and
-    executors share the machine.
+    A temporary folder is used only where none is named and the master is local,
+    so that driver and executors share the machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="usagelake-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="usagelake-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut lineage by writing a table to the shared folder and reading it back.
+
+    Survives lost executors, is computed once, and gives later steps real sizes
+    and column pruning.
+    """
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; grows with the input and is never a row sample."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -113,7 +113,7 @@ def duplicate_flags(
     }
     numbered = df
     for name, keys in counters.items():
-        numbered = number_in_group(numbered, keys, order, name, bucket=bucket)
+        numbered = number_in_group(numbered, keys, order, name, bucket=bucket, skeleton=df)
     first_use = (F.col("seq_cycle") == 1) & (F.col("seq_cycle_date_device") == 1)
 
     def flag(good: Column) -> Column:

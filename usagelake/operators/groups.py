@@ -5,6 +5,10 @@ group is first cut into order-preserving buckets (a day, an hour, a block of
 numbers). Rows are windowed per (group, bucket) and each bucket is reduced to
 one edge row; a second, small window over the edge rows carries values across
 bucket borders. Results equal the plain window, no task holds a whole hot group.
+
+The edge pass reads its input a second time (only keys and order). When such
+operators are chained, pass the unjoined input as `skeleton` or settle the
+frame in between, so that passes add up instead of multiplying.
 """
 
 from __future__ import annotations
@@ -71,12 +75,18 @@ def with_neighbours(
     *,
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
+    number: str | None = None,
+    number_from_end: str | None = None,
     bucket: str | int,
 ) -> DataFrame:
-    """lag(1)/lead(1) per group: ``previous={"prev_end": "end_ts"}`` adds the prior row's value."""
+    """lag(1), lead(1) and row numbers per group in one pass.
+
+    ``previous={"prev_end": "end_ts"}`` adds the prior row's value; `number` counts
+    from the first row, `number_from_end` from the last.
+    """
     previous, following = dict(previous or {}), dict(following or {})
     base = split_groups(df, keys, order, bucket)
-    rows, edge_aggs, carried = base, [], []
+    rows, edge_aggs, carried = base, [F.count(F.lit(1)).alias("_n")], []
     for name, wanted, shift in (("_p", previous, F.lag), ("_f", following, F.lead)):
         if not wanted:
             continue
@@ -85,6 +95,11 @@ def with_neighbours(
         pick = F.max_by if shift is F.lag else F.min_by
         edge_aggs.append(pick(payload, F.col(ORDER)).alias(name))
         carried.append(shift(F.col(name)).over(_across()).alias(f"{name}c"))
+    if number or number_from_end:
+        rows = rows.withColumn("_rn", F.row_number().over(_inside()))
+        before = F.sum("_n").over(_across().rowsBetween(Window.unboundedPreceding, -1))
+        after = F.sum("_n").over(_across().rowsBetween(1, Window.unboundedFollowing))
+        carried += [F.coalesce(before, F.lit(0)).alias("_before"), F.coalesce(after, F.lit(0)).alias("_after"), "_n"]
     edges = base.groupBy(GROUP, BUCKET).agg(*edge_aggs).select(GROUP, BUCKET, *carried)
     joined = rows.join(edges, [GROUP, BUCKET])
     added = [
@@ -92,8 +107,12 @@ def with_neighbours(
         for name, wanted in (("_p", previous), ("_f", following))
         for target in wanted
     ]
-    kept = [c for c in df.columns if c not in previous and c not in following]
-    return joined.select(*kept, *added)
+    if number:
+        added.append((F.col("_before") + F.col("_rn")).cast("long").alias(number))
+    if number_from_end:
+        added.append((F.col("_after") + F.col("_n") - F.col("_rn") + 1).cast("long").alias(number_from_end))
+    replaced = {*previous, *following, number, number_from_end}
+    return joined.select(*[c for c in df.columns if c not in replaced], *added)
 
 
 def number_in_group(
@@ -104,13 +123,21 @@ def number_in_group(
     *,
     bucket: str | int,
     start: int = 0,
+    skeleton: DataFrame | None = None,
 ) -> DataFrame:
-    """``row_number()`` per group (all rows when `keys` is empty), plus `start`."""
-    base = split_groups(df, keys, order, bucket) if keys else split_groups(
-        df.withColumn("_all", F.lit(0)), ["_all"], order, bucket
-    )
+    """``row_number()`` per group (all rows when `keys` is empty), plus `start`.
+
+    `skeleton` is a cheaper frame with the same keys and order (such as `df`
+    before other joins); the counting pass reads that instead.
+    """
+    if not keys:
+        df = df.withColumn("_all", F.lit(0))
+        skeleton = skeleton.withColumn("_all", F.lit(0)) if skeleton is not None else None
+        keys = ["_all"]
+    base = split_groups(df, keys, order, bucket)
+    counted = split_groups(skeleton, keys, order, bucket) if skeleton is not None else base
     offsets = (
-        base.groupBy(GROUP, BUCKET)
+        counted.groupBy(GROUP, BUCKET)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             GROUP,
@@ -120,10 +147,11 @@ def number_in_group(
             ).alias("_before"),
         )
     )
+    kept = [c for c in df.columns if c not in ("_all", name)]
     return (
         base.withColumn("_rn", F.row_number().over(_inside()))
         .join(offsets, [GROUP, BUCKET])
-        .select(*df.columns, (F.col("_before") + F.col("_rn") + F.lit(start)).cast("long").alias(name))
+        .select(*kept, (F.col("_before") + F.col("_rn") + F.lit(start)).cast("long").alias(name))
     )
 
 

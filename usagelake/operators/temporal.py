@@ -46,14 +46,16 @@ def match_running(
     backward: bool = True,
     inclusive: bool = True,
     bucket: str | int = DEFAULT_BUCKET,
+    skeleton: DataFrame | None = None,
 ) -> DataFrame:
     """Left rows plus the `take` columns of one right row each (nulls where none).
 
     backward: among right rows with ``since <= at`` the greatest `best`;
     otherwise among those with ``since >= at`` the least. `inclusive=False`
-    excludes equality. Rows with a null key or time match nothing.
+    excludes equality. Rows with a null key or time match nothing. `skeleton`
+    is a cheaper frame with the keys and times of `left`, for the edge pass.
     """
-    hits = _running_hits(left, right, on, at, since, best, take, [F.lit(True)], backward, inclusive, bucket)
+    hits = _running_hits(left, right, on, at, since, best, take, [F.lit(True)], backward, inclusive, bucket, skeleton)
     return hits.select(*left.columns, *[F.col("_hit0")[target].alias(target) for target in take])
 
 
@@ -69,6 +71,7 @@ def _running_hits(
     backward: bool,
     inclusive: bool,
     bucket: str | int,
+    skeleton: DataFrame | None = None,
 ) -> DataFrame:
     """Left rows with one struct column ``_hit{i}`` per lane (a condition on right rows)."""
     pairs = _pairs(on)
@@ -108,8 +111,13 @@ def _running_hits(
         .orderBy(F.col(BUCKET).asc() if backward else F.col(BUCKET).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    bones = line
+    if skeleton is not None:
+        bones = skeleton.select(
+            F.struct(*[F.col(k).alias(f"k{i}") for i, (k, _) in enumerate(pairs)]).alias(GROUP), F.col(at).alias("_t")
+        ).unionByName(rhs.drop("_side", "_isleft"), allowMissingColumns=True)
     edges = (
-        line.where(~keyless)
+        bones.where(~keyless)
         .groupBy(GROUP, slot.alias(BUCKET))
         .agg(*[pick(f"_best{i}").alias(f"_edge{i}") for i in n])
         .select(GROUP, BUCKET, *[pick(f"_edge{i}").over(by_bucket).alias(f"_carry{i}") for i in n])
@@ -155,13 +163,14 @@ def asof_join(
     inclusive: bool = True,
     tie: Sequence[str | Column] = (),
     bucket: str | int = DEFAULT_BUCKET,
+    skeleton: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest right row before ('previous') or after ('next') each left row."""
     if direction not in ("previous", "next"):
         raise ValueError(direction)
     return match_running(
         left, right, on, at=at, since=time, best=[time, *tie], take=take,
-        backward=direction == "previous", inclusive=inclusive, bucket=bucket,
+        backward=direction == "previous", inclusive=inclusive, bucket=bucket, skeleton=skeleton,
     )
 
 
@@ -178,6 +187,7 @@ def interval_join(
     tie: Sequence[str | Column] = (),
     prefer: Sequence[Column] | None = None,
     bucket: str | int = DEFAULT_BUCKET,
+    skeleton: DataFrame | None = None,
 ) -> DataFrame:
     """Point-in-time lookup: the interval holding `at`, latest end (then `tie`, then start) first.
 
@@ -189,7 +199,7 @@ def interval_join(
         raise ValueError(closed)
     lanes = list(prefer) if prefer else [F.lit(True)]
     hits = _running_hits(
-        left, right, on, at, start, [end, *tie, start], {**take, "_until": end}, lanes, True, True, bucket
+        left, right, on, at, start, [end, *tie, start], {**take, "_until": end}, lanes, True, True, bucket, skeleton
     )
     open_hits = []
     for i in range(len(lanes)):
@@ -319,18 +329,13 @@ def scd2_from_changes(
 
     `order` runs from oldest to newest, its first column a date, timestamp or number.
     """
-    closed = with_neighbours(df, [key], order, following={"_next_start": start}, bucket=bucket)
-    out = closed.withColumn(
-        end, F.coalesce(F.col("_next_start"), F.lit(open_end).cast(df.schema[start].dataType))
-    ).drop("_next_start")
-    if not with_load_order:
-        return out
-    # 1 = newest, as load order numbers count back from the newest change.
-    totals = df.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
-    numbered = number_in_group(out, [key], order, "_nth", bucket=bucket)
-    return numbered.join(totals, key).select(
-        *out.columns, (F.col("_total") - F.col("_nth") + 1).alias("load_order")
+    closed = with_neighbours(
+        df, [key], order, following={"_next_start": start}, bucket=bucket,
+        # Load order numbers count back from the newest change (1 = newest).
+        number_from_end="load_order" if with_load_order else None,
     )
+    bound = F.coalesce(F.col("_next_start"), F.lit(open_end).cast(df.schema[start].dataType))
+    return closed.withColumn(end, bound).drop("_next_start")
 
 
 def previous_end(

@@ -267,7 +267,10 @@ def _packed(df: DataFrame, take: Sequence[str], name: str) -> DataFrame:
     return df.select(*kept, F.struct(*[F.col(c) for c in take]).alias(name))
 
 
-def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type: str, as_of: date) -> DataFrame:
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type: str, as_of: date, cut: Cut = settle) -> DataFrame:
     """Each visit with the subscription it falls in, or in the gap before one.
 
     Consumer rule: any account. Consumer-account rule: the same account, or another
@@ -276,8 +279,10 @@ def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type:
     recent = _current(subscriptions).where(F.col("sub_end") >= F.lit(as_of - timedelta(days=LOOKBACK_DAYS)))
     recent = recent.withColumn("pilot_flag", F.coalesce("pilot_flag", F.lit("N")))
     lag_keys = ["consumer_id"] if rule_type == RULE_CONSUMER else ["account_uuid", "consumer_id"]
-    ranged = previous_end(
-        recent, lag_keys, start="sub_start", end="sub_end", gap_days=SUBSCRIPTION_DAYS, tie=["sub_start", "subscription_uuid"]
+    ranged = cut(
+        previous_end(
+            recent, lag_keys, start="sub_start", end="sub_end", gap_days=SUBSCRIPTION_DAYS, tie=["sub_start", "subscription_uuid"]
+        )
     )
     not_pilot = F.when(F.col("pilot_flag") == "Y", 0).otherwise(1)
     common = {"at": "cycle_date", "start": "previous_end", "end": "sub_end", "closed": "both", "bucket": BUCKET, "take": _SUB}
@@ -291,7 +296,7 @@ def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type:
         )
         both = interval_join(
             _packed(same, names, "c0"), ranged, ["consumer_id", "promotion_uuid", "sold_to"],
-            tie=["subscription_uuid"], prefer=lanes, **common,
+            tie=["subscription_uuid"], prefer=lanes, skeleton=visits, **common,
         )
         both = _packed(both, names, "c1")
         rank = [
@@ -308,9 +313,9 @@ def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type:
     return matched.withColumn("exception_flag", F.coalesce("exception_flag", F.lit("N")))
 
 
-def flag_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock) -> DataFrame:
+def flag_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Match, add the last invoice date and evaluate the visit flags."""
-    matched = match_subscriptions(visits, state.subscriptions, rule_type, clock.today)
+    matched = match_subscriptions(visits, state.subscriptions, rule_type, clock.today, cut)
     dated = matched.join(small(last_invoice_dates(ref.invoices)), "promotion_uuid", "left")
     return R.apply_rules(dated, ref.rules, R.CYCLE, promotions=ref.active_promotions, as_of=clock.today)
 
@@ -338,7 +343,7 @@ def _new_subscriptions(df: DataFrame, clock: Clock, who: str) -> DataFrame:
     )
 
 
-def open_subscriptions(subscriptions: DataFrame, visits: DataFrame, ref: Reference, rule_type: str, clock: Clock) -> DataFrame:
+def open_subscriptions(subscriptions: DataFrame, visits: DataFrame, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Open one subscription per group at its first unmatched visit, unless one already covers that day."""
     group = ["consumer_id", "promotion_uuid"] + (["sold_to"] if rule_type == RULE_CONSUMER_ACCOUNT else [])
     unmatched = visits.where("is_new = 1 AND is_adjust = 0 AND is_per_cycle = 0")
@@ -348,7 +353,7 @@ def open_subscriptions(subscriptions: DataFrame, visits: DataFrame, ref: Referen
     )
     fresh = R.apply_rules(first, ref.rules, R.SUBSCRIBE, promotions=ref.active_promotions, as_of=clock.today)
     fresh = fresh.withColumns({"previous_uuid": F.lit(None).cast("string"), "comments": F.col("sub_comments"), "pilot_flag": F.lit(None).cast("string")})
-    fresh = _new_subscriptions(fresh, clock, "subscription_live")
+    fresh = cut(_new_subscriptions(fresh, clock, "subscription_live"))
     current = _current(subscriptions)
     seen = {"_seen": "subscription_uuid"}
     common = {"at": "new_start", "start": "sub_start", "end": "sub_end", "closed": "both", "take": seen, "bucket": BUCKET}
@@ -392,7 +397,7 @@ def _covering(details: DataFrame, subscriptions: DataFrame, rule_type: str, take
         details.withColumnRenamed("subscription_uuid", "_own"), current, ["consumer_id", "promotion_uuid", "account_uuid"], take=inner, **common
     )
     both = interval_join(
-        _packed(by_account, list(inner), "c0"), current, ["consumer_id", "promotion_uuid", "sold_to"], take=inner, **common
+        _packed(by_account, list(inner), "c0"), current, ["consumer_id", "promotion_uuid", "sold_to"], take=inner, skeleton=details, **common
     )
     rank = [F.struct(F.col(c)["_e"].alias("e"), F.col(c)["subscription_uuid"].alias("u")) for c in ("c0", "c1")]
     best = _best_of(_packed(both, list(inner), "c1"), list(take), rank)
@@ -472,9 +477,9 @@ def number_visits(visits: DataFrame) -> DataFrame:
     )
 
 
-def classify_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock) -> DataFrame:
+def classify_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Visits with subscription, amount billed so far, visit order, class and comment."""
-    current = _current(state.subscriptions).join(billed_to_date(state.details), "subscription_uuid", "left")
+    current = cut(_current(state.subscriptions).join(billed_to_date(state.details), "subscription_uuid", "left"))
     take = {
         "subscription_uuid": "subscription_uuid", "billed": "billed", "sub_start": "sub_start",
         "pilot_flag": "pilot_flag", "sub_comments": "comments", "sub_account_uuid": "account_uuid",
@@ -500,17 +505,17 @@ def classify_visits(visits: DataFrame, state: State, ref: Reference, rule_type:
         ).drop("_o_uuid", "_o_billed", "_o_start", "_o_end", "_o_pilot", "_o_account")
     else:
         matched = matched.withColumn("sub_account_uuid", F.col("account_uuid"))
-    numbered = number_visits(matched.withColumn("billed_amount", F.coalesce("billed", F.lit(0)).cast("decimal(28,2)")).drop("billed"))
+    numbered = number_visits(cut(matched.withColumn("billed_amount", F.coalesce("billed", F.lit(0)).cast("decimal(28,2)")).drop("billed")))
     return R.apply_rules(numbered, ref.rules, R.CLASSIFY, promotions=ref.active_promotions, as_of=clock.today)
 
 
 LINE_KEYS = ("cycle_date", "subscription_uuid", "promotion_uuid", "account_uuid")
 
 
-def live_details(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock) -> DataFrame:
+def live_details(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """New invoice lines of the batch, priced; repeats of a known line are added to it."""
     billable = visits.where("is_adjust = 0 OR is_per_cycle = 1")
-    priced = _priced(classify_visits(billable, state, ref, rule_type, clock), ref.classes)
+    priced = _priced(classify_visits(billable, state, ref, rule_type, clock, cut), ref.classes)
     lines = priced.groupBy(
         "subscription_uuid", "consumer_id", "account_uuid", "sold_to", "promotion_uuid", "cycle_date",
         "class_uuid", "comments", "calc_type", "list_price", "last_invoice_date",
@@ -520,7 +525,7 @@ def live_details(visits: DataFrame, state: State, ref: Reference, rule_type: str
         "detail_uuid",
         row_key("subscription_uuid", "consumer_id", "account_uuid", "sold_to", "promotion_uuid", "cycle_date", "class_uuid", "comments", "created_at"),
     )
-    return merge_details(state.details, stamped)
+    return merge_details(state.details, cut(stamped))
 
 
 def merge_details(details: DataFrame, lines: DataFrame) -> DataFrame:
@@ -547,17 +552,17 @@ def merge_details(details: DataFrame, lines: DataFrame) -> DataFrame:
     return insert_uncovered(grown, lines, covered=repeats, row_key=["detail_uuid"])
 
 
-def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock) -> DataFrame:
+def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Reclassify lines whose subscription was superseded, under the one that now covers them."""
     lines = _touched(state.details, visits, "last_invoice_date")
     superseded = state.subscriptions.where("version <> 1").select("subscription_uuid")
     orphaned = lines.join(superseded, "subscription_uuid", "left_semi")
-    covered = _covering(orphaned, state.subscriptions, rule_type, {"covering_uuid": "subscription_uuid", "covering_comments": "comments"})
+    covered = cut(_covering(orphaned, state.subscriptions, rule_type, {"covering_uuid": "subscription_uuid", "covering_comments": "comments"}))
     summed = with_group_totals(covered, ["covering_uuid"], subscription_amount=F.sum("charge"))
     flagged = with_flags(summed, ref, "PerSubscription")
     numbered = number_in_group(
         flagged.withColumn("billed_amount", F.coalesce("subscription_amount", F.lit(0))),
-        ["covering_uuid", "promotion_uuid"], ["cycle_date", "account_uuid", "detail_uuid"], "visit_no", bucket="30 days",
+        ["covering_uuid", "promotion_uuid"], ["cycle_date", "account_uuid", "detail_uuid"], "visit_no", bucket="30 days", skeleton=covered,
     )
     judged = R.apply_rules(
         numbered.withColumnRenamed("comments", "_old_comments"), ref.rules, R.TRUE_UP,
@@ -574,7 +579,7 @@ def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type:
         }
     ).withColumn("detail_uuid", row_key("_replaced", "subscription_uuid", "class_uuid", "created_at"))
     return version_bump(
-        state.details, fresh, "detail_uuid", replaces="_replaced",
+        state.details, cut(fresh), "detail_uuid", replaces="_replaced",
         update={"comments": "comments", "updated_by": "updated_by", "updated_at": "updated_at"},
     )
 
@@ -646,23 +651,23 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
 
 
 def process_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock,
-                   cut: Callable[[DataFrame], DataFrame] = settle) -> State:
+                   cut: Cut = settle) -> State:
     """One rule type of a batch. Each step reads what the one before wrote, so lineage is cut between them."""
-    flagged = cut(flag_visits(visits, state, ref, rule_type, clock))
+    flagged = cut(flag_visits(visits, state, ref, rule_type, clock, cut))
     subscriptions, details = state.subscriptions, state.details
     if not flagged.where("is_adjust = 1 AND is_per_cycle = 0").isEmpty():
         subscriptions = cut(adjust_subscriptions(subscriptions, flagged, ref, clock))
         subscriptions = cut(realign_subscriptions(subscriptions, details, flagged, ref, rule_type, clock))
-        details = cut(true_up_details(flagged, State(subscriptions, details), ref, rule_type, clock))
-    subscriptions = cut(open_subscriptions(subscriptions, flagged, ref, rule_type, clock))
-    details = cut(live_details(flagged, State(subscriptions, details), ref, rule_type, clock))
+        details = cut(true_up_details(flagged, State(subscriptions, details), ref, rule_type, clock, cut))
+    subscriptions = cut(open_subscriptions(subscriptions, flagged, ref, rule_type, clock, cut))
+    details = cut(live_details(flagged, State(subscriptions, details), ref, rule_type, clock, cut))
     details = cut(backfill_comments(details, subscriptions, ref, clock))
     audit = {**state.audit, f"{R.CYCLE}/{rule_type}": R.rule_audit(flagged, R.CYCLE, clock.user, clock.now)}
     return State(subscriptions, details, audit)
 
 
 def process_eligible(eligible: DataFrame, state: State, ref: Reference, clock: Clock,
-                     cut: Callable[[DataFrame], DataFrame] = settle) -> State:
+                     cut: Cut = settle) -> State:
     visits = cut(with_flags(aggregate_visits(eligible), ref))
     for rule_type in (RULE_CONSUMER, RULE_CONSUMER_ACCOUNT):
         of_type = visits.where(F.col("rule_type") == rule_type)
@@ -673,7 +678,7 @@ def process_eligible(eligible: DataFrame, state: State, ref: Reference, clock: C
 
 def run_batch(cycles: DataFrame, state: State, ref: Reference, clock: Clock, *,
               overrides: DataFrame | None = None, all_cycles: DataFrame | None = None,
-              cut: Callable[[DataFrame], DataFrame] = settle) -> tuple[State, DataFrame | None]:
+              cut: Cut = settle) -> tuple[State, DataFrame | None]:
     """Overrides first, then the new cycles. Returns the state and the overrides with their new status."""
     done = overrides
     if overrides is not None and all_cycles is not None:

@@ -67,7 +67,7 @@ def with_owners(cycles: DataFrame, equipment: DataFrame, generation: Generation,
     }
     if generation.with_card:
         out = interval_join(
-            out, shipped, {"card": "serial"}, at="cycle_date", start="ship_start", end="ship_end",
+            out, shipped, {"card": "serial"}, skeleton=cycles, at="cycle_date", start="ship_start", end="ship_end",
             closed=generation.closed, bucket=bucket,
             take={"_card": "serial", "card_material": "material", "card_ship_date": "ship_start"},
         )

@@ -8,9 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelake.constants import OPEN_END
 from usagelake.functions.columns import norm_key, path_part
 from usagelake.operators.dedup import arg_min, latest_by, row_key
-from usagelake.operators.temporal import scd2_from_changes
 from usagelake.operators.groups import with_neighbours
 from usagelake.operators.upsert import keep_nulls_out, match_all, insert_only, scd1, update_if_changed, upsert
 
@@ -111,14 +111,12 @@ def equipment_history(history: DataFrame, changes: DataFrame, bucket: str = "365
     order: list[str | Column] = [
         "ship_start", "file_priority", (-F.coalesce(F.col("load_order"), F.lit(0))), "created_at", "is_refurbished", "equipment_key",
     ]
-    base = unique.drop("ship_end", "movement_status", "return_date")
-    prior = with_neighbours(base, ["serial"], order, previous={"_prior_status": "transit_status"}, bucket=bucket)
-    dated = scd2_from_changes(
-        prior.withColumn("_known_order", F.col("load_order")).drop("load_order"),
-        "serial",
-        ["ship_start", "file_priority", (-F.coalesce(F.col("_known_order"), F.lit(0))), "created_at", "is_refurbished", "equipment_key"],
-        start="ship_start", end="ship_end", bucket=bucket, with_load_order=True,
-    ).drop("_known_order")
+    near = with_neighbours(
+        unique.drop("ship_end", "movement_status", "return_date"), ["serial"], order,
+        previous={"_prior_status": "transit_status"}, following={"_next_start": "ship_start"},
+        number_from_end="load_order", bucket=bucket,
+    )
+    dated = near.withColumn("ship_end", F.coalesce("_next_start", F.lit(OPEN_END).cast("date"))).drop("_next_start")
     returned = (F.col("_prior_status") == "SHIPPED") & (F.col("transit_status") == "IN WAREHOUSE")
     status = F.when(F.coalesce(returned, F.lit(False)), "RETURNED").otherwise(F.col("transit_status"))
     fresh = dated.withColumns(

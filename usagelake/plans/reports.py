@@ -61,7 +61,7 @@ def associate_files(cycles: DataFrame, files: DataFrame, kind: str, bucket: str
 
     before = asof_join(probe, chosen, on, at="start_ts", time="log_start", take=take("pre"), tie=["updated_at", "file_id"], bucket=bucket)
     after = asof_join(before, chosen, on, at="start_ts", time="log_start", take=take("post"), direction="next",
-                      inclusive=False, tie=["updated_at", "file_id"], bucket=bucket)
+                      inclusive=False, tie=["updated_at", "file_id"], bucket=bucket, skeleton=probe)
     return after.drop("_key")
 
 
@@ -79,12 +79,12 @@ def associate_events(cycles: DataFrame, events: DataFrame, *, bucket: str, origi
     probe = serials(cycles)
     # Wildcard head: an event of head 0 is joined without the head, any other with it.
     parts = [(evs.where("_head = 0"), keys), (evs.where("_head <> 0"), {**keys, "head": "_head"})]
-    sides = {}
+    sides, bones = {}, probe
     for side, direction in (("pre", "previous"), ("post", "next")):
         out = probe
         for i, (part, on) in enumerate(parts):
             out = asof_join(out, part, on, at="start_ts", time="event_ts", direction=direction, bucket=bucket,
-                            take={f"_{side}{i}_ts": "event_ts", f"_{side}{i}_id": "file_id"}, tie=["file_id"])
+                            take={f"_{side}{i}_ts": "event_ts", f"_{side}{i}_id": "file_id"}, tie=["file_id"], skeleton=bones)
         probe = out
         a, b = (F.struct(F.col(f"_{side}{i}_ts"), F.col(f"_{side}{i}_id")) for i in (0, 1))
         first = F.col(f"_{side}1_ts").isNull() | (

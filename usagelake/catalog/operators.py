@@ -37,6 +37,7 @@ from usagelake.operators.temporal import (
     range_join,
     scd2_from_changes,
 )
+from usagelake.session import settle
 
 EVENT_FIELDS = [
     FieldMap("events", "*", ("kk", "k"), "k", "bigint"),
@@ -54,8 +55,18 @@ def of_type(t: Tables, *types: str) -> DataFrame:
 def supply_history(t: Tables) -> DataFrame:
     """Who supplied a part from which ship date on (one row per part and date)."""
     daily = t.lineitem.groupBy("l_partkey", "l_shipdate").agg(F.min("l_suppkey").alias("suppkey"))
-    return scd2_from_changes(daily, "l_partkey", ["l_shipdate"], start="l_shipdate").withColumnRenamed(
-        "l_shipdate", "valid_from"
+    history = scd2_from_changes(daily, "l_partkey", ["l_shipdate"], start="l_shipdate")
+    # A dimension is a stored table: it is read by both passes of a lookup.
+    return settle(history.withColumnRenamed("l_shipdate", "valid_from"))
+
+
+def part_usage(t: Tables) -> DataFrame:
+    """Parts used by an order on its day, stored like any batch of facts."""
+    lines = t.lineitem.select("l_orderkey", "l_partkey").distinct()
+    return settle(
+        lines.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "l_partkey", "l_orderkey", "o_orderdate"
+        )
     )
 
 
@@ -152,11 +163,8 @@ def scd2_customer(t: Tables) -> DataFrame:
       ON s.l_partkey = u.l_partkey AND u.o_orderdate >= s.valid_from AND u.o_orderdate < s.valid_to
 """)
 def interval_owner(t: Tables) -> DataFrame:
-    usage = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_partkey", "l_orderkey", "o_orderdate"
-    ).distinct()
     return interval_join(
-        usage, supply_history(t), ["l_partkey"], at="o_orderdate", start="valid_from", end="valid_to",
+        part_usage(t), supply_history(t), ["l_partkey"], at="o_orderdate", start="valid_from", end="valid_to",
         take={"suppkey": "suppkey", "valid_from": "valid_from"}, bucket="365 days",
     ).select("l_partkey", "l_orderkey", "suppkey", "valid_from")
 
@@ -172,11 +180,8 @@ def interval_owner(t: Tables) -> DataFrame:
                                ORDER BY s.valid_to DESC NULLS LAST, s.valid_from DESC NULLS LAST) = 1
 """)
 def interval_owner_closed(t: Tables) -> DataFrame:
-    usage = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_partkey", "l_orderkey", "o_orderdate"
-    ).distinct()
     return interval_join(
-        usage, supply_history(t), ["l_partkey"], at="o_orderdate", start="valid_from", end="valid_to",
+        part_usage(t), supply_history(t), ["l_partkey"], at="o_orderdate", start="valid_from", end="valid_to",
         closed="both", take={"suppkey": "suppkey", "valid_to": "valid_to"}, bucket="365 days",
     ).select("l_partkey", "l_orderkey", "suppkey", "valid_to")
 

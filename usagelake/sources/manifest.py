@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelake.operators.dedup import latest_by
-
-# Intake containers and their load types.
+# Intake containers with their load types, and the member types that are processed.
 LOAD_TYPES = {"logs-scanned": "IOT", "usbdecrypted-zip": "USB"}
-NAME_PARTS = 5
+MEMBER_TYPES = ("UL", "UE", "SYS", "ML", "MLT", "ENGR", "MEDAPPUI-USERINTERACTION")
+NAME_PARTS, MEMBER_PARTS = 5, 3
 
 
-def classify_archives(manifest: DataFrame) -> DataFrame:
+def classify_archives(manifest: DataFrame, created: str = "created") -> DataFrame:
     """Judge archives by container and name.
 
-    Needs `container`, `folder`, `file_name`, `event_type`; adds `load_type`,
-    `device_id`, `log_day`, `name_status` and `route`
+    Needs `container`, `folder`, `file_name`, `event_type` (only `created` events count);
+    adds `load_type`, `device_id`, `log_day`, `name_status` and `route`
     (valid, invalid, duplicate or ignored).
     """
     name, container = F.col("file_name"), F.lower("container")
@@ -37,7 +36,7 @@ def classify_archives(manifest: DataFrame) -> DataFrame:
             .when(zipped, F.upper("folder"))
             .otherwise(F.col("folder")),
             "log_day": F.when(zipped & named, F.substring(F.get(parts, F.lit(4)), 1, 8)),
-            "route": F.when((F.col("event_type") != "Microsoft.Storage.BlobCreated") | load.isNull(), "ignored")
+            "route": F.when((F.col("event_type") != created) | load.isNull(), "ignored")
             .when(copy, "duplicate")
             .when(status != "valid", "invalid")
             .otherwise("valid"),
@@ -45,22 +44,32 @@ def classify_archives(manifest: DataFrame) -> DataFrame:
     )
 
 
+def classify_members(members: DataFrame, types: tuple[str, ...] = MEMBER_TYPES) -> DataFrame:
+    """Device type, log type and route of an archive member, by its name."""
+    parts = F.split("member_name", "_")
+    kind = F.when(F.size(parts) >= MEMBER_PARTS, F.upper(F.get(parts, F.lit(2))))
+    known = kind.isin(*types) | kind.contains("ASSERT")
+    return members.withColumns(
+        {
+            "device_type": F.upper(F.get(parts, F.lit(0))),
+            "log_type": kind,
+            "route": F.when(F.coalesce(known, F.lit(False)), "valid").otherwise("invalid"),
+        }
+    )
+
+
 def classify_files(members: DataFrame, registry: DataFrame) -> DataFrame:
-    """Judge unpacked members against files already loaded.
+    """Judge unpacked members against files already loaded at the same `destination`.
 
-    Both sides carry `destination`, `file_size` and `file_mtime`. A member replaces
-    the loaded file when it is newer and larger; otherwise it is a duplicate. An
-    empty member has failed.
+    A larger member replaces the loaded file, any other is a duplicate; a member
+    without a size could not be read.
     """
-    loaded = latest_by(
-        registry, ["destination"], [F.col("file_mtime").desc(), F.col("file_size").desc()]
-    ).select("destination", F.col("file_size").alias("_size"), F.col("file_mtime").alias("_mtime"))
+    loaded = registry.groupBy("destination").agg(F.max("file_size").alias("_size"))
     joined = members.join(loaded, "destination", "left")
-    better = (F.col("file_size") > F.col("_size")) & (F.col("file_mtime") > F.col("_mtime"))
     return joined.withColumn(
         "status",
-        F.when(F.coalesce(F.col("file_size"), F.lit(0)) == 0, "Failed")
+        F.when(F.col("file_size").isNull(), "Failed")
         .when(F.col("_size").isNull(), "New")
-        .when(better, "Replace")
+        .when(F.col("file_size") > F.col("_size"), "Replace")
         .otherwise("Duplicate"),
-    ).drop("_size", "_mtime")
+    ).drop("_size")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,9 @@ from usagelake.operators.dedup import assign_sequence, latest_by
 from usagelake.operators.groups import fill_forward, number_in_group, with_neighbours
 from usagelake.operators.temporal import interval_join
 from usagelake.operators.upsert import insert_only, scd1
+from usagelake.session import settle
 
+Cut = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Generation:
@@ -91,10 +93,16 @@ def build_cycles(
     equipment: DataFrame,
     registry: DataFrame | None = None,
     first_id: int = 0,
+    cut: Cut = settle,
 ) -> DataFrame:
-    """Cycle rows of one batch: paired, timed, owned, deduplicated and numbered."""
-    paired = pair_records(rows, generation, start_fields, end_fields).withColumnsRenamed(
-        {"header_ts": "start_ts", "header_date": "cycle_date"}
+    """Cycle rows of one batch: paired, timed, owned, deduplicated and numbered.
+
+    `cut` stores the two frames that later passes read more than once.
+    """
+    paired = cut(
+        pair_records(rows, generation, start_fields, end_fields).withColumnsRenamed(
+            {"header_ts": "start_ts", "header_date": "cycle_date"}
+        )
     )
     owned = with_owners(paired, equipment, generation)
     timed = owned.join(
@@ -105,7 +113,7 @@ def build_cycles(
     keys = ["external_serial", "internal_serial", "head", "start_ts"]
     if generation.with_card:
         keys += ["card", "cycle_nbr"]
-    unique = latest_by(timed, keys, [F.col("event_end").desc(), F.col("file_id").asc()])
+    unique = cut(latest_by(timed, keys, [F.col("event_end").desc(), F.col("file_id").asc()]))
     return assign_sequence(unique, ["start_ts", *[k for k in keys if k != "start_ts"], "file_id"], "cycle_id", bucket="1 day", start=first_id)
 
 
@@ -169,7 +177,7 @@ def decode_start(df: DataFrame) -> DataFrame:
     )
 
 
-def reconstruct_gen1(rows: DataFrame, bucket: str = "1 day") -> DataFrame:
+def reconstruct_gen1(rows: DataFrame, bucket: str = "1 day", cut: Cut = settle) -> DataFrame:
     """One cycle per (file, countdown, card) from flat start and end rows.
 
     rows: contract (~MA start of log, ~MB cycle start, ~ME cycle end, ~MM end of log), event_date,
@@ -184,8 +192,10 @@ def reconstruct_gen1(rows: DataFrame, bucket: str = "1 day") -> DataFrame:
     body = stamped.where(F.col("contract").isin("~MB", "~ME")).withColumn(
         "cycle_count", F.coalesce("cycle_count", "column5").try_cast("int")
     )
-    filled = fill_forward(
-        body.withColumnRenamed("card", "_card"), ["file_name"], ["cycle_count", "event_ts", "line_no"], {"card": "_card"}, bucket=1000
+    filled = cut(
+        fill_forward(
+            body.withColumnRenamed("card", "_card"), ["file_name"], ["cycle_count", "event_ts", "line_no"], {"card": "_card"}, bucket=1000
+        )
     )
     starts = decode_start(filled.where("contract = '~MB'"))
     shown = ["same_next", "returning", "patient_type", "body_part", "consumer_id", "upper_module", "applicator_serial",
@@ -209,7 +219,7 @@ def reconstruct_gen1(rows: DataFrame, bucket: str = "1 day") -> DataFrame:
     position = F.struct("end_ts", "line_no")
     edges = valid.groupBy("g").agg(F.min(position).alias("_lo"), F.max(position).alias("_hi"))
     kept = valid.join(edges, "g").where((position == F.col("_lo")) | (position == F.col("_hi")) | (F.col("status") == "Successful"))
-    kept = number_in_group(kept.drop("_lo", "_hi", "_done"), ["g"], ["end_ts", "line_no"], "nth", bucket=bucket)
+    kept = number_in_group(cut(kept.drop("_lo", "_hi", "_done")), ["g"], ["end_ts", "line_no"], "nth", bucket=bucket)
     counted = kept.groupBy("g").agg(F.count(F.lit(1)).alias("n_ends"))
     # The nth latest start belongs to the nth latest end; a start without one takes the earliest end.
     ranked = kept.join(counted, "g").join(opened.select("g", "n_starts"), "g").withColumns(
@@ -242,7 +252,7 @@ def reconstruct_gen1(rows: DataFrame, bucket: str = "1 day") -> DataFrame:
         F.when(F.col("n_starts") > 1, F.coalesce("_first_contour", "_last_contour")).otherwise(F.col("_last_contour")).alias("contour"),
         "about.*",
     )
-    bounded = neighbour_bounds(merged, marks)
+    bounded = neighbour_bounds(cut(merged), marks)
     # An interruption that was itself a success is the real end of the cycle.
     real = F.coalesce(F.col("interrupt_status") == "Successful", F.lit(False))
     swapped = bounded.withColumn("_real", real).withColumns(

@@ -250,6 +250,12 @@ def _current(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.where("version = 1")
 
 
+def _only_of(table: DataFrame, batch: DataFrame, keys: Sequence[str] = ("consumer_id",)) -> DataFrame:
+    """The rows of a ledger a batch can touch: work grows with the batch, not the ledger."""
+    wanted = batch.select(*keys).where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).distinct()
+    return table.join(small(wanted), list(keys), "left_semi")
+
+
 def _best_of(df: DataFrame, names: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Collapse candidate structs ``c0, c1`` of a row into the columns of the better one."""
     first, second = F.col("c0"), F.col("c1")
@@ -277,6 +283,7 @@ def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type:
     account of the same sold-to.
     """
     recent = _current(subscriptions).where(F.col("sub_end") >= F.lit(as_of - timedelta(days=LOOKBACK_DAYS)))
+    recent = _only_of(recent, visits)
     recent = recent.withColumn("pilot_flag", F.coalesce("pilot_flag", F.lit("N")))
     lag_keys = ["consumer_id"] if rule_type == RULE_CONSUMER else ["account_uuid", "consumer_id"]
     ranged = cut(
@@ -354,7 +361,7 @@ def open_subscriptions(subscriptions: DataFrame, visits: DataFrame, ref: Referen
     fresh = R.apply_rules(first, ref.rules, R.SUBSCRIBE, promotions=ref.active_promotions, as_of=clock.today)
     fresh = fresh.withColumns({"previous_uuid": F.lit(None).cast("string"), "comments": F.col("sub_comments"), "pilot_flag": F.lit(None).cast("string")})
     fresh = cut(_new_subscriptions(fresh, clock, "subscription_live"))
-    current = _current(subscriptions)
+    current = _only_of(_current(subscriptions), fresh)
     seen = {"_seen": "subscription_uuid"}
     common = {"at": "new_start", "start": "sub_start", "end": "sub_end", "closed": "both", "take": seen, "bucket": BUCKET}
     probe = fresh.select("visit_id", "consumer_id", "promotion_uuid", "account_uuid", "sold_to", "new_start")
@@ -388,7 +395,7 @@ def adjust_subscriptions(subscriptions: DataFrame, visits: DataFrame, ref: Refer
 
 def _covering(details: DataFrame, subscriptions: DataFrame, rule_type: str, take: dict[str, str]) -> DataFrame:
     """The current subscription covering each line's day (latest end first)."""
-    current = _current(subscriptions)
+    current = _only_of(_current(subscriptions), details)
     common = {"at": "cycle_date", "start": "sub_start", "end": "sub_end", "closed": "both", "tie": ["subscription_uuid"], "bucket": BUCKET}
     if rule_type == RULE_CONSUMER:
         return interval_join(details, current, ["consumer_id", "promotion_uuid"], take=take, **common)
@@ -479,7 +486,9 @@ def number_visits(visits: DataFrame) -> DataFrame:
 
 def classify_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Visits with subscription, amount billed so far, visit order, class and comment."""
-    current = cut(_current(state.subscriptions).join(billed_to_date(state.details), "subscription_uuid", "left"))
+    held = _only_of(_current(state.subscriptions), visits)
+    billed = billed_to_date(_only_of(state.details, held, ["subscription_uuid"]))
+    current = cut(held.join(billed, "subscription_uuid", "left"))
     take = {
         "subscription_uuid": "subscription_uuid", "billed": "billed", "sub_start": "sub_start",
         "pilot_flag": "pilot_flag", "sub_comments": "comments", "sub_account_uuid": "account_uuid",
@@ -591,19 +600,26 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
     """Comments that depend on the whole ledger, for lines touched in the last `minutes`."""
     m = R.COMMENTS
     since = F.lit(clock.now - timedelta(minutes=minutes))
+    touched = F.coalesce((F.col("version") == 1) & ((F.col("created_at") >= since) | (F.col("updated_at") >= since)), F.lit(False))
+    recent, rest = details.where(touched), details.where(~touched)
     several = (
-        _current(subscriptions).groupBy("consumer_id").agg(F.count_distinct("subscription_uuid").alias("_n"))
+        _only_of(_current(subscriptions), recent).groupBy("consumer_id").agg(F.count_distinct("subscription_uuid").alias("_n"))
         .where("_n > 1").select("consumer_id", F.lit(True).alias("_several"))
     )
     names = ref.classes.select("class_uuid", F.col("class_name").alias("_class")).distinct()
     invoiced = last_invoice_dates(ref.invoices).withColumnRenamed("last_invoice_date", "_invoiced")
-    base = details.join(small(names), "class_uuid", "left").join(small(invoiced), "promotion_uuid", "left")
+
+    def described(df: DataFrame) -> DataFrame:
+        return df.join(small(names), "class_uuid", "left").join(small(invoiced), "promotion_uuid", "left")
+
+    day_keys = ["account_uuid", "cycle_date", "class_uuid"]
     earlier = (
-        base.where(F.expr(f"version = 1 AND _class = '{R.CLASSES['no_association']}' AND created_at <= _invoiced"))
-        .select("account_uuid", "cycle_date", "class_uuid").distinct().withColumn("_earlier", F.lit(True))
+        described(_only_of(details, recent, day_keys))
+        .where(F.expr(f"version = 1 AND _class = '{R.CLASSES['no_association']}' AND created_at <= _invoiced"))
+        .select(*day_keys).distinct().withColumn("_earlier", F.lit(True))
     )
     periods = ref.periods.where(F.lit(clock.now).between(F.col("period_start"), F.col("period_end"))).select("period_start").first()
-    joined = base.join(several, "consumer_id", "left").join(earlier, ["account_uuid", "cycle_date", "class_uuid"], "left")
+    joined = described(recent).join(several, "consumer_id", "left").join(earlier, day_keys, "left")
     current = F.col("version") == 1
     empty = F.coalesce(F.col("comments"), F.lit("")) == ""
     by_patch = F.coalesce(F.col("updated_by"), F.lit("")).startswith("patch")
@@ -644,7 +660,7 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
             .when(F.col("_class") == R.CLASSES["no_association"], m["late_no_association"])
         )
         out = note(out, current & empty & text.isNotNull() & (F.col("cycle_date") < start.cast("date")) & (created > start) & (created >= since), text)
-    return out.select(*details.columns)
+    return out.select(*details.columns).unionByName(rest)
 
 
 # ---- the batch -------------------------------------------------------------

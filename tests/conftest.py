@@ -14,7 +14,9 @@ def spark(tmp_path_factory):
         "usagelake-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Tiny frames: compiling a class per stage costs more than running it.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),

@@ -295,3 +295,43 @@ def user_events(t: Tables) -> DataFrame:
     empty = rows.select("internal_serial", "external_serial", "header_ts", "contract", "head", F.lit(0).alias("error_time")).limit(0)
     merged = intake.user_events(empty, rows, [FieldMap("u", "*", ("k",), "error_time", "int")])
     return merged.select("external_serial", F.col("header_ts").alias("day"), "contract", "error_time")
+
+
+@query("invoice_details", """
+    WITH sub AS (SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS consumer, c_nationkey, CAST(o_orderdate AS DATE) AS d,
+                        lag(CAST(o_orderdate AS DATE)) OVER (PARTITION BY c_nationkey, o_custkey ORDER BY o_orderdate, CAST(o_orderkey AS VARCHAR)) AS before
+                 FROM orders JOIN customer ON o_custkey = c_custkey),
+    det AS (SELECT l_orderkey, l_linenumber, l_returnflag, count(*) AS n, min(CAST(l_shipdate AS DATE)) AS visit, min(l_suppkey) % 25 AS site FROM lineitem WHERE l_returnflag <> 'A' GROUP BY ALL)
+    SELECT det.l_orderkey || '/' || l_linenumber || '/' || l_returnflag AS detail_uuid, CAST(site AS VARCHAR) AS ship_to,
+           substr(consumer, 1, 3) || '-' || substr(consumer, 4, 3) || '-' || substr(consumer, 7, 4) AS phone, visit AS visit_date,
+           CASE WHEN l_returnflag = 'N' THEN d END AS initial_visit, CASE WHEN l_returnflag = 'N' THEN d + 150 END AS final_visit, before AS previous_start,
+           n AS cycle_count, CASE l_returnflag WHEN 'N' THEN 1 ELSE 4 END AS class_order, CASE l_returnflag WHEN 'N' THEN 100 ELSE -100 END AS charge,
+           'From ' || c_nationkey || ' at ' || CASE l_returnflag WHEN 'N' THEN 950 ELSE 200 END AS comment_text
+    FROM det JOIN sub ON det.l_orderkey = sub.o_orderkey
+""")
+def invoice_details(t: Tables) -> DataFrame:
+    placed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").cast("string").alias("subscription_uuid"), F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("consumer_id"),
+        F.col("c_nationkey").cast("string").alias("home"), F.col("o_orderdate").cast("date").alias("sub_start"),
+    )
+    subs = placed.select("subscription_uuid", "consumer_id", F.col("home").alias("account_uuid"), "sub_start", F.date_add("sub_start", 150).alias("sub_end"), F.lit(1).alias("version"))
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("cycle_count"), F.min(F.col("l_shipdate").cast("date")).alias("cycle_date"), (F.min("l_suppkey") % 25).cast("string").alias("account_uuid")
+    )
+    details = lines.withColumn("subscription_uuid", F.col("l_orderkey").cast("string")).join(placed.select("subscription_uuid", "consumer_id"), "subscription_uuid").select(
+        F.concat_ws("/", "subscription_uuid", F.col("l_linenumber").cast("string"), "l_returnflag").alias("detail_uuid"), "subscription_uuid", "consumer_id", "account_uuid",
+        F.lit("so").alias("sold_to"), "cycle_date", "cycle_count", F.lit(100).alias("charge"), F.col("l_returnflag").alias("class_uuid"), F.lit(1).alias("version"),
+        F.lit("note").alias("comments"), F.lit(datetime(2024, 1, 1)).alias("created_at"),
+    )
+    flag = F.col("l_returnflag")
+    classes = t.lineitem.select("l_returnflag").distinct().select(
+        flag.alias("class_uuid"), F.when(flag == "N", "PerPatientFee").otherwise("PerCycleFeeExceptionPreInvoice").alias("class_name"), flag.alias("display_name"),
+        (flag != "A").alias("display"), F.when(flag == "N", 1).otherwise(-1).alias("multiplier"), F.when(flag == "N", "PerSubscription").otherwise("PerCycle").alias("calc_type"),
+        F.when(flag == "N", 950).otherwise(200).alias("list_price"),
+    )
+    key = F.col("n_nationkey").cast("string")
+    accounts = t.nation.select(key.alias("account_uuid"), key.alias("ship_to"), F.col("n_name").alias("name"))
+    comments = t.region.where("r_regionkey = 0").select(F.lit("note").alias("code"), F.lit("From <DifferentShipToNumber> at <ListPrice>").alias("description"))
+    consumers = placed.select("consumer_id", F.lit(1).alias("scanned_id")).distinct()
+    out = reports.invoice_details(details, subs, accounts, classes, comments, consumers)
+    return out.select("detail_uuid", "ship_to", "phone", "visit_date", "initial_visit", "final_visit", "previous_start", "cycle_count", "class_order", "charge", "comment_text")

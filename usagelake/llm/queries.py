@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import recipes
+from usagelake.llm import near, recipes
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """)
 def op3_chunk_recipes(table) -> DataFrame:
     return recipes.exact_groups(table("documents")).drop("n_chunks")
+
+
+@query("op2_prob_min_hash")
+def op2_prob_min_hash(table) -> DataFrame:
+    return near.near_classes(table("documents")).drop("sha")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import near, recipes
+from usagelake.llm import decontam, near, recipes
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op3_chunk_recipes(table) -> DataFrame:
 @query("op2_prob_min_hash")
 def op2_prob_min_hash(table) -> DataFrame:
     return near.near_classes(table("documents")).drop("sha")
+
+
+@query("op10_spaced_seeds")
+def op10_spaced_seeds(table) -> DataFrame:
+    return decontam.contaminated(table("documents"), table("benchmark"))

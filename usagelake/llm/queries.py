@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import decontam, near, recipes
+from usagelake.llm import decontam, near, recipes, toxicity
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,9 @@ def op2_prob_min_hash(table) -> DataFrame:
 @query("op10_spaced_seeds")
 def op10_spaced_seeds(table) -> DataFrame:
     return decontam.contaminated(table("documents"), table("benchmark"))
+
+
+@query("op8_lexicon_automaton")
+def op8_lexicon_automaton(table) -> DataFrame:
+    docs = table("documents")
+    return toxicity.score(docs, toxicity.fit(docs, table("labels")))

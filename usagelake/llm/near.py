@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelake.llm.common import Scratch, digest, keep_rows, whole_text
@@ -148,15 +148,17 @@ def _verifier(words: int, least: float):
 
 def _candidates(signed: DataFrame, bands: int) -> DataFrame:
     """Pairs (a < b) of bucket members and centres."""
-    buckets = signed.select("id", F.posexplode("bands").alias("band", "key"), "bands")
+    def deeper(deep: int) -> Column:
+        """Keys of finer parts of the buckets, in which the next one or two bands agree too."""
+        return F.transform("bands", lambda key, i: F.xxhash64(key, *[F.get("bands", (i + j) % bands) for j in range(1, deep + 1)]))
+
+    buckets = signed.select("id", F.inline(F.arrays_zip(F.col("bands").alias("key"), deeper(1).alias("fine"), deeper(2).alias("finest"))))
     sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = buckets.join(sized, "key")
     reach = shared.groupBy("id").agg(F.sum("n").alias("reach"))
     shared = shared.join(reach, "id")
-    finer = [shared.where(F.col("n") > CENTRES + 1).select(
-        "id", "reach", F.xxhash64("key", *[F.get("bands", (F.col("band") + j) % bands) for j in range(1, deep + 1)]).alias("key"))
-        for deep in (1, 2)]
-    rows = shared.select("id", "reach", "key").unionByName(finer[0]).unionByName(finer[1])
+    large = shared.where(F.col("n") > CENTRES + 1)
+    rows = shared.select("id", "reach", "key").union(large.select("id", "reach", "fine")).union(large.select("id", "reach", "finest"))
     order = Window.partitionBy("key").orderBy(F.desc("reach"), "id")
     centres = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES).select(
         F.col("key").alias("c_key"), F.col("id").alias("centre"))

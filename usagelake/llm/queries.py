@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import decontam, near, recipes, toxicity
+from usagelake.llm import bpe, decontam, near, recipes, toxicity
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,13 @@ def op10_spaced_seeds(table) -> DataFrame:
 def op8_lexicon_automaton(table) -> DataFrame:
     docs = table("documents")
     return toxicity.score(docs, toxicity.fit(docs, table("labels")))
+
+
+def tokens(docs: DataFrame) -> DataFrame:
+    pieces, pattern = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    return bpe.digests(bpe.decode(bpe.encode(docs, pieces, pattern), pieces, pattern))
+
+
+@query("op1_byte_bpe")
+def op1_byte_bpe(table) -> DataFrame:
+    return tokens(table("documents"))

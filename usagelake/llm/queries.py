@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import bpe, decontam, near, recipes, toxicity
+from usagelake.llm import bpe, decontam, near, quality, recipes, toxicity
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def tokens(docs: DataFrame) -> DataFrame:
 @query("op1_byte_bpe")
 def op1_byte_bpe(table) -> DataFrame:
     return tokens(table("documents"))
+
+
+@query("op9_hashed_ngrams")
+def op9_hashed_ngrams(table) -> DataFrame:
+    docs = table("documents")
+    return quality.score(docs, quality.fit(docs, table("labels")))

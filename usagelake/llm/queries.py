@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, near, quality, recipes, toxicity
+from usagelake.llm import bpe, decontam, near, quality, recipes, substrings, toxicity
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +68,9 @@ def op1_byte_bpe(table) -> DataFrame:
 def op9_hashed_ngrams(table) -> DataFrame:
     docs = table("documents")
     return quality.score(docs, quality.fit(docs, table("labels")))
+
+
+@query("op4_doubling_windows")
+def op4_doubling_windows(table) -> DataFrame:
+    cut = substrings.cut_repeats(table("documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, near, quality, recipes, substrings, toxicity
+from usagelake.llm import bpe, decontam, near, quality, recipes, sharding, substrings, toxicity
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op9_hashed_ngrams(table) -> DataFrame:
 def op4_doubling_windows(table) -> DataFrame:
     cut = substrings.cut_repeats(table("documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op5_karmarkar_karp")
+def op5_karmarkar_karp(table) -> DataFrame:
+    return sharding.shards_by_bytes(table("documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

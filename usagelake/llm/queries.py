@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, near, quality, recipes, sharding, substrings, toxicity
+from usagelake.llm import bpe, decontam, near, quality, recipes, sharding, substrings, toxicity, urls
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,32 @@ def op4_doubling_windows(table) -> DataFrame:
 def op5_karmarkar_karp(table) -> DataFrame:
     return sharding.shards_by_bytes(table("documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Fixed values of the query's contract.
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+
+
+@query("op6_redirect_classes", r"""
+WITH rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+       ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+parts AS (SELECT page_id, rest,
+       translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+       coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+       regexp_replace(regexp_replace(regexp_replace(coalesce(regexp_extract(rest, '^[^?#]*(\?[^#]*)?', 1), ''),
+         '([?&])((utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&#]*(&|$))+', '', 'g'), '[?&]$', ''), '^$', '') AS query
+       FROM cut),
+ruled AS (SELECT p.*, CASE WHEN rest IS NOT NULL THEN p.host || regexp_replace(p.path, '/+$', '') || query END AS form,
+       (SELECT max({'n': length(r.host || r.path), 'rule': r.host || r.path, 'verdict': r.verdict}) FROM rules r
+        WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS own
+       FROM parts p),
+classes AS (SELECT form, bool_or(own.verdict = 'allow') AS allows, bool_or(own.verdict = 'block') AS blocks
+       FROM ruled WHERE own IS NOT NULL AND form IS NOT NULL GROUP BY form)
+SELECT page_id, host, path, own.rule AS rule,
+       coalesce(own.verdict, CASE WHEN allows THEN 'allow' WHEN blocks THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN classes USING (form)
+""")
+def op6_redirect_classes(table) -> DataFrame:
+    return urls.judge(table("pages"), URL_RULES)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, near, quality, recipes, sharding, substrings, toxicity, urls
+from usagelake.llm import bpe, decontam, line_runs, near, quality, recipes, sharding, substrings, toxicity, urls
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,22 @@ FROM ruled LEFT JOIN classes USING (form)
 """)
 def op6_redirect_classes(table) -> DataFrame:
     return urls.judge(table("pages"), URL_RULES)
+
+
+@query("op7_line_suffixes", r"""
+WITH lines AS (SELECT doc_id, line, i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
+       unnest(all_lines) WITH ORDINALITY AS t(line, i)),
+full_lines AS (SELECT *, row_number() OVER own AS n, lead(line) OVER own AS next FROM lines WHERE trim(line) <> ''
+       WINDOW own AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, n, min({'d': doc_id, 'n': n}) OVER (PARTITION BY line, next) AS head FROM full_lines WHERE next IS NOT NULL),
+later AS (SELECT doc_id, n FROM runs WHERE {'d': doc_id, 'n': n} <> head),
+gone AS (SELECT doc_id, n FROM later UNION SELECT doc_id, n + 1 FROM later),
+judged AS (SELECT l.doc_id, l.line, l.i, g.n IS NOT NULL AS removed FROM lines l LEFT JOIN full_lines f USING (doc_id, i)
+       LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.n = f.n)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT removed), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op7_line_suffixes(table) -> DataFrame:
+    cut = line_runs.cut_runs(table("documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

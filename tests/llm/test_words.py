@@ -6,7 +6,6 @@ import random
 import re
 import zlib
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -32,9 +31,7 @@ def test_bpe_equals_the_public_tokenizer(reference):
     cases = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(500)]
     cases += ["=" * 3000, " " * 999 + "x", "the" * 700, "".join(rng.choices("abcdefgh", k=5000)), "don't <|endoftext|> it's"]
     for text in cases:
-        ids = coder.encode(text)
-        assert ids.tolist() == reference.encode_ordinary(text)
-        assert coder.decode(ids, np.array([0, len(ids)]))[0].tobytes().decode() == text
+        assert coder.encode(text).tolist() == reference.encode_ordinary(text)
 
 
 def test_bpe_digests(frame, reference):
@@ -51,7 +48,7 @@ def test_bpe_digests(frame, reference):
 
 def test_an_unknown_id_is_an_error(frame):
     with pytest.raises(Exception, match="no piece"):
-        bpe.decode(frame("doc_id long, ids array<int>", (1, [1 << 30])), bpe.load_ranks(PATH), public_tokenizers.PATTERN).collect()
+        bpe.decode(frame("doc_id long, ids array<int>", (1, [1 << 30])), bpe.load_ranks(PATH)).collect()
 
 
 def plain_windows(rows, size):

@@ -20,13 +20,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelake.llm.words import flat, slices
+from usagelake.llm.common import small_batches
+from usagelake.llm.words import slices
 
 #: Distinct words whose ids a task remembers.
-MEMORY = 300_000
+MEMORY = 150_000
 #: Words of more bytes are merged with a heap.
 LONG = 48
 _NONE = 1 << 62
@@ -49,9 +50,6 @@ class Coder(dict):
         super().__init__()
         self.pieces, self.ranks = pieces, {p: i for i, p in enumerate(pieces)}
         self.find = regex.compile(pattern).findall
-        self.size = np.array([len(p) for p in pieces], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.size)])
-        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= MEMORY:
@@ -99,15 +97,6 @@ class Coder(dict):
     def encode(self, text: str) -> np.ndarray:
         return np.fromiter(chain.from_iterable(map(self.__getitem__, self.find(text))), np.int32)
 
-    def decode(self, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all lists of ids (each from its `begin`), and where each list's begin."""
-        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.pieces)):
-            raise ValueError("an id has no piece")
-        size = self.size[ids]
-        at = np.concatenate([[0], np.cumsum(size)])
-        where = np.arange(at[-1]) + np.repeat(self.start[ids] - at[:-1], size)
-        return self.bytes[where], at[begin]
-
 
 _CODERS: dict[int, Coder] = {}
 
@@ -133,6 +122,7 @@ class _Sent:
 
 def encode(docs: DataFrame, pieces: list[bytes], pattern: str) -> DataFrame:
     """One row per row of `docs`: doc_id, ids (array of int)."""
+    small_batches(docs.sparkSession)
     sent, kind = _Sent(docs.sparkSession, pieces), docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,22 +136,14 @@ def encode(docs: DataFrame, pieces: list[bytes], pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
-def decode(encoded: DataFrame, pieces: list[bytes], pattern: str) -> DataFrame:
-    """One row per row of `encoded`: doc_id, ids, bytes."""
-    sent, kind = _Sent(encoded.sparkSession, pieces), encoded.schema["doc_id"].dataType.simpleString()
+def decode(encoded: DataFrame, pieces: list[bytes]) -> DataFrame:
+    """One row per row of `encoded`: doc_id, ids, bytes: the pieces of the ids, joined, from a literal array of pieces."""
+    known = F.split(F.lit(",".join(piece.hex() for piece in pieces)), ",")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(sent, pattern)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                lists = part.column("ids")
-                begin = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-                data, at = coder.decode(lists.flatten().to_numpy(zero_copy_only=False), begin.astype(np.int64))
-                raw = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, raw], ["doc_id", "ids", "bytes"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, bytes binary")
+    def piece(i: Column) -> Column:
+        return F.coalesce(F.get(known, i), F.raise_error(F.concat(F.lit("no piece for id "), i.cast("string"))))
+
+    return encoded.select("doc_id", "ids", F.unhex(F.array_join(F.transform("ids", piece), "")).alias("bytes"))
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -39,6 +39,12 @@ class Scratch:
             folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB: many long texts at once would fill the memory that is left beside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 @contextmanager
 def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(_CLEANUP, "false")

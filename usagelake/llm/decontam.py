@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from usagelake.llm.common import small_batches
 from usagelake.llm.words import NOT_WORD, U64, Hasher, flat, mix, slices, spans
 
 #: Word positions that count. Together they meet any 13 words with two replaced, 96 % of those with three replaced,
@@ -135,6 +136,7 @@ def _indexes(benchmark: DataFrame) -> Iterator[Index]:
 def overlaps(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """One row per overlap of a text with an item: doc_id, item_id, doc_word, item_word, n_words, n_equal."""
     spark = docs.sparkSession
+    small_batches(spark)
     names = ["doc_id", "item_id", "doc_word", "item_word", "n_words", "n_equal"]
     kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, doc_word long, item_word long, n_words long, n_equal long"
@@ -166,6 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """`docs` without the rows whose text overlaps an item; nothing is shuffled."""
+    small_batches(docs.sparkSession)
     for index in _indexes(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 

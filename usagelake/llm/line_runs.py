@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch, whole_text
+from usagelake.llm.common import Scratch, small_batches, whole_text
 from usagelake.llm.words import slices
 
 #: The least run has 2**LEVEL lines.
@@ -113,6 +113,7 @@ def _cut(least: int):
 
 def cut_runs(docs: DataFrame, level: int = LEVEL) -> DataFrame:
     """One row per row of `docs`: doc_id, n_lines, n_removed, kept_text."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lines")
     later, copies = repeated_suffixes(docs, scratch, level)
     starts = later.groupBy(F.col("doc_id").alias("s_id"), F.col("tag").alias("s_tag")).agg(F.collect_set("pos").alias("starts"))

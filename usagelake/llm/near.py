@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch, digest, keep_rows, whole_text
+from usagelake.llm.common import Scratch, digest, keep_rows, small_batches, whole_text
 from usagelake.llm.components import components
 from usagelake.llm.words import ASCII_SPACE, U64, Hasher, flat, lists, mix, slices, spans, windows
 
@@ -172,6 +172,7 @@ def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similar
 
     The representative of equal texts is the least doc_id.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", whole_text().alias("text")).where("doc_id IS NOT NULL")
     signed = scratch.store(
         texts.select("doc_id", digest(F.col("text")).alias("sha"), "text").mapInArrow(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch
+from usagelake.llm.common import Scratch, small_batches
 from usagelake.llm.labelled import held_out, labelled_sample
 from usagelake.llm.words import ASCII_SPACE, NOT_WORD, U64, Hasher, flat, mix, slices, windows
 
@@ -111,6 +111,7 @@ def _shard(table: pa.Table) -> pa.Table:
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights learned from at most `labelled.SAMPLE_ROWS` rows; the last is the constant."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "quality")
     sample = labelled_sample(docs, labels, "quality", scratch)
     good, total = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()

@@ -56,7 +56,7 @@ def op8_lexicon_automaton(table) -> DataFrame:
 
 def tokens(docs: DataFrame) -> DataFrame:
     pieces, pattern = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
-    return bpe.digests(bpe.decode(bpe.encode(docs, pieces, pattern), pieces, pattern))
+    return bpe.digests(bpe.decode(bpe.encode(docs, pieces, pattern), pieces))
 
 
 @query("op1_byte_bpe")

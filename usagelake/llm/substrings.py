@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch, whole_text
+from usagelake.llm.common import Scratch, small_batches, whole_text
 from usagelake.llm.words import ASCII_SPACE, Hasher, flat, slices, spans, windows
 
 WINDOW = 50
@@ -168,6 +168,7 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, window: int = WINDOW) ->
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_removed, kept_text (kept words joined by one space)."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "substrings")
     stretches = repeated_windows(docs, scratch, window).select(
         F.col("doc_id").alias("s_id"), F.col("tag").alias("s_tag"), "stretches")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch
+from usagelake.llm.common import Scratch, small_batches
 from usagelake.llm.labelled import held_out, labelled_sample
 from usagelake.llm.words import slices
 
@@ -36,7 +36,7 @@ STEMS = (4, 5, 6, 7, 8)
 FUZZY_FROM = 5
 WINDOW = 20
 #: Distinct words whose result a task remembers.
-MEMORY = 200_000
+MEMORY = 100_000
 CUTOFF = 0.5
 FEATURES = 6
 
@@ -244,6 +244,7 @@ def _regression(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> list[floa
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn lexicon and weights from at most `labelled.SAMPLE_ROWS` rows; six numbers a row reach the driver."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxicity")
     sample = labelled_sample(docs, labels, "toxic", scratch)
     toxic, all_rows = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()

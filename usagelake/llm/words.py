@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are worked on at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 U64 = np.uint64
 ASCII_SPACE = np.zeros(256, bool)

@@ -160,3 +160,24 @@ def test_last_contacts(frame, equipment):
     owner = frame(EQUIPMENT, ("UPM9", date(2024, 1, 1), OPEN, "SHIPPED", "s", "s", "M", "B234567890123456789"))
     target = frame("internal_serial string, external_serial string, last_contact timestamp", ("x", "x", None)).limit(0)
     assert rows_of(I.last_contacts(target, lines, owner)) == [("B234567890123456789", "UPM9", datetime(2024, 1, 15, 10, 20, 30))]
+
+
+def test_heads_of_one_record_are_both_inserted(frame):
+    schema = "external_serial string, internal_serial string, card string, cycle_nbr int, start_ts timestamp, head int, event_end timestamp, cycle_id bigint"
+    at = datetime(2024, 1, 5)
+    rows = [("e", "i", None, 1, at, 1, at, 1), ("e", "i", None, 1, at, 2, at, 2), ("e", "i", "c", 1, at, 1, at, 3), ("e", "i", "c", 1, at, 1, None, 4)]
+    target = frame(schema)
+    got = C.merge_cycles(target, frame(schema, *rows), C.GEN3)
+    assert rows_of(got, "cycle_id") == [(1,), (2,), (3,)]
+    again = C.merge_cycles(got, frame(schema, *rows), C.GEN3)
+    assert rows_of(again.where("card IS NOT NULL"), "cycle_id") == [(3,)]
+
+
+def test_a_gen1_cycle_in_two_files_is_inserted_once(frame):
+    schema = "file_name string, card string, cycle_count int, begin_ts timestamp"
+    at = datetime(2024, 1, 5)
+    target = frame(schema, ("UL_s1_a.csv", "C1", 3, at))
+    batch = frame(schema, ("UL_S1%20_b.csv", "c1", 3, at), ("UL_s2_b.csv", "c1", 3, at), ("UL_s2_c.csv", "C1", 3, at), ("UL_s2_c.csv", None, None, at),
+                  ("UL_s2_d.csv", "", 0, at), ("UL_s3_d.csv", "c", 1, None), ("UL_s3_d.csv", "c", 1, None))
+    assert rows_of(C.merge_gen1(target, batch), "file_name", "card") == [
+        ("UL_s1_a.csv", "C1"), ("UL_s2_b.csv", "c1"), ("UL_s2_c.csv", None), ("UL_s3_d.csv", "c"), ("UL_s3_d.csv", "c")]

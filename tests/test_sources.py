@@ -106,3 +106,19 @@ def test_reference_csv_and_bucket(spark, frame, tmp_path):
     (tmp_path / "r.csv").write_text("a,b\n1,x\nz,y\n")
     assert rows_of(S.read_reference_csv(spark, str(tmp_path / "r.csv"), {"a": "int"})) == [(1, "x"), (None, "y")]
     assert N.bucket_column(frame("k int", (1,)), ["k"], 8).where(F.col("key_bucket").between(0, 7)).count() == 1
+
+
+def test_an_archive_behind_many_dots_is_an_archive(frame):
+    df = frame("container string, folder string, file_name string, event_type string",
+               ("usbdecrypted-zip", "d", "a_b_dev1_c_20240102030405" + ".x" * 30 + ".ZIP", "created"))
+    assert [r.route for r in M.classify_archives(df).collect()] == ["valid"]
+
+
+def test_hashes_keep_nulls_in_place(frame):
+    from usagelake.operators.dedup import hashed_history
+    from usagelake.plans.quality import compare_hashed
+
+    rows = frame("a string, b string, c string", ("a", None, "b"), ("a", "b", None), ("a", "b", None))
+    assert hashed_history(rows).count() == 2
+    left, right = frame("k int, x string, y string", (1, "1", "23"), (2, None, "b")), frame("k int, x string, y string", (1, "12", "3"), (2, "b", None))
+    assert {r[-1] for r in compare_hashed(left, right, ["k"], ["x", "y"]).select("verdict").collect()} == {"Not Matched"}

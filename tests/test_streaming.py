@@ -84,3 +84,11 @@ def test_delimited_stream_and_trigger(spark, tmp_path):
     finally:
         query.stop()
     assert got == [(1, "x")] and df.isStreaming and F is not None
+
+
+def test_the_whole_error_text_is_kept(spark, frame, tmp_path):
+    def job(batch, batch_id):
+        raise RuntimeError("x" * 9000)
+
+    R.with_capture(job, "long", str(tmp_path / "log"), lambda: AT)(frame("k int", (1,)), 0)
+    assert len(read_snapshot(spark, f"{tmp_path}/log/stage=long").first().error_message) == 9000 + len("RuntimeError: ")

@@ -64,3 +64,28 @@ def test_missing_and_unknown_columns(frame):
     assert rows_of(U.insert_only(t, s, ["k"])) == [(1, 1, 1), (2, 2, None)]
     with pytest.raises(ValueError):
         U.upsert(t, s, ["k"], update={"zz": "s.a"})
+
+
+def test_null_keys_of_the_source_may_repeat(frame, limit):
+    t, s = frame("k string, v int", ("a", 1)), frame("k string, v int", (None, 2), (None, 2), (None, 3), ("a", 5))
+    assert rows_of(U.scd1(t, s, ["k"], **limit)) == [("a", 5), (None, 2), (None, 2), (None, 3)]
+    with pytest.raises(Exception, match="more than one source row"):
+        U.scd1(t, s, ["k"], null_safe=True, **limit).collect()
+
+
+def test_insert_only_takes_repeats(frame, limit):
+    t, s = frame("k string, v int", ("a", 1)), frame("k string, v int", ("b", 2), ("b", 3), ("a", 9), (None, 4))
+    assert rows_of(U.insert_only(t, s, ["k"], **limit)) == [("a", 1), ("b", 2), ("b", 3), (None, 4)]
+
+
+def test_accumulate_with_any_separator_and_missing_counters(frame, limit):
+    schema = "k int, n bigint, ids string"
+    t = frame(schema, (1, None, "x|z"), (2, 4, None), (3, None, None), (4, 1, "it's"))
+    s = frame(schema, (1, 3, "y|x"), (2, None, "q"), (3, None, None), (4, 1, "b"))
+    got = U.accumulate(t, s, ["k"], add=["n"], merge_sets=["ids"], separator="|", **limit)
+    assert rows_of(got) == [(1, 3, "x|y|z"), (2, 4, "q"), (3, None, None), (4, 2, "b|it's")]
+
+
+def test_status_values_are_quoted(frame, limit):
+    t, s = frame("k int, v string", (1, "o'k"), (2, "b\\c")), frame("k int", (1,), (2,))
+    assert rows_of(U.set_status(t, s, ["k"], "v", "it's \\ done", allowed_from=["o'k", "b\\c"], **limit)) == [(1, "it's \\ done"), (2, "it's \\ done")]

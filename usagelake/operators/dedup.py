@@ -42,8 +42,8 @@ def concat_set(value: Column, separator: str = ", ") -> Column:
 
 
 def content_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 over the business columns in name order."""
-    return F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in sorted(columns)]), 256)
+    """SHA-256 over the business columns in name order; a null is written as a marker, so it keeps its place."""
+    return F.sha2(F.concat_ws("||", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(columns)]), 256)
 
 
 def hashed_history(df: DataFrame, ignore: Sequence[str] = (), name: str = "hash_id") -> DataFrame:

@@ -7,6 +7,7 @@ target; a larger one is full-joined on the keys.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,11 +16,19 @@ from pyspark.sql import functions as F
 from usagelake.session import BROADCAST_BYTES, fits
 
 
-def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pass rows through, failing the job on a repeated key (as MERGE does)."""
+def check_unique(df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Pass rows through, failing the job on a repeated key (as MERGE does).
+
+    Unless `null_safe`, keys with a null match nothing and may repeat; their rows are spread over all tasks.
+    """
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     repeated = F.raise_error(F.concat(F.lit("more than one source row for key: "), shown))
-    counted = df.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    missing = F.lit(False)
+    for key in [] if null_safe else keys:
+        missing = missing | F.col(key).isNull()
+    spread = F.when(missing, F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    same = F.count(F.lit(1)).over(Window.partitionBy(*keys, spread))
+    counted = df.withColumn("_same", F.when(missing, F.lit(1)).otherwise(same))
     return counted.where(F.when(F.col("_same") > 1, repeated.cast("boolean")).otherwise(F.lit(True))).drop("_same")
 
 
@@ -50,7 +59,9 @@ def upsert(
         raise ValueError(f"update of columns the target lacks: {sorted(unknown)}")
     names, have = target.columns, set(source.columns)
     tgt = target.withColumn("_in_t", F.lit(1)).alias("t")
-    src = check_unique(source, keys).withColumn("_in_s", F.lit(1)).alias("s")
+    if insert and not update:
+        return _inserted(target, source, keys, insert_values, null_safe)
+    src = check_unique(source, keys, null_safe).withColumn("_in_s", F.lit(1)).alias("s")
     on = _on(keys, null_safe)
     hit = F.col("s._in_s").isNotNull()
     if condition:
@@ -81,6 +92,16 @@ def upsert(
     )
 
 
+def _inserted(target: DataFrame, source: DataFrame, keys: Sequence[str], values: Mapping[str, str], null_safe: bool) -> DataFrame:
+    """Target and the source rows whose key it lacks; repeated source rows all come in, as in a merge."""
+    fresh = source.alias("s").join(target.select(*keys).distinct().alias("t"), _on(keys, null_safe), "left_anti")
+    have = set(source.columns)
+    return target.unionByName(fresh.select(*[
+        (F.expr(values[f.name]) if f.name in values else F.col(f"s.{f.name}") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.schema.fields
+    ]))
+
+
 def _others(target: DataFrame, source: DataFrame, keys: Sequence[str], skip: Sequence[str] = ()) -> list[str]:
     return [c for c in target.columns if c in source.columns and c not in keys and c not in skip]
 
@@ -127,6 +148,11 @@ def keep_nulls_out(
     return upsert(target, source, keys, update=changes, condition=condition, insert=False, **options)
 
 
+def _quoted(text: str) -> str:
+    """A SQL text literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def accumulate(
     target: DataFrame,
     source: DataFrame,
@@ -138,11 +164,15 @@ def accumulate(
     update: Mapping[str, str] | None = None,
     **options,
 ) -> DataFrame:
-    """Add counters and unite delimited id sets of matched rows."""
-    changes = {c: f"t.`{c}` + s.`{c}`" for c in add}
+    """Add counters and unite delimited id sets of matched rows; a missing counter adds nothing.
+
+    Where both counters are missing the sum stays missing.
+    """
+    changes = {c: f"CASE WHEN t.`{c}` IS NULL THEN s.`{c}` ELSE t.`{c}` + coalesce(s.`{c}`, 0) END" for c in add}
+    apart, pattern = _quoted(separator), _quoted(re.escape(separator))
     for c in merge_sets:
-        both = f"split(concat_ws('{separator}', t.`{c}`, s.`{c}`), '{separator}')"
-        changes[c] = f"concat_ws('{separator}', array_sort(array_distinct({both})))"
+        both = f"filter(split(concat_ws({apart}, t.`{c}`, s.`{c}`), {pattern}), x -> x <> '')"
+        changes[c] = f"nullif(concat_ws({apart}, array_sort(array_distinct({both}))), '')"
     return upsert(target, source, keys, update={**changes, **dict(update or {})}, **options)
 
 
@@ -166,10 +196,10 @@ def set_status(
     """Status transition of the rows named by `source`, optionally only from given states."""
     condition = None
     if allowed_from is not None:
-        states = ", ".join(f"'{s}'" for s in allowed_from)
+        states = ", ".join(_quoted(s) for s in allowed_from)
         condition = f"t.`{column}` IN ({states})"
     picked = source.select(*keys).distinct()
-    return upsert(target, picked, keys, update={column: f"'{value}'"}, condition=condition, insert=False, **options)
+    return upsert(target, picked, keys, update={column: _quoted(value)}, condition=condition, insert=False, **options)
 
 
 def version_bump(

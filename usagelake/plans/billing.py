@@ -17,6 +17,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -597,7 +599,11 @@ def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type:
 
 
 def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Reference, clock: Clock, minutes: int = 15) -> DataFrame:
-    """Comments that depend on the whole ledger, for lines touched in the last `minutes`."""
+    """Comments that depend on the whole ledger, for lines touched in the last `minutes`.
+
+    Of several invoice periods in force, a line is late if it is so for any one. Two choices are deliberate: a line
+    without `updated_by` counts as not patched, and invoice dates are taken per programme.
+    """
     m = R.COMMENTS
     since = F.lit(clock.now - timedelta(minutes=minutes))
     touched = F.coalesce((F.col("version") == 1) & ((F.col("created_at") >= since) | (F.col("updated_at") >= since)), F.lit(False))
@@ -618,7 +624,8 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
         .where(F.expr(f"version = 1 AND _class = '{R.CLASSES['no_association']}' AND created_at <= _invoiced"))
         .select(*day_keys).distinct().withColumn("_earlier", F.lit(True))
     )
-    periods = ref.periods.where(F.lit(clock.now).between(F.col("period_start"), F.col("period_end"))).select("period_start").first()
+    periods = ref.periods.where(F.lit(clock.now).between(F.col("period_start"), F.col("period_end"))).select("period_start").distinct().orderBy("period_start")
+    starts = [row.period_start for row in periods.collect()]
     joined = described(recent).join(several, "consumer_id", "left").join(earlier, day_keys, "left")
     current = F.col("version") == 1
     empty = F.coalesce(F.col("comments"), F.lit("")) == ""
@@ -652,14 +659,14 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
         current & open_comment & F.col("_earlier") & (created > F.col("_invoiced")) & (created >= since) & ~by_patch,
         m["update_no_association"],
     )
-    if periods is not None:
-        start = F.lit(periods["period_start"])
+    if starts:
         text = (
             F.when(F.col("_class") == R.CLASSES["per_patient"], m["late_new"])
             .when(F.col("_class") == R.CLASSES["follow_up"], m["late_follow_up"])
             .when(F.col("_class") == R.CLASSES["no_association"], m["late_no_association"])
         )
-        out = note(out, current & empty & text.isNotNull() & (F.col("cycle_date") < start.cast("date")) & (created > start) & (created >= since), text)
+        late = reduce(or_, [(F.col("cycle_date") < F.lit(s).cast("date")) & (created > F.lit(s)) for s in starts])
+        out = note(out, current & empty & text.isNotNull() & late & (created >= since), text)
     return out.select(*details.columns).unionByName(rest)
 
 

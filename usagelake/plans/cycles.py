@@ -118,8 +118,9 @@ def build_cycles(
 
 
 def merge_cycles(target: DataFrame, cycles: DataFrame, generation: Generation) -> DataFrame:
+    """Insert cycles whose keys the target lacks; heads of one record are rows of their own."""
     keys = CYCLE_KEYS if generation.with_card else RS_CYCLE_KEYS
-    one = latest_by(cycles, keys, [F.col("event_end").desc(), F.col("cycle_id").asc()])
+    one = latest_by(cycles, [*keys, "head"], [F.col("event_end").desc(), F.col("cycle_id").asc()])
     return insert_only(target, one.select(*target.columns), keys)
 
 
@@ -305,5 +306,26 @@ def own_gen1(cycles: DataFrame, equipment: DataFrame, bucket: str = "365 days")
     return latest_by(marked, ["cycle_count", "card"], [F.col("begin_ts").desc(), F.col("file_name").asc()])
 
 
+def file_serial(file_name: str | Column) -> Column:
+    """Device serial in a gen-1 file name: its second part."""
+    name = F.col(file_name) if isinstance(file_name, str) else file_name
+    return F.trim(F.upper(F.get(F.split(F.replace(name, F.lit("%20"), F.lit(" ")), "_"), F.lit(1))))
+
+
 def merge_gen1(target: DataFrame, cycles: DataFrame) -> DataFrame:
-    return insert_only(target, cycles.select(*target.columns), ["file_name", "card", "cycle_count", "begin_ts"], null_safe=True)
+    """Insert cycles that are new by device serial, card, cycles left and begin time, in whichever file they come.
+
+    Missing serials and cards are empty, a missing count is 0; a cycle without begin time equals no other. Of equal
+    cycles in one batch the first file's stays.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "_serial": F.coalesce(file_serial("file_name"), F.lit("")), "_card": F.upper(F.coalesce("card", F.lit(""))),
+            "_left": F.coalesce("cycle_count", F.lit(0)), "_begin": F.col("begin_ts"),
+        })
+
+    keys = ["_serial", "_card", "_left", "_begin"]
+    batch = keyed(cycles.select(*target.columns))
+    dated = latest_by(batch.where("begin_ts IS NOT NULL"), keys, [F.col("file_name").asc()])
+    fresh = insert_only(keyed(target), dated.unionByName(batch.where("begin_ts IS NULL")), keys)
+    return fresh.select(*target.columns)

@@ -103,7 +103,8 @@ def count_report(left: DataFrame, right: DataFrame, day: str, keys: Sequence[str
 
 
 def measure_hash(columns: Sequence[str]) -> Column:
-    return F.sha2(F.concat_ws("", *[F.col(c).cast("string") for c in columns]), 256)
+    """SHA-256 over the measures; values are kept apart and nulls in place."""
+    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256)
 
 
 def compare_hashed(left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

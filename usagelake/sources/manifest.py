@@ -20,7 +20,7 @@ def classify_archives(manifest: DataFrame, created: str = "created") -> DataFram
     """
     name, container = F.col("file_name"), F.lower("container")
     parts = F.split(name, "_")
-    extensions = F.slice(F.split(F.lower(name), r"\."), 2, 20)
+    extensions = F.filter(F.split(F.lower(name), r"\."), lambda _, i: i > 0)
     zipped = F.array_contains(extensions, "zip")
     named = F.size(parts) >= NAME_PARTS
     status = F.when(~zipped, "notzipfile").when(named, "valid").otherwise("invalid")

@@ -96,7 +96,7 @@ def with_capture(function: BatchFunction, stage: str, log_path: str, clock: Call
         try:
             function(batch, batch_id)
         except Exception as error:  # noqa: BLE001 - any failure is kept for replay
-            failed = capture_failed(batch, stage, str(batch_id), f"{type(error).__name__}: {error}"[:4000], clock())
+            failed = capture_failed(batch, stage, str(batch_id), f"{type(error).__name__}: {error}", clock())
             failed.drop("stage").write.mode("overwrite").parquet(f"{folder}/v={version + 1}")
             return
         if waiting is not None:

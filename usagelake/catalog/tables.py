@@ -346,7 +346,7 @@ def accrual_summary(t: Tables) -> DataFrame:
 @query("compare_hashed", """
     WITH a AS (SELECT o_custkey AS k, count(*) AS n, CAST(min(o_orderkey) AS BIGINT) AS m FROM orders GROUP BY o_custkey),
     b AS (SELECT o_custkey AS k, count(DISTINCT o_orderkey) AS n, min(l_orderkey) AS m FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey)
-    SELECT coalesce(a.k, b.k) AS k, sha256(a.n || '' || a.m) AS l_hash, sha256(b.n || '' || b.m) AS r_hash,
+    SELECT coalesce(a.k, b.k) AS k, sha256(a.n || chr(31) || a.m) AS l_hash, sha256(b.n || chr(31) || b.m) AS r_hash,
            CASE WHEN a.n = b.n AND a.m = b.m THEN 'Matched' WHEN a.k IS NULL THEN 'Missing left' WHEN b.k IS NULL THEN 'Missing right' ELSE 'Not Matched' END AS verdict
     FROM a FULL JOIN b ON a.k = b.k
 """)

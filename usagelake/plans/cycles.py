@@ -326,6 +326,7 @@ def merge_gen1(target: DataFrame, cycles: DataFrame) -> DataFrame:
 
     keys = ["_serial", "_card", "_left", "_begin"]
     batch = keyed(cycles.select(*target.columns))
-    dated = latest_by(batch.where("begin_ts IS NOT NULL"), keys, [F.col("file_name").asc()])
+    order = [F.col(c).asc_nulls_first() for c in ("file_name", "cycle_count", "card")]
+    dated = latest_by(batch.where("begin_ts IS NOT NULL"), keys, order)
     fresh = insert_only(keyed(target), dated.unionByName(batch.where("begin_ts IS NULL")), keys)
     return fresh.select(*target.columns)

@@ -19,7 +19,7 @@ FILE_COLUMNS = {
 HEADER_FIELDS = ("format_version", "header_date", "header_time", "log_type", "dest", "source", "command", "store_id", "contract")
 
 
-def with_file_columns(df: DataFrame, text: DataFrame | None = None) -> DataFrame:
+def with_file_columns(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.col(source).alias(name) for name, source in FILE_COLUMNS.items()])
 
 
@@ -64,12 +64,17 @@ def _delimited(reader, schema, sep, header, rescued, options):
     return reader.schema(schema).option("sep", sep).option("header", header).options(**options)
 
 
-def read_reference_csv(spark: SparkSession, path: str, casts: dict[str, str] | None = None) -> DataFrame:
+def read_reference_csv(spark: SparkSession, path: str, casts: dict[str, str] | None = None, sep: str = ",") -> DataFrame:
     """Small headered reference file: all text, then soft casts."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in (casts or {}).items()})
 
 
+def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, **options: str) -> DataFrame:
+    """JSON lines with a fixed schema; fields that a line lacks are null."""
+    return with_file_columns(spark.read.schema(schema).options(**options).json(path))
+
+
 def parse_header_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Log line = nine comma-separated header fields, then JSON up to the line end.
 
@@ -122,10 +127,10 @@ def latest_file_rows(df: DataFrame, folder: str = "folder", mtime: str = "file_m
     return df.join(newest, [folder, path], "left_semi")
 
 
-def copy_delimited(spark: SparkSession, src: str, dst: str, sep: str = ",", header: bool = True) -> None:
-    """Delimited to delimited, every field quoted."""
-    df = spark.read.option("sep", sep).option("header", header).option("inferSchema", False).csv(src)
-    df.write.mode("overwrite").option("sep", sep).option("header", header).option("quoteAll", True).csv(dst)
+def copy_delimited(spark: SparkSession, src: str, dst: str, sep: str = ",", header: bool = True, **options: str) -> None:
+    """Delimited to delimited, every field quoted; `options` (such as the escape sign) hold on both sides."""
+    df = spark.read.option("sep", sep).option("header", header).option("inferSchema", False).options(**options).csv(src)
+    df.write.options(**options).mode("overwrite").option("sep", sep).option("header", header).option("quoteAll", True).csv(dst)
 
 
 def append(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), single_file: bool = False) -> None:
@@ -183,4 +188,3 @@ def files_by_folder(df: DataFrame, path: str = "file_path") -> DataFrame:
     return df.withColumn("folder", F.regexp_replace(F.col(path), "/[^/]*$", ""))
 
 
-__all__ = [name for name in dir() if not name.startswith("_") and name not in ("Window",)]

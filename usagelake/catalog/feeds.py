@@ -70,7 +70,7 @@ def copy_quoted(t: Tables) -> DataFrame:
 
 
 @query("newest_file_rows", """
-    WITH f AS (SELECT event_type, user_id, date_trunc('day', max(ts)) AS mtime FROM events GROUP BY ALL
+    WITH f AS (SELECT event_type, user_id, date_trunc('day', max(ts)) AS mtime FROM events GROUP BY event_type, user_id
                QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY mtime DESC, user_id DESC) = 1)
     SELECT event_type AS folder, user_id, event_id FROM events JOIN f USING (event_type, user_id)
 """)

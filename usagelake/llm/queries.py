@@ -70,7 +70,18 @@ def op9_hashed_ngrams(table) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table("labels")))
 
 
-@query("op4_doubling_windows")
+@query("op4_doubling_windows", r"""
+WITH texts AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + 49], ' ') AS run FROM texts, unnest(range(1, len(words) - 48)) AS t(i)),
+heads AS (SELECT run, min(doc_id) AS head FROM windows GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, i + j AS n FROM windows JOIN heads USING (run), range(0, 50) AS k(j) WHERE doc_id > head),
+words AS (SELECT doc_id, w, n FROM texts, unnest(words) WITH ORDINALITY AS t(w, n)),
+judged AS (SELECT w.*, g.n IS NOT NULL AS removed FROM words w LEFT JOIN gone g USING (doc_id, n)),
+cut AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE removed) AS n_removed,
+        string_agg(w, ' ' ORDER BY n) FILTER (WHERE NOT removed) AS kept FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+""")
 def op4_doubling_windows(table) -> DataFrame:
     cut = substrings.cut_repeats(table("documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -41,7 +41,7 @@ def _ranked(rows: DataFrame, keys: list[str], scratch: Scratch, name: str) -> Da
     condition = same[0]
     for one in same[1:]:
         condition = condition & one
-    out = scratch.store(rows.join(ranks, condition).select("doc_id", "tag", "pos", F.col("g_place").alias("rank")), name)
+    out = scratch.store(rows.join(ranks.hint("merge"), condition).select("doc_id", "tag", "pos", F.col("g_place").alias("rank")), name)
     scratch.drop(f"{name}-ranks")
     return out
 
@@ -55,7 +55,7 @@ def repeated_suffixes(docs: DataFrame, scratch: Scratch, level: int = LEVEL) ->
         F.transform(full, lambda line: F.struct(F.xxhash64(line).alias("one"), F.xxhash64(F.lit(1), line).alias("two"))).alias("lines"),
     ), "hashed")
     first = hashed.groupBy("tag", "tag_two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    copies = hashed.join(first.where("first < last"), ["tag", "tag_two"]).where("doc_id > first").where(
+    copies = hashed.join(first.where("first < last").hint("merge"), ["tag", "tag_two"]).where("doc_id > first").where(
         F.size("lines") >= 2**level).select("doc_id", "tag").distinct()
     copies = scratch.store(copies, "copies")
     single = hashed.join(first.select("tag", "tag_two", F.col("first").alias("doc_id")), ["tag", "tag_two", "doc_id"], "left_semi")
@@ -67,14 +67,14 @@ def repeated_suffixes(docs: DataFrame, scratch: Scratch, level: int = LEVEL) ->
         if k >= level:
             order = F.struct("doc_id", "tag", "pos")
             heads = now.groupBy(F.col("rank").alias("h_rank")).agg(F.min(order).alias("head"))
-            found = now.join(heads, F.col("rank") == F.col("h_rank")).where(order > F.col("head")).select(
+            found = now.join(heads.hint("merge"), F.col("rank") == F.col("h_rank")).where(order > F.col("head")).select(
                 "doc_id", "tag", "pos", F.lit(2**k).cast("long").alias("depth"))
             later = found if later is None else later.union(found)
         if k > level and now.isEmpty() or k == ROUNDS:
             break
         ahead = now.select(F.col("doc_id").alias("n_id"), F.col("tag").alias("n_tag"), (F.col("pos") - 2**k).alias("n_pos"),
                            F.col("rank").alias("next"))
-        pairs = now.join(ahead, (F.col("doc_id") == F.col("n_id")) & (F.col("tag") == F.col("n_tag")) & (F.col("pos") == F.col("n_pos")))
+        pairs = now.join(ahead.hint("merge"), (F.col("doc_id") == F.col("n_id")) & (F.col("tag") == F.col("n_tag")) & (F.col("pos") == F.col("n_pos")))
         now, k = _ranked(pairs.select("doc_id", "tag", "pos", "rank", "next"), ["rank", "next"], scratch, f"level-{k + 1}"), k + 1
     return later.groupBy("doc_id", "tag", "pos").agg(F.max("depth").alias("depth")), copies
 
@@ -121,6 +121,7 @@ def cut_runs(docs: DataFrame, level: int = LEVEL) -> DataFrame:
         copies.select("doc_id", "tag", F.lit(None).cast("array<int>"), F.lit(True)))
     marks = scratch.store(marks, "marks")
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("tag", F.xxhash64("text"))
-    joined = texts.join(marks, (F.col("doc_id") == F.col("s_id")) & (F.col("tag") == F.col("s_tag")), "left")
+    # Marks grow with the texts, so they are never broadcast: the plan is the same at every size.
+    joined = texts.join(marks.hint("merge"), (F.col("doc_id") == F.col("s_id")) & (F.col("tag") == F.col("s_tag")), "left")
     return joined.select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(
         _cut(2**level), "doc_id long, n_lines long, n_removed long, kept_text string")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelake.operators.groups import as_column, number_in_group
+from usagelake.operators.groups import BUCKET, GROUP, ORDER, as_column, number_in_group, split_groups
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -103,17 +103,27 @@ def duplicate_flags(
     Counters: by card-cycle-head, the same within a date, within a device, and
     within device and date. Flags are 'Y'/'N'; `used_count` counts the first
     sighting per device and date.
+
+    Rows move three times: by cycle and date for the two counters of a date, by cycle and bucket for the two that
+    cross dates, and to the counts of earlier buckets. Those counts are one small table for both counters.
     """
-    base = [card, cycle, head]
-    counters = {
-        "seq_cycle": base,
-        "seq_cycle_date": [*base, date],
-        "seq_cycle_device": [*base, *device],
-        "seq_cycle_date_device": [*base, date, *device],
-    }
-    numbered = df
-    for name, keys in counters.items():
-        numbered = number_in_group(numbered, keys, order, name, bucket=bucket, skeleton=df)
+    split = split_groups(df, [card, cycle, head], order, bucket).withColumn("_device", F.struct(*[F.col(d) for d in device]))
+    day = Window.partitionBy(GROUP, date).orderBy(ORDER)
+    day_device = Window.partitionBy(GROUP, date, "_device").orderBy(ORDER)
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy(ORDER)
+    inside_device = Window.partitionBy(GROUP, BUCKET, "_device").orderBy(ORDER)
+    so_far = Window.partitionBy(GROUP, "_device").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy(GROUP).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = split.groupBy(GROUP, "_device", BUCKET).agg(F.count(F.lit(1)).alias("_n")).select(
+        GROUP, "_device", BUCKET, F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_before_device"),
+        (F.sum("_n").over(up_to) - F.sum("_n").over(Window.partitionBy(GROUP, BUCKET))).alias("_before"))
+    numbered = split.withColumns({
+        "seq_cycle_date": F.row_number().over(day).cast("long"),
+        "seq_cycle_date_device": F.row_number().over(day_device).cast("long"),
+    }).withColumns({"_rn": F.row_number().over(inside), "_rn_device": F.row_number().over(inside_device)})
+    numbered = numbered.join(before, [GROUP, "_device", BUCKET]).withColumns({
+        "seq_cycle": F.col("_before") + F.col("_rn"), "seq_cycle_device": F.col("_before_device") + F.col("_rn_device"),
+    }).drop(GROUP, ORDER, BUCKET, "_device", "_rn", "_rn_device", "_before", "_before_device")
     first_use = (F.col("seq_cycle") == 1) & (F.col("seq_cycle_date_device") == 1)
 
     def flag(good: Column) -> Column:

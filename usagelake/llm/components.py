@@ -10,20 +10,20 @@ from usagelake.llm.common import Scratch
 ROUNDS = 40
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """(a, least b) for each a; summed before the shuffle."""
-    return edges.groupBy(F.col("a").alias("m_a")).agg(F.min("b").alias("m"))
+def _least(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(a, least b) for each a; summed before the shuffle, and stored so that the join back can split a large hub."""
+    return scratch.store(edges.groupBy(F.col("a").alias("m_a")).agg(F.min("b").alias("m")), name)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = both.join(_least(both), F.col("a") == F.col("m_a"))
+    joined = both.join(_least(both, scratch, "least-large"), F.col("a") == F.col("m_a"))
     return joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = _least(down)
+    least = _least(down, scratch, "least-small")
     moved = down.join(least, F.col("a") == F.col("m_a")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("m_a", "m")).distinct()
 
@@ -36,9 +36,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     at, mark = scratch.store(edges.where("a <> b").distinct(), "edges-0"), None
     for turn in range(1, ROUNDS + 1):
-        after = scratch.store(_small_star(_large_star(at)), f"edges-{turn}")
+        large = scratch.store(_large_star(at, scratch), f"large-{turn}")
+        after = scratch.store(_small_star(large, scratch), f"edges-{turn}")
         now = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
-        scratch.drop(f"edges-{turn - 1}")
+        scratch.drop(f"edges-{turn - 1}", f"large-{turn}", "least-large", "least-small")
         if now == mark:
             break
         at, mark = after, now

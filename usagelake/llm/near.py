@@ -177,7 +177,8 @@ def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similar
     signed = scratch.store(
         texts.select("doc_id", digest(F.col("text")).alias("sha"), "text").mapInArrow(
             _signer(words, bands, rows), "doc_id long, sha binary, bands array<long>, registers binary"), "signed")
-    first = signed.groupBy("sha").agg(F.min("doc_id").alias("id"))
+    # Stored, so that the join back can split a large group of copies.
+    first = scratch.store(signed.groupBy("sha").agg(F.min("doc_id").alias("id")), "first")
     members = scratch.store(signed.select("doc_id", "sha").join(first, "sha").select("doc_id", "id", "sha"), "members")
     single = signed.join(first.select(F.col("id").alias("doc_id"), "sha"), ["doc_id", "sha"]).groupBy("doc_id", "sha").agg(
         F.first("bands").alias("bands"), F.first("registers").alias("registers"))
@@ -201,7 +202,7 @@ def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similar
         .select("a", "b", "text", "text_b").mapInArrow(_verifier(words, similarity), "a long, b long, similarity double")
     )
     links = scratch.store(links, "links")
-    scratch.drop("signed", "pairs", "near", "bodies", "single")
+    scratch.drop("signed", "first", "pairs", "near", "bodies", "single")
     return links, members
 
 

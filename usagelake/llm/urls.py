@@ -103,6 +103,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
     in_class = by_form.join(aliases, F.col("form") == F.col("alias"), "left").select(
         F.coalesce("component", "form").alias("class"), "allows", "blocks")
     classes = in_class.groupBy("class").agg(F.max("allows").alias("allows"), F.max("blocks").alias("blocks"))
+    classes = scratch.store(classes, "classes")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), rule_of(url, rules).alias("own"),
                         common_form(url).alias("form"))
     placed = rows.join(aliases, F.col("form") == F.col("alias"), "left").withColumn("its", F.coalesce("component", "form"))

@@ -54,7 +54,9 @@ def repeated_suffixes(docs: DataFrame, scratch: Scratch, level: int = LEVEL) ->
         "doc_id", F.xxhash64("text").alias("tag"), F.xxhash64(F.lit(1), "text").alias("tag_two"),
         F.transform(full, lambda line: F.struct(F.xxhash64(line).alias("one"), F.xxhash64(F.lit(1), line).alias("two"))).alias("lines"),
     ), "hashed")
-    first = hashed.groupBy("tag", "tag_two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    # Stored, as are other groups below, so that the join back can split a large one.
+    first = scratch.store(
+        hashed.groupBy("tag", "tag_two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "first")
     copies = hashed.join(first.where("first < last").hint("merge"), ["tag", "tag_two"]).where("doc_id > first").where(
         F.size("lines") >= 2**level).select("doc_id", "tag").distinct()
     copies = scratch.store(copies, "copies")
@@ -66,7 +68,7 @@ def repeated_suffixes(docs: DataFrame, scratch: Scratch, level: int = LEVEL) ->
     while True:
         if k >= level:
             order = F.struct("doc_id", "tag", "pos")
-            heads = now.groupBy(F.col("rank").alias("h_rank")).agg(F.min(order).alias("head"))
+            heads = scratch.store(now.groupBy(F.col("rank").alias("h_rank")).agg(F.min(order).alias("head")), f"heads-{k}")
             found = now.join(heads.hint("merge"), F.col("rank") == F.col("h_rank")).where(order > F.col("head")).select(
                 "doc_id", "tag", "pos", F.lit(2**k).cast("long").alias("depth"))
             later = found if later is None else later.union(found)

@@ -61,6 +61,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     groups = lists.groupBy(*same).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(
         F.col("recipe").alias("g_recipe"), F.col("text_bytes").alias("g_bytes"), F.col("ids").alias("g_ids"),
         F.col("numbers").alias("g_numbers"), "keep_id", "group_size")
+    # Stored, so that the join back can split a large group.
+    groups = scratch.store(groups, "groups")
     joined = lists.join(
         groups, (F.col("recipe") == F.col("g_recipe")) & (F.col("text_bytes") == F.col("g_bytes"))
         & (F.col("ids") == F.col("g_ids")) & F.col("numbers").eqNullSafe(F.col("g_numbers")))

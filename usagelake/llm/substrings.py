@@ -157,12 +157,13 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, window: int = WINDOW) ->
     opened = scratch.store(opened, "opened")
     first = opened.groupBy(F.col("one").alias("f_one"), F.col("two").alias("f_two")).agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    first = scratch.store(first, "first")
     again = opened.join(first, (F.col("one") == F.col("f_one")) & (F.col("two") == F.col("f_two"))).where("doc_id > first")
     gone = found.where("copy").select("doc_id", "tag", "start", "n").union(
         again.select("doc_id", "tag", "start", F.lit(1)))
     stretches = gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n")).alias("stretches"))
     stretches = scratch.store(stretches, "stretches")
-    scratch.drop("found", "opened")
+    scratch.drop("found", "opened", "first")
     return stretches
 
 

@@ -97,13 +97,17 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], order: np.ndarray) ->
 
 
 def _with_constant(place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.append(place, SIZE), np.append(value, 1.0)
+    return np.append(place, np.int32(SIZE)), np.append(value, 1.0)
 
 
 def _shard(table: pa.Table) -> pa.Table:
-    place, value, begin = features(table.column("text").combine_chunks())
-    rows = [(*_with_constant(place[i:j], value[i:j]), label)
-            for i, j, label in zip(begin, begin[1:], table.column("label").to_pylist())]
+    """Weights of one shard; its texts become features slice by slice."""
+    rows: list[tuple[np.ndarray, np.ndarray, int]] = []
+    for batch in slices(table.select(["text", "label"]).to_batches(), "text"):
+        place, value, begin = features(batch.column("text"))
+        place = place.astype(np.int32)
+        rows += [(*_with_constant(place[i:j], value[i:j]), label)
+                 for i, j, label in zip(begin, begin[1:], batch.column("label").to_pylist())]
     weights = _train(rows, np.argsort(table.column("spread").to_numpy()))
     used = np.flatnonzero(weights)
     return pa.table({"place": pa.array(used, pa.int64()), "weight": pa.array(weights[used])})

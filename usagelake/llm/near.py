@@ -9,8 +9,8 @@ with centres of its own. Signatures are compared first, then texts are verified
 `CENTRES + 1` texts have all their pairs compared.
 
 Defined results: null and wordless texts have no shingles and are joined to nothing but their exact copies; a text of
-fewer words than a shingle is one shingle. Rows without doc_id are left out of the classes and never dropped by
-`drop_near`. An empty table gives an empty result. Columns other than doc_id and text are not looked at.
+fewer words than a shingle is one shingle. Rows that share a doc_id are one member, linked by any of their texts. Rows
+without doc_id are left out of the classes and never dropped by `drop_near`. An empty table gives an empty result. Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -193,7 +193,7 @@ def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similar
     near = scratch.store(near, "near")
     wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(single.select("id", "sha"), "id")
     bodies = texts.select("doc_id", digest(F.col("text")).alias("t_sha"), "text").join(
-        wanted, (F.col("doc_id") == F.col("id")) & (F.col("t_sha") == F.col("sha")), "left_semi").groupBy("doc_id").agg(
+        wanted, (F.col("doc_id") == F.col("id")) & (F.col("t_sha") == F.col("sha")), "left_semi").groupBy("doc_id", "t_sha").agg(
         F.first("text").alias("text"))
     bodies = scratch.store(bodies, "bodies")
     links = (

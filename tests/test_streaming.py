@@ -92,3 +92,13 @@ def test_the_whole_error_text_is_kept(spark, frame, tmp_path):
 
     R.with_capture(job, "long", str(tmp_path / "log"), lambda: AT)(frame("k int", (1,)), 0)
     assert len(read_snapshot(spark, f"{tmp_path}/log/stage=long").first().error_message) == 9000 + len("RuntimeError: ")
+
+
+def test_captured_rows_come_back_whole(frame):
+    from usagelake.plans.intake import capture_failed, replay_failed
+
+    schema = "k long, at timestamp, local timestamp_ntz, v double, s string, b boolean, d date"
+    exact = datetime(2024, 1, 2, 3, 4, 5, 123456)
+    batch = frame(schema, (2**60 + 1, exact, exact, 0.1, "é\n\"", True, exact.date()), (None,) * 7)
+    captured = capture_failed(batch, "s", "1", "m", AT)
+    assert sorted(map(str, replay_failed(captured, "s", batch.schema).collect())) == sorted(map(str, batch.collect()))

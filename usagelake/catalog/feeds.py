@@ -1,18 +1,23 @@
-"""Queries for file sources and sinks, and for merges into filled targets, on the test tables."""
+"""Queries for file sources and sinks, streams of several batches, and merges into filled targets, on the test tables."""
 
 from __future__ import annotations
 
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelake.catalog.registry import Tables, query
+from usagelake.functions import columns as K
 from usagelake.operators import upsert as U
+from usagelake.operators.dedup import latest_by
 from usagelake.plans import cycles as C
+from usagelake.plans import reports
 from usagelake.session import shared_folder
 from usagelake.sources import files
-from usagelake.sources.snapshots import bucket_column, compact, update_partitions
+from usagelake.sources.snapshots import bucket_column, compact, read_snapshot, update_partitions
+from usagelake.streaming.runner import drain, upsert_batches, with_capture
 
 
 def _folder(t: Tables, name: str) -> str:
@@ -116,6 +121,90 @@ def partition_upsert(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("c_custkey", "c_mktsegment")
 
 
+# ---- streams ---------------------------------------------------------------
+
+
+@query("stream_replay", """
+    SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def stream_replay(t: Tables) -> DataFrame:
+    """Events in four files, one per micro-batch; the second batch fails, is captured and comes again with the third."""
+    root, keys = _folder(t, "replay"), ["user_id", "event_type"]
+    rows = t.events.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    for part in range(4):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def last(batch: DataFrame) -> DataFrame:
+        return latest_by(batch, keys, [F.col("ts").desc(), F.col("event_id").desc()])
+
+    merge = upsert_batches(f"{root}/state", rows.limit(0), lambda old, new: U.update_if_newer(old, last(new), keys, "ts"))
+
+    def flaky(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("no disk")
+        merge(batch, batch_id)
+
+    source = files.stream_table(t.spark, f"{root}/in", rows.schema, max_files=1)
+    drain(source, with_capture(flaky, "state", f"{root}/log", lambda: datetime(2024, 1, 1)), f"{root}/checkpoint")
+    return read_snapshot(t.spark, f"{root}/state").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# ---- columns, filters, file lists ------------------------------------------
+
+
+@query("row_stamps", """
+    SELECT p_partkey, 'job' AS created_by, TIMESTAMP '2024-01-01' AS updated_at,
+           sha256(CAST(p_partkey AS VARCHAR) || chr(31) || coalesce(CASE WHEN p_size > 10 THEN p_name END, '\\N')) AS row_id FROM part
+""")
+def row_stamps(t: Tables) -> DataFrame:
+    rows = t.part.select("p_partkey", F.when(F.col("p_size") > 10, F.col("p_name")).alias("p_name"))
+    stamped = K.stamp(rows, "job", datetime(2024, 1, 1), ["p_partkey", "p_name"])
+    return stamped.select("p_partkey", "created_by", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), "row_id")
+
+
+@query("hidden_columns", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
+def hidden_columns(t: Tables) -> DataFrame:
+    return K.drop_pii(t.customer, ["C_NAME", "c_AcctBal", "absent"])
+
+
+@query("recent_and_effective", """
+    SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-08-01' - INTERVAL 90 DAY AND o_totalprice BETWEEN o_custkey AND o_custkey * 100.0
+""")
+def recent_and_effective(t: Tables) -> DataFrame:
+    held = K.effective_on("o_totalprice", F.col("o_custkey").cast("double"), F.col("o_custkey") * 100.0)
+    return t.orders.where(K.recent("o_orderdate", datetime(2000, 8, 1), 90) & held).select("o_orderkey")
+
+
+@query("insert_uncovered", """
+    SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
+""")
+def insert_uncovered(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    covered = t.lineitem.where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
+    return U.insert_uncovered(rows.where("o_orderkey % 3 = 0"), rows.where("o_orderkey % 3 = 1"), covered=covered, row_key=["o_orderkey"])
+
+
+@query("source_files", """
+    WITH r AS (SELECT event_id AS file_id, upper('dev' || user_id) AS serial, CASE WHEN event_id % 3 = 0 THEN 'COM1' ELSE 'COM3' END AS device_type, event_type,
+                      date_trunc('day', ts) AS stamp, CASE WHEN event_id % 2 = 0 THEN date_trunc('hour', ts) END AS given, ts FROM events),
+    f AS (SELECT *, CASE WHEN device_type = 'COM1' THEN given ELSE coalesce(given, stamp) END AS log_start FROM r)
+    SELECT file_id, serial AS external_serial, log_start,
+           CASE WHEN row_number() OVER (PARTITION BY serial, device_type, event_type, stamp ORDER BY log_start DESC NULLS LAST, ts DESC, file_id) = 1 THEN 1 ELSE 2 END AS unique_sequence
+    FROM f
+""")
+def source_files(t: Tables) -> DataFrame:
+    """Several registry rows of one file, half of them without log times."""
+    at = F.col("event_id")
+    given = F.when(at % 2 == 0, F.date_trunc("hour", "ts")).cast("timestamp")
+    registry = t.events.select(
+        at.alias("file_id"), F.concat(F.lit("dev"), F.col("user_id").cast("string")).alias("external_serial"), F.lit(None).cast("string").alias("internal_serial"),
+        F.when(at % 3 == 0, "COM1").otherwise("COM3").alias("device_type"), F.col("event_type").alias("message_type"),
+        F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("000000.csv")).alias("file_stamp"), F.lit("").alias("file_port"), F.lit("").alias("file_cycle_nbr"),
+        given.alias("log_start"), given.alias("log_end"), F.col("ts").alias("updated_at"))
+    return reports.source_files(registry).select("file_id", "external_serial", F.col("log_start").cast("timestamp_ntz").alias("log_start"), "unique_sequence")
+
+
 # ---- merges into filled targets --------------------------------------------
 
 

@@ -213,10 +213,16 @@ def audit_rows(df: DataFrame, keys: Sequence[str], stage: str, status: str, mess
     )
 
 
+#: Captured rows keep their times whole; nulls are written out.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false",
+}
+
+
 def capture_failed(batch: DataFrame, stage: str, run_id: str, message: str, at: datetime) -> DataFrame:
     """The rows of a failed batch as JSON text, ready to be replayed."""
     return batch.select(
-        F.to_json(F.struct(*batch.columns)).alias("batch_data"),
+        F.to_json(F.struct(*batch.columns), _JSON).alias("batch_data"),
         F.lit(stage).alias("stage"), F.lit(run_id).alias("run_id"), F.lit(message).alias("error_message"),
         F.lit("Failed").alias("status"), F.lit(at).alias("created_at"),
     )
@@ -225,7 +231,7 @@ def capture_failed(batch: DataFrame, stage: str, run_id: str, message: str, at:
 def replay_failed(captured: DataFrame, stage: str, schema: T.StructType) -> DataFrame:
     """Rebuild the rows of captured batches that still wait."""
     waiting = captured.where((F.col("stage") == stage) & (F.col("status") == "Failed"))
-    return waiting.select(F.from_json("batch_data", schema).alias("r")).select("r.*")
+    return waiting.select(F.from_json("batch_data", schema, _JSON).alias("r")).select("r.*")
 
 
 def normalise_serials(df: DataFrame, *columns: str) -> DataFrame:

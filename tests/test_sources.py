@@ -122,3 +122,16 @@ def test_hashes_keep_nulls_in_place(frame):
     assert hashed_history(rows).count() == 2
     left, right = frame("k int, x string, y string", (1, "1", "23"), (2, None, "b")), frame("k int, x string, y string", (1, "12", "3"), (2, "b", None))
     assert {r[-1] for r in compare_hashed(left, right, ["k"], ["x", "y"]).select("verdict").collect()} == {"Not Matched"}
+
+
+def test_an_emptied_partition_goes_and_old_versions_expire(spark, frame, tmp_path):
+    path = str(tmp_path / "p")
+    frame("k int, m int", (1, 1), (2, 2), (3, 2)).write.partitionBy("m").parquet(path)
+    N.update_partitions(spark, path, frame("k int, m int", (2, 2), (3, 2)), "m", lambda t, s: t.join(s, ["k", "m"], "left_anti").select("k", "m"))
+    assert rows_of(spark.read.parquet(path), "k", "m") == [(1, 1)]
+    assert not (tmp_path / "p" / "m=2").exists()
+    for k in range(4):
+        N.write_snapshot(frame("k int", (k,)), str(tmp_path / "s"))
+    N.expire_snapshots(spark, str(tmp_path / "s"))
+    assert sorted(x.name for x in (tmp_path / "s").iterdir() if x.is_dir()) == ["v=3", "v=4"]
+    assert rows_of(N.read_snapshot(spark, str(tmp_path / "s"))) == [(3,)]

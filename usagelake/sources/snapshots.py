@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelake.session import settle
+
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,6 +50,21 @@ def write_snapshot(df: DataFrame, path: str) -> int:
     return version
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest `keep` versions; a reader of an older one must be done."""
+    newest = current_version(spark, path) or 0
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    for status in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root) if newest else ():
+        name = status.getPath().getName()
+        if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) <= newest - keep:
+            _remove(spark, f"{path}/{name}")
+
+
 def update_snapshot(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> int:
     """Read the current version, apply a pure function, write the next version."""
     return write_snapshot(change(read_snapshot(spark, path)), path)
@@ -63,13 +80,16 @@ def update_partitions(
     """Upsert into a partitioned directory, reading and rewriting only touched partitions.
 
     `partition` is a column of both sides (such as a month or a hash of the key);
-    its distinct values in the source are the partitions of one batch.
+    its distinct values in the source are the partitions of one batch. The new
+    rows are stored apart first, so the folder is not read while it is written;
+    a touched partition that has no rows left is removed.
     """
     touched = [row[0] for row in source.select(partition).distinct().collect()]
     if not touched:
         return
     target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    changed = change(target, source)
+    changed = settle(change(target, source))
+    left = {row[0] for row in changed.select(partition).distinct().collect()}
     (
         changed.repartition(F.col(partition))
         .write.mode("overwrite")
@@ -77,6 +97,8 @@ def update_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    for value in set(touched) - left - {None}:
+        _remove(spark, f"{path}/{partition}={value}")
 
 
 def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = 512 * 1024 * 1024) -> int:

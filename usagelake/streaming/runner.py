@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelake.plans.intake import capture_failed, replay_failed
-from usagelake.sources.snapshots import current_version, read_snapshot, write_snapshot
+from usagelake.sources.snapshots import current_version, expire_snapshots, read_snapshot, write_snapshot
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -67,6 +67,7 @@ def upsert_batches(path: str, empty: DataFrame, merge: Callable[[DataFrame, Data
         batch.persist()
         try:
             write_snapshot(merge(target, batch), path)
+            expire_snapshots(spark, path)
         finally:
             batch.unpersist()
 

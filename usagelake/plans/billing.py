@@ -32,7 +32,7 @@ from usagelake.operators.upsert import insert_uncovered, set_status, upsert, ver
 from usagelake.plans import rules as R
 from usagelake.session import settle, small
 
-BUCKET = "365 days"
+BUCKET = "30 days"
 
 SUBSCRIPTION_SCHEMA = (
     "subscription_uuid string, previous_uuid string, consumer_id string, account_uuid string, sold_to string, "
@@ -482,7 +482,7 @@ def number_visits(visits: DataFrame) -> DataFrame:
     """Order of each visit within its subscription and programme."""
     return number_in_group(
         visits, ["subscription_uuid", "promotion_uuid"],
-        ["cycle_date", "first_cycle_ts", "account_uuid", "visit_id"], "visit_no", bucket="30 days",
+        ["cycle_date", "first_cycle_ts", "account_uuid", "visit_id"], "visit_no", bucket="1 day",
     )
 
 
@@ -573,7 +573,7 @@ def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type:
     flagged = with_flags(summed, ref, "PerSubscription")
     numbered = number_in_group(
         flagged.withColumn("billed_amount", F.coalesce("subscription_amount", F.lit(0))),
-        ["covering_uuid", "promotion_uuid"], ["cycle_date", "account_uuid", "detail_uuid"], "visit_no", bucket="30 days", skeleton=covered,
+        ["covering_uuid", "promotion_uuid"], ["cycle_date", "account_uuid", "detail_uuid"], "visit_no", bucket="1 day", skeleton=covered,
     )
     judged = R.apply_rules(
         numbered.withColumnRenamed("comments", "_old_comments"), ref.rules, R.TRUE_UP,

@@ -114,7 +114,7 @@ def build_cycles(
     if generation.with_card:
         keys += ["card", "cycle_nbr"]
     unique = cut(latest_by(timed, keys, [F.col("event_end").desc(), F.col("file_id").asc()]))
-    return assign_sequence(unique, ["start_ts", *[k for k in keys if k != "start_ts"], "file_id"], "cycle_id", bucket="1 day", start=first_id)
+    return assign_sequence(unique, ["start_ts", *[k for k in keys if k != "start_ts"], "file_id"], "cycle_id", bucket="1 minute", start=first_id)
 
 
 def merge_cycles(target: DataFrame, cycles: DataFrame, generation: Generation) -> DataFrame:

@@ -98,6 +98,23 @@ def test_a_large_group_of_near_copies_is_one_class(frame):
     assert got == plain_classes(rows)
 
 
+def test_pairs_in_a_large_family_below_the_threshold(frame, monkeypatch):
+    """All texts share a template (similarity about 0.72); only the two of a pair reach 0.8, and few are near a centre."""
+    monkeypatch.setattr(near, "CENTRES", 1)
+    rng = random.Random(14)
+    template, rows = [f"t{i}" for i in range(257)], []
+    for p in range(75):
+        shared = [f"p{p}n{j}" for j in range(20)]
+        rows += [(2 * p + c, " ".join(template + shared + [f"o{p}n{c}n{j}" for j in range(26)])) for c in (0, 1)]
+    rng.shuffle(rows)
+    # Every shingle stands once in its text, so the similarity is that of the sets.
+    sets = {i: set(shingles(t)) for i, t in rows}
+    linked = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    assert linked == {(i, i + 1) for i in range(0, 150, 2)}
+    want = {i: i - i % 2 for i in sets}
+    assert {r.doc_id: r.class_id for r in near.near_classes(frame(DOCS, *rows)).collect()} == want
+
+
 def test_near_of_an_empty_table(frame):
     assert near.near_classes(frame(DOCS)).count() == 0
     assert near.drop_near(frame(DOCS)).count() == 0

@@ -8,6 +8,13 @@ so the work is linear in its rows; a bucket of more members than that is also cu
 with centres of its own. Signatures are compared first, then texts are verified in full. Buckets of up to
 `CENTRES + 1` texts have all their pairs compared.
 
+What larger buckets leave open is found by an exact join. Open texts are members of such a bucket that are none of its
+centres and, after the components of the links so far, not all of one class. Let u and v be the odds of what two texts
+don't share (its weight : the weight of the rest). Their probability Jaccard is at most 1 / (1 + u + v), so at a
+similarity s u + v is at most 1/s - 1: one text has at most half of that. With shingles in one order (those of fewest
+open texts first), the first shingles of the one (1/9 of its weight at 0.8) and of the other (1/5) then share one. Only
+texts of different classes meet there, and what most texts of a shingle's largest class have in common is not paired.
+
 Defined results: null and wordless texts have no shingles and are joined to nothing but their exact copies; a text of
 fewer words than a shingle is one shingle. Rows that share a doc_id are one member, linked by any of their texts. Rows
 without doc_id are left out of the classes and never dropped by `drop_near`. An empty table gives an empty result. Columns other than doc_id and text are not looked at.
@@ -31,6 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 #: Members of a bucket that all others are compared with.
 CENTRES = 8
+#: Texts of one shingle that meet in one task in the exact join are about so many; a shingle is spread over at most SALTS.
+SALT_TEXTS, SALTS = 1000, 256
 #: Signatures of a pair at the threshold agree less often than this only once in some million cases.
 SLACK = 0.17
 
@@ -146,8 +155,8 @@ def _verifier(words: int, least: float):
     return verify
 
 
-def _candidates(signed: DataFrame, bands: int) -> DataFrame:
-    """Pairs (a < b) of bucket members and centres."""
+def _candidates(signed: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of bucket members and centres, and members (id, key) of large buckets that are no centres there."""
     def deeper(deep: int) -> Column:
         """Keys of finer parts of the buckets, in which the next one or two bands agree too."""
         return F.transform("bands", lambda key, i: F.xxhash64(key, *[F.get("bands", (i + j) % bands) for j in range(1, deep + 1)]))
@@ -163,15 +172,99 @@ def _candidates(signed: DataFrame, bands: int) -> DataFrame:
     centres = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES).select(
         F.col("key").alias("c_key"), F.col("id").alias("centre"))
     met = rows.join(centres, (F.col("key") == F.col("c_key")) & (F.col("id") != F.col("centre")))
-    return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    rest = large.select("id", "key").join(centres, (F.col("key") == F.col("c_key")) & (F.col("id") == F.col("centre")), "left_anti")
+    return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), rest
 
 
-def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similarity: float = SIMILARITY,
-               bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b, similarity) between representatives of different texts, and members (doc_id, id: representative).
+def _verified(pairs: DataFrame, single: DataFrame, texts: DataFrame, scratch: Scratch, name: str, words: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose similarity is `similarity` at least: a, b, similarity."""
+    registers = single.select(F.col("id").alias("x_id"), "registers")
+    near = (
+        pairs.join(registers, F.col("a") == F.col("x_id")).select("a", "b", F.col("registers").alias("r_a"))
+        .join(registers, F.col("b") == F.col("x_id")).select("a", "b", "r_a", F.col("registers").alias("r_b"))
+        .mapInArrow(_alike(similarity - SLACK), "a long, b long")
+    )
+    near = scratch.store(near, f"{name}-near")
+    bodies = scratch.store(_bodies(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), single, texts), f"{name}-bodies")
+    links = (
+        near.join(bodies, F.col("a") == F.col("doc_id")).select("a", "b", "text")
+        .join(bodies.select(F.col("doc_id"), F.col("text").alias("text_b")), F.col("b") == F.col("doc_id"))
+        .select("a", "b", "text", "text_b").mapInArrow(_verifier(words, similarity), "a long, b long, similarity double")
+    )
+    links = scratch.store(links, name)
+    scratch.drop(f"{name}-near", f"{name}-bodies")
+    return links
 
-    The representative of equal texts is the least doc_id.
-    """
+
+def _bodies(ids: DataFrame, single: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each text (doc_id, t_sha, text) of the members `ids`, once."""
+    wanted = ids.join(single.select("id", "sha"), "id")
+    return texts.select("doc_id", digest(F.col("text")).alias("t_sha"), "text").join(
+        wanted, (F.col("doc_id") == F.col("id")) & (F.col("t_sha") == F.col("sha")), "left_semi").groupBy("doc_id", "t_sha").agg(
+        F.first("text").alias("text"))
+
+
+def _exploder(words: int):
+    """One row per distinct shingle of each text, with its count and that of all."""
+
+    def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            hashes, begin = _shingles(batch.column("text"), words)
+            doc, element, count = _weighted(hashes, begin)
+            at = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(at), batch.column("tag").take(at), batch.column("class").take(at),
+                 pa.array(np.diff(begin)[doc].astype(np.int64)), pa.array(element.view(np.int64)), pa.array(count.astype(np.int64))],
+                ["id", "tag", "class", "total", "shingle", "n"])
+
+    return explode
+
+
+def _left_open(rest: DataFrame, found: DataFrame, single: DataFrame, texts: DataFrame, scratch: Scratch, words: int,
+               similarity: float) -> DataFrame | None:
+    """Pairs (a < b) of open texts of different classes, among them all that are similar; None if no text is open."""
+    classed = rest.join(found, "id", "left").select("id", "key", F.coalesce("component", "id").alias("class"))
+    classed = scratch.store(classed, "rest-classed")
+    mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
+    mixed = scratch.store(mixed, "rest-mixed")
+    members = scratch.store(classed.join(mixed.hint("merge"), "key").select("id", "class").distinct(), "open")
+    scratch.drop("rest-classed", "rest-mixed")
+    if members.isEmpty():
+        return None
+    bodies = _bodies(members.select("id"), single, texts).join(members, F.col("doc_id") == F.col("id"))
+    shingles = scratch.store(bodies.select("id", F.xxhash64("t_sha").alias("tag"), "class", "text").mapInArrow(
+        _exploder(words), "id long, tag long, class long, total long, shingle long, n long"), "shingles")
+    groups = shingles.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(
+        F.sum("m").alias("texts"), F.max_by("class", F.struct("m", "class")).alias("most"), F.count(F.lit(1)).alias("classes")).where("texts > 1")
+    groups = scratch.store(groups, "groups")
+    # A shingle of one text alone comes before all others and meets nothing, so only its weight counts.
+    inside = Window.partitionBy("id", "tag")
+    before = F.sum("n").over(inside.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1))
+    alone = F.col("total") - F.sum("n").over(inside)
+    share = (alone + F.coalesce(before, F.lit(0))) / F.col("total")
+    odds = (1 / similarity - 1) / 2
+    rows = shingles.join(groups.hint("merge"), "shingle").withColumn("share", share).where("classes > 1").where(
+        F.col("share") <= 1 - similarity + 1e-9).select(
+        "id", "class", "shingle", (F.col("share") <= odds / (1 + odds) + 1e-9).alias("short"), (F.col("class") != F.col("most")).alias("minor"),
+        F.least(F.ceil(F.col("texts") / SALT_TEXTS), F.lit(SALTS)).alias("salts")).distinct()
+    rows = scratch.store(rows, "firsts")
+    scratch.drop("shingles", "groups")
+
+    def met(one: DataFrame, two: DataFrame) -> DataFrame:
+        one = one.where("short").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+        two = two.select(F.col("id").alias("o_id"), F.col("class").alias("o_class"), F.col("shingle").alias("o_shingle"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("o_salt"))
+        return one.join(two.hint("merge"), (F.col("shingle") == F.col("o_shingle")) & (F.col("salt") == F.col("o_salt")) & (
+            F.col("class") != F.col("o_class"))).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
+
+    pairs = met(rows.where("minor"), rows).union(met(rows.where("NOT minor"), rows.where("minor"))).distinct()
+    pairs = scratch.store(pairs, "open-pairs")
+    scratch.drop("firsts", "open")
+    return pairs
+
+
+def _linked(docs: DataFrame, scratch: Scratch, words: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links, members (with sha) and components (id, component) of `near_links` and `near_classes`."""
     small_batches(docs.sparkSession)
     texts = docs.select("doc_id", whole_text().alias("text")).where("doc_id IS NOT NULL")
     signed = scratch.store(
@@ -183,37 +276,38 @@ def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similar
     single = signed.join(first.select(F.col("id").alias("doc_id"), "sha"), ["doc_id", "sha"]).groupBy("doc_id", "sha").agg(
         F.first("bands").alias("bands"), F.first("registers").alias("registers"))
     single = scratch.store(single.select(F.col("doc_id").alias("id"), "sha", "bands", "registers"), "single")
-    pairs = scratch.store(_candidates(single.where("size(bands) > 0"), bands), "pairs")
-    registers = single.select(F.col("id").alias("x_id"), "registers")
-    near = (
-        pairs.join(registers, F.col("a") == F.col("x_id")).select("a", "b", F.col("registers").alias("r_a"))
-        .join(registers, F.col("b") == F.col("x_id")).select("a", "b", "r_a", F.col("registers").alias("r_b"))
-        .mapInArrow(_alike(similarity - SLACK), "a long, b long")
-    )
-    near = scratch.store(near, "near")
-    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(single.select("id", "sha"), "id")
-    bodies = texts.select("doc_id", digest(F.col("text")).alias("t_sha"), "text").join(
-        wanted, (F.col("doc_id") == F.col("id")) & (F.col("t_sha") == F.col("sha")), "left_semi").groupBy("doc_id", "t_sha").agg(
-        F.first("text").alias("text"))
-    bodies = scratch.store(bodies, "bodies")
-    links = (
-        near.join(bodies, F.col("a") == F.col("doc_id")).select("a", "b", "text")
-        .join(bodies.select(F.col("doc_id"), F.col("text").alias("text_b")), F.col("b") == F.col("doc_id"))
-        .select("a", "b", "text", "text_b").mapInArrow(_verifier(words, similarity), "a long, b long, similarity double")
-    )
-    links = scratch.store(links, "links")
-    scratch.drop("signed", "first", "pairs", "near", "bodies", "single")
-    return links, members
+    pairs, rest = _candidates(single.where("size(bands) > 0"), bands)
+    pairs, rest = scratch.store(pairs, "pairs"), scratch.store(rest, "rest")
+    scratch.drop("signed", "first")
+    links = _verified(pairs, single, texts, scratch, "links", words, similarity)
+    scratch.drop("pairs")
+    found = components(links.select("a", "b"), scratch)
+    more = _left_open(rest, found, single, texts, scratch, words, similarity)
+    if more is not None:
+        late = _verified(more, single, texts, scratch, "late-links", words, similarity)
+        links = links.union(late)
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(late.select("a", "b")),
+                           Scratch(docs.sparkSession, "near-late"))
+        scratch.drop("open-pairs")
+    scratch.drop("rest", "single")
+    return links, members, found
+
+
+def near_links(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, similarity: float = SIMILARITY,
+               bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, similarity) between representatives of different texts, and members (doc_id, id: representative).
+
+    The representative of equal texts is the least doc_id.
+    """
+    return _linked(docs, scratch, words, similarity, bands, rows)[:2]
 
 
-def near_classes(docs: DataFrame, **how) -> DataFrame:
+def near_classes(docs: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of `docs` that has a doc_id: doc_id, copy_of (least doc_id of equal texts), class_id.
 
     A class holds what is joined by links of the given similarity; its id is its least doc_id.
     """
-    scratch = Scratch(docs.sparkSession, "near")
-    links, members = near_links(docs, scratch, **how)
-    found = components(links.select("a", "b"), scratch)
+    _, members, found = _linked(docs, Scratch(docs.sparkSession, "near"), words, similarity, bands, rows)
     return members.join(found, "id", "left").select(
         "doc_id", F.col("id").alias("copy_of"), F.coalesce("component", "id").alias("class_id"), "sha")
 

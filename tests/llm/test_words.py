@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -145,6 +146,17 @@ def test_overlaps_equal_brute_force(frame):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, _ in want} | {500, 501}
 
 
+@pytest.mark.parametrize(("window", "share"), [(13, 0.75), (10, 0.6)])
+def test_every_admitted_substitution_is_found(window, share):
+    for n in range(1, 15):
+        item = [f"i{j}" for j in range(n)]
+        most = int(min(n, window) * (1 - share) + 1e-9)
+        texts = [" ".join("x" if j in gone else w for j, w in enumerate(item))
+                 for k in range(most + 1) for gone in itertools.combinations(range(n), k)]
+        found = decontam.Index([n], pa.array([" ".join(item)]), window, share).overlaps(pa.array(texts), window, share)
+        assert {t for t, *_ in found} == set(range(len(texts)))
+
+
 def test_items_in_blocks(frame, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 30)
     items = [(k, " ".join(f"t{k}n{j}" for j in range(20))) for k in range(12)]

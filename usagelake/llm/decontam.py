@@ -9,8 +9,7 @@ The item side is sent to the tasks in blocks of at most `BLOCK_WORDS` words (a l
 the texts are read once for each block; so what is broadcast is bounded whatever the size of the benchmark.
 
 Defined results: null, empty and wordless texts overlap nothing; items without words match nothing. An item shorter
-than the longest mask is searched as a whole, also under a mask that ignores its middle word where it has 6 words or
-more. Items that repeat a text are all named. Repeated rows are judged alike; a null doc_id is kept in the output of
+than a window is searched as a whole, under masks for its length. Masks miss no overlap that the share admits. Items that repeat a text are all named. Repeated rows are judged alike; a null doc_id is kept in the output of
 `overlaps`. Empty tables give empty results. Columns other than doc_id and text (item_id and text) are not looked at.
 """
 
@@ -27,9 +26,20 @@ from pyspark.sql import functions as F
 from usagelake.llm.common import small_batches
 from usagelake.llm.words import NOT_WORD, U64, Hasher, flat, mix, slices, spans
 
-#: Word positions that count. Together they meet any 13 words with two replaced, 96 % of those with three replaced,
-#: and any 20 words with four replaced.
-MASKS = ("111111", "11010111", "110011011", "11101000011")
+#: Word positions that count, by the words of a window and how many of them may differ: wherever those are, one of the
+#: masks fits beside them.
+MASKS = {
+    (4, 1): ("111", "1101", "1011"),
+    (5, 1): ("1111", "11101", "11011", "10111"),
+    (6, 1): ("1111", "11011"),
+    (7, 1): ("11111", "111011", "110111"),
+    (8, 2): ("11011", "1111", "1100011"),
+    (9, 2): ("11101", "100111"),
+    (10, 2): ("111011", "11010011", "11111"),
+    (11, 2): ("1101011", "1110011"),
+    (12, 3): ("111011", "110100011", "11001011", "110111"),
+    (13, 3): ("111111", "11010111", "110011011", "11101000011", "1100111001", "110010111"),
+}
 #: An overlap is a window of so many words (or the whole item, if that is shorter) with this share of them equal.
 WINDOW, SHARE = 13, 0.75
 BLOCK_WORDS = 400_000
@@ -54,21 +64,25 @@ def _seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(total)
 
 
-def _whole(n: int) -> list[str]:
-    return ["1" * n] + (["1" * (n // 2) + "0" + "1" * (n - n // 2 - 1)] if n >= 6 else [])
+def masks_for(size: int, share: float) -> tuple[str, ...]:
+    """Masks of which one at least meets any `size` words with this share of them equal.
+
+    Where `MASKS` has none: of so many parts and one more as words may differ, one part is whole.
+    """
+    differ = int(size - share * size + 1e-9)
+    return MASKS.get((size, differ)) or ("1" * max(size // (differ + 1), 1),)
 
 
 class Index:
     """Seeds of a block of items, in order, and the items' words."""
 
-    def __init__(self, ids: list, texts: pa.Array, masks: tuple[str, ...] = MASKS) -> None:
+    def __init__(self, ids: list, texts: pa.Array, window: int = WINDOW, share: float = SHARE) -> None:
         self.ids = ids
         self.words, self.first = words_of(texts)
         by_mask: dict[str, list[tuple[np.ndarray, int]]] = {}
-        longest = max(map(len, masks))
         for i, n in enumerate(np.diff(self.first)):
             own = self.words[self.first[i] : self.first[i + 1]]
-            for mask in masks if n >= longest else _whole(n) if n else ():
+            for mask in masks_for(min(int(n), window), share) if n else ():
                 by_mask.setdefault(mask, []).append((_seeds(own, mask), i))
         self.masks = {}
         for mask, found in by_mask.items():
@@ -113,7 +127,7 @@ class Index:
         return out
 
 
-def _indexes(benchmark: DataFrame) -> Iterator[Index]:
+def _indexes(benchmark: DataFrame, window: int, share: float) -> Iterator[Index]:
     """One block of items after the other; only counts and the items of one block are at the driver."""
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = benchmark.select("item_id", text.alias("text"), (F.octet_length(text) / 2 + 1).cast("long").alias("most"))
@@ -122,7 +136,7 @@ def _indexes(benchmark: DataFrame) -> Iterator[Index]:
     if parts == 1:
         rows = sized.collect()
         if number:
-            yield Index([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()))
+            yield Index([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()), window, share)
         return
     # Hash buckets of half a block on average, each cut further by a running sum of its own words.
     running = Window.partitionBy("part").orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, 0)
@@ -130,7 +144,7 @@ def _indexes(benchmark: DataFrame) -> Iterator[Index]:
         "step", F.floor(F.sum("most").over(running) / BLOCK_WORDS))
     for part, step in [(r.part, r.step) for r in cut.select("part", "step").distinct().orderBy("part", "step").collect()]:
         rows = cut.where((F.col("part") == part) & (F.col("step") == step)).collect()
-        yield Index([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()))
+        yield Index([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()), window, share)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE) -> DataFrame:
@@ -141,7 +155,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, sha
     kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, doc_word long, item_word long, n_words long, n_equal long"
     out = None
-    for index in _indexes(benchmark):
+    for index in _indexes(benchmark, window, share):
         sent = spark.sparkContext.broadcast(index)
 
         def find(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -169,7 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """`docs` without the rows whose text overlaps an item; nothing is shuffled."""
     small_batches(docs.sparkSession)
-    for index in _indexes(benchmark):
+    for index in _indexes(benchmark, window, share):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, line_runs, near, quality, recipes, sharding, substrings, toxicity, urls
+from usagelake.llm import bpe, decontam, line_runs, near, quality, recipes, sharding, simhash, substrings, toxicity, urls
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,8 @@ FROM judged GROUP BY doc_id
 def op7_line_suffixes(table) -> DataFrame:
     cut = line_runs.cut_runs(table("documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_pigeonhole_blocks")
+def op11_pigeonhole_blocks(table) -> DataFrame:
+    return simhash.near_components(table("documents"))

@@ -5,6 +5,7 @@ Used inside tasks (`mapInArrow`); memory is bounded by the slices of `slices`, w
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +34,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
                 yield batch.slice(a, b - a)
 
 
+def segments(data: bytes, gaps: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
+    """`data` in parts of about `limit` bytes, each cut before one of the bytes `gaps`, so that no word is split."""
+    gap, at = re.compile(b"[" + re.escape(gaps) + b"]"), 0
+    while at < len(data):
+        found = gap.search(data, at + limit)
+        end = found.start() if found else len(data)
+        yield data[at:end]
+        at = end
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, and where each begins and the last ends; null is empty."""
     texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else "")

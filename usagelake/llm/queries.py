@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, decontam, line_runs, near, quality, recipes, sharding, simhash, substrings, toxicity, urls
+from usagelake.llm import bpe, collocations, decontam, line_runs, near, quality, recipes, sharding, simhash, substrings, toxicity, urls
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,26 @@ def op7_line_suffixes(table) -> DataFrame:
 @query("op11_pigeonhole_blocks")
 def op11_pigeonhole_blocks(table) -> DataFrame:
     return simhash.near_components(table("documents"))
+
+
+@query("op12_tiled_collocations", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+spoken AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM spoken GROUP BY lang),
+known AS (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS a
+       FROM spoken, unnest(range(1, len(words) + 1)) AS t(i), (VALUES (1), (2), (3), (4)) AS s(k) WHERE i + k - 1 <= len(words)
+       GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM known WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+       FROM candidates c, unnest(range(1, k)) AS t(j), known x, known y
+       WHERE x.lang = c.lang AND x.phrase = array_to_string(w[1 : j], ' ') AND y.lang = c.lang AND y.phrase = array_to_string(w[j + 1 : k], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS most
+       FROM candidates, unnest(range(1, k)) AS t(i), unnest(range(2, k)) AS u(m) WHERE i + m - 1 <= k GROUP BY ALL),
+ranked AS (SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+       FROM scored s LEFT JOIN longer b USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op12_tiled_collocations(table) -> DataFrame:
+    return collocations.collocations(table("documents"))

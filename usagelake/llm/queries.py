@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelake.llm import bpe, collocations, decontam, line_runs, near, quality, recipes, sharding, simhash, substrings, toxicity, urls
+from usagelake.llm import bpe, collocations, decontam, line_runs, near, quality, recipes, repair, sharding, simhash, substrings, toxicity, urls
 from usagelake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,9 +155,10 @@ known AS (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase,
        FROM spoken, unnest(range(1, len(words) + 1)) AS t(i), (VALUES (1), (2), (3), (4)) AS s(k) WHERE i + k - 1 <= len(words)
        GROUP BY ALL HAVING count(*) >= 30),
 candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM known WHERE k > 1),
-cuts AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
-       FROM candidates c, unnest(range(1, k)) AS t(j), known x, known y
-       WHERE x.lang = c.lang AND x.phrase = array_to_string(w[1 : j], ' ') AND y.lang = c.lang AND y.phrase = array_to_string(w[j + 1 : k], ' ')),
+parts AS (SELECT lang, phrase, a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 : k], ' ') AS tail
+       FROM candidates, unnest(range(1, k)) AS t(j)),
+cuts AS (SELECT p.*, x.a AS l, y.a AS r, (2000000::HUGEINT * p.a) // (x.a + y.a) AS score
+       FROM parts p JOIN known x ON x.lang = p.lang AND x.phrase = p.head JOIN known y ON y.lang = p.lang AND y.phrase = p.tail),
 scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 longer AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS most
        FROM candidates, unnest(range(1, k)) AS t(i), unnest(range(2, k)) AS u(m) WHERE i + m - 1 <= k GROUP BY ALL),
@@ -167,3 +168,63 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN t
 """)
 def op12_tiled_collocations(table) -> DataFrame:
     return collocations.collocations(table("documents"))
+
+
+def _repair_sql() -> str:
+    """A row at a time through four columns, one for each state of the role grammar, each the least (cost, audit)."""
+    def add(state: str, cost: str, letter: str, line: str = "''") -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}} END"
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    stays = "fault NOT IN ('b', 'd')"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def kept(state: str, initial: str) -> str:
+        return f"CASE WHEN {stays} AND i = '{initial}' THEN {add(state, 'more', 'K', 'line')} END"
+
+    def made(state: str, role: str) -> str:
+        return f"CASE WHEN {stays} THEN {add(state, '3 + more', 'R', role + ' || text')} END"
+
+    asked = least("q", *[add(s, "4", "I", user) for s in ("z", "s", "w")])
+    return rf"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS tag FROM conversations),
+hashed AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(tag) + 1), lambda j: ascii(tag[j])::BIGINT)),
+       lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+       4294967295) % 20 AS damage FROM raw),
+damaged AS (SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+       CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+       unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE damage <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n FROM damaged),
+judged AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role || ' ', 1) AS i,
+       row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+       lag(left(role || ' ', 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role || ' ', 1) AS roles FROM ordered),
+faults AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) IN ('.', '!', '?') THEN '-' ELSE 't' END AS fault FROM judged),
+marks AS (SELECT conv_id, n, i, fault, text, chr(10) || role || ':' || text AS line, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS more FROM faults),
+counts AS (SELECT conv_id, count(*) AS rows_left, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+       count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+       count(*) FILTER (WHERE roles NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS n, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS z, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s,
+         NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS q, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS w FROM counts
+  UNION ALL
+  SELECT conv_id, n, {add('z', '4', 'D')}, {least(add('s', '4', 'D'), kept('z', 's'))},
+         {least(add('q', '4', 'D'), *[f(x, r) for x in 'zsw' for f, r in ((kept, 'u'), (made, user))])},
+         {least(add('w', '4', 'D'), kept('q', 'a'), made('q', assistant))}
+  FROM (SELECT conv_id, n, i, fault, text, line, more, z, s, q, {least('w', add('q', '4', 'I', assistant))} AS w FROM (
+        SELECT walk.conv_id, m.n, m.i, m.fault, m.text, m.line, m.more, z, s, w, {asked} AS q
+        FROM walk JOIN marks m ON m.conv_id IS NOT DISTINCT FROM walk.conv_id AND m.n = walk.n + 1))),
+ends AS (SELECT conv_id, {least('z', 'w', add('q', '4', 'I', assistant), add(f"({add('s', '4', 'I', user)})", '4', 'I', assistant))} AS e
+       FROM walk JOIN counts USING (conv_id) WHERE n = rows_left)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(e.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op13_lightest_repair", _repair_sql())
+def op13_lightest_repair(table) -> DataFrame:
+    return repair.repair(table("conversations"))

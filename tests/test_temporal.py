@@ -81,11 +81,54 @@ def test_range_join_keeps_all_matches_beyond_its_clamp(sides):
 def test_containing_join_takes_the_latest_start(frame):
     inner = frame("id int, key string, a date, b date", (1, "x", day(5), day(8)), (2, "x", day(1), day(30)), (3, "x", day(4), day(8)))
     outer = frame("oid int, key string, s date, e date", (10, "x", day(0), day(40)), (11, "x", day(4), day(9)), (12, "x", day(2), day(7)))
-    got = X.containing_join(inner, outer, ["key"], row_key=["id"], inner_start="a", inner_end="b", start="s", end="e", take={"oid": "oid"},
-                            bucket="7 days", origin="2024-01-01", horizon="2025-01-01")
+    got = X.containing_join(inner, outer, ["key"], inner_start="a", inner_end="b", start="s", end="e", take={"oid": "oid"}, bucket="7 days")
     assert rows_of(got, "id", "oid") == [(1, 11), (2, 10), (3, 10)]
 
 
+@pytest.mark.parametrize("span, strict", [(2, True), (3, False), (64, True)])
+def test_containers_by_search_equal_all_pairs(frame, monkeypatch, span, strict):
+    monkeypatch.setattr(X, "SPAN", span)
+    rng = random.Random(span)
+    inner = [(i, rng.choice(["x", "x", "y", None]), a, rng.choice([a + rng.randint(0, 9), None, a])) for i in range(80) for a in [rng.randint(0, 60)]]
+    outer = [(i, rng.choice(["x", "x", "x", "y", None]), a, rng.choice([a + rng.randint(-2, 25), a + 3, None])) for i in range(120) for a in [rng.randint(0, 60)]]
+    to = lambda rows: [(i, k, day(a), None if b is None else day(b)) for i, k, a, b in rows]
+    got = X.containing_join(frame("id int, key string, a date, b date", *to(inner)), frame("oid int, k string, s date, e date", *to(outer)),
+                            {"key": "k"}, inner_start="a", inner_end="b", start="s", end="e", take={"oid": "oid"}, bucket="7 days", strict=strict)
+    want = []
+    for i, k, a, b in inner:
+        fits = [(-s, e, o) for o, ok, s, e in outer if None not in (k, b, e) and ok == k and s <= e and ((s < a and b < e) if strict else (s <= a and b <= e))]
+        want += [(i, min(fits)[2])] if fits else []
+    assert rows_of(got, "id", "oid") == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r)) and want
+
+
+def test_many_containers_make_no_pairs(spark, frame):
+    """A key with 300 inner rows in each of 400 containers: no join gives more than a row per inner one."""
+    inner = frame("id int, key string, a date, b date", *[(i, "x", day(500), day(501)) for i in range(300)])
+    outer = frame("oid int, key string, s date, e date", *[(i, "x", day(i), day(1000 - i)) for i in range(400)])
+    got = X.containing_join(inner, outer, ["key"], inner_start="a", inner_end="b", start="s", end="e", take={"oid": "oid"}, bucket="30 days")
+    got.write.format("noop").mode("overwrite").save()
+    plan = got._jdf.queryExecution().executedPlan()
+    assert rows_of(got, "oid") == [(399,)] * 300
+    assert "CartesianProduct" not in plan.toString() and "BroadcastNestedLoopJoin" not in plan.toString()
+    assert all("_from" not in line for line in plan.toString().splitlines() if "Join" in line)  # equality on keys and blocks only
+
+
+def test_other_owner_equals_all_pairs(frame):
+    rng = random.Random(9)
+    left = [(i, rng.choice(["x", "y", None]), rng.choice(["p", "q", "r", None]), rng.randint(0, 40)) for i in range(120)]
+    right = [(f"u{i}", rng.choice(["x", "x", "y", None]), rng.choice(["p", "q", "r", None]), a, rng.choice([a + rng.randint(0, 12), a + 5]))
+             for i in range(60) for a in [rng.randint(0, 40)]]
+    got = X.other_owner_join(
+        frame("id int, key string, own string, at date", *[(i, k, o, day(a)) for i, k, o, a in left]),
+        frame("uid string, key string, acc string, s date, e date", *[(u, k, o, day(a), day(b)) for u, k, o, a, b in right]),
+        ["key"], at="at", start="s", end="e", owner={"own": "acc"}, tie=["uid"], take={"uid": "uid"}, bucket="6 days")
+    want = []
+    for i, k, own, at in left:
+        fits = [(-b, u) for u, rk, o, a, b in right if None not in (k, own, o) and rk == k and o != own and a <= at <= b]
+        want.append((i, min(fits)[1] if fits else None))
+    assert rows_of(got, "id", "uid") == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
 def test_scd2_tiles_each_key(sides):
     from pyspark.sql import functions as F
 

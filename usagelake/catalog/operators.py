@@ -32,6 +32,7 @@ from usagelake.operators.temporal import (
     containing_join,
     interval_join,
     missing_numbers,
+    other_owner_join,
     pair_nth,
     previous_end,
     range_join,
@@ -253,12 +254,27 @@ def containing_interval(t: Tables) -> DataFrame:
         F.min("l_shipdate").alias("opened"), F.max("l_shipdate").alias("closed"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
     return containing_join(
-        span, wide, ["l_suppkey"], row_key=["l_suppkey", "l_orderkey"], inner_start="first_ship",
-        inner_end="last_ship", start="opened", end="closed", take={"l_partkey": "l_partkey"},
-        bucket="60 days", origin="1995-01-01", horizon="2002-01-01",
+        span, wide, ["l_suppkey"], inner_start="first_ship", inner_end="last_ship", start="opened", end="closed",
+        take={"l_partkey": "l_partkey"}, bucket="60 days",
     ).select("l_suppkey", "l_orderkey", "l_partkey")
 
 
+@query("other_owner", """
+    WITH held AS (SELECT *, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS until FROM lineitem)
+    SELECT p.l_orderkey, p.l_linenumber, s.l_suppkey AS other_supplier, s.until
+    FROM lineitem p JOIN held s ON s.l_partkey = p.l_partkey AND s.l_suppkey <> p.l_suppkey AND p.l_shipdate BETWEEN s.l_shipdate AND s.until
+    QUALIFY row_number() OVER (PARTITION BY p.l_orderkey, p.l_linenumber ORDER BY s.until DESC, s.l_orderkey, s.l_linenumber) = 1
+""")
+def other_owner(t: Tables) -> DataFrame:
+    """The stock of the same part from another supplier that lasts longest of those in use when a line is shipped."""
+    shipped = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    held = t.lineitem.select(*shipped.columns, F.expr("l_shipdate + make_dt_interval(CAST(l_quantity AS INT))").alias("until"))
+    return other_owner_join(
+        shipped, held, ["l_partkey"], at="l_shipdate", start="l_shipdate", end="until", owner="l_suppkey",
+        tie=["l_orderkey", "l_linenumber"], take={"other_supplier": "l_suppkey", "until": "until"},
+    ).where("other_supplier IS NOT NULL").select("l_orderkey", "l_linenumber", "other_supplier", "until")
+
+
 @query("pair_start_end", """
     WITH n AS (
         SELECT event_id, user_id, event_type, ts,

@@ -9,6 +9,8 @@ candidate is ever formed. Long keys are cut into time buckets (see `groups`).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from usagelake.operators.groups import (
     number_in_group,
     with_neighbours,
 )
+from usagelake.session import settle
 
 Keys = Mapping[str, str] | Sequence[str]
 DEFAULT_BUCKET = "30 days"
@@ -210,35 +213,124 @@ def interval_join(
     )
 
 
+#: Intervals under one entry of the search index.
+SPAN = 64
+
+
+def _last(values: str, above: Column, before: Column, strict: bool) -> Column:
+    """Greatest place before `before` whose value lies above, or null."""
+    return F.array_max(F.transform(values, lambda v, i: F.when(((v > above) if strict else (v >= above)) & (i < before), i)))
+
+
 def containing_join(
     inner: DataFrame,
     outer: DataFrame,
     on: Keys,
     *,
-    row_key: Sequence[str],
     inner_start: str,
     inner_end: str,
     start: str,
     end: str,
     take: Mapping[str, str | Column],
     bucket: str,
-    origin: str,
-    horizon: str,
     strict: bool = True,
 ) -> DataFrame:
-    """The outer interval around each whole inner one, latest outer start first.
+    """The outer interval around each whole inner one, latest outer start first, then least end and `take`.
 
-    `row_key` identifies an inner row. Inner rows without a container are dropped.
+    A dominance search: the outers of a key are numbered by start, so those begun in time are the first ones, and the
+    last of these that ends late enough is wanted. Ends lie in blocks of `SPAN`, their maxima in blocks of the next
+    level, and so on. An inner row climbs from its place until a block left of it holds a late enough end, and then
+    comes down to it: one row and one short array a level, whatever the number of containers. Inner rows without a
+    container, key or bounds are dropped.
     """
-    holds = F.col(inner_end) < F.col("_until") if strict else F.col(inner_end) <= F.col("_until")
-    begun = F.col("_from") < F.col(inner_start) if strict else F.lit(True)
-    taken = {**take, "_o_start": start, "_o_end": end}
-    held = range_join(
-        inner, outer, on, at=inner_start, start=start, end=end, take=taken,
-        bucket=bucket, origin=origin, horizon=horizon, closed="both", extra=holds & begun,
+    pairs = _pairs(on)
+    keys = [f"_k{i}" for i in range(len(pairs))]
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in [*(r for _, r in pairs), start, end])
+    # Of equal intervals only the one of least `take` can win.
+    bare = outer.where(f"{known} AND `{start}` <= `{end}`").groupBy(
+        *[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)], F.col(start).alias("_from"), F.col(end).alias("_until"),
+    ).agg(F.min(F.struct(*[as_column(source).alias(target) for target, source in take.items()])).alias("_take"))
+    # Backwards from a place: latest start, then least end.
+    latest_first = -F.unix_micros(F.col("_until").cast("timestamp"))
+    numbered = settle(number_in_group(bare, keys, ["_from", latest_first], "_n", bucket=bucket))
+    place = match_running(inner, numbered, dict(zip([l for l, _ in pairs], keys)), at=inner_start, since="_from",
+                          best=["_n"], take={"_before": "_n"}, inclusive=not strict, bucket=bucket)
+    levels = [settle(numbered.groupBy(*keys, ((F.col("_n") - 1) / SPAN).cast("long").alias("_block")).agg(
+        F.sort_array(F.collect_list(F.struct("_n", "_until", "_take"))).alias("_rows"),
+    ).select(*keys, "_block", F.col("_rows._until").alias("_values"), F.col("_rows._take").alias("_takes")))]
+    while levels[-1].agg(F.max("_block")).first()[0]:
+        levels.append(settle(levels[-1].groupBy(*keys, (F.col("_block") / SPAN).cast("long").alias("_up")).agg(
+            F.sort_array(F.collect_list(F.struct("_block", F.array_max("_values").alias("_value")))).alias("_rows"),
+        ).select(*keys, F.col("_up").alias("_block"), F.col("_rows._value").alias("_values"))))
+
+    def look(rows: DataFrame, level: int, block: Column, *columns: str) -> DataFrame:
+        index = levels[level].select(*[F.col(k).alias(f"_i{k}") for k in keys], F.col("_block").alias("_i_block"), *columns)
+        same = [F.col(f"`{l}`") == F.col(f"_i{k}") for (l, _), k in zip(pairs, keys)]
+        return rows.join(index, reduce(and_, same, block == F.col("_i_block")), "left").drop(*[f"_i{k}" for k in keys], "_i_block")
+
+    found = place.where(F.col("_before").isNotNull() & F.col(inner_end).isNotNull()).withColumns(
+        {"_before": F.col("_before").cast("long"), "_at": F.lit(None).cast("long"), "_level": F.lit(None).cast("int")})
+    for level in range(len(levels)):
+        block = (F.col("_before") / SPAN).cast("long")
+        found = look(found, level, block, "_values").withColumn("_hit", _last("_values", F.col(inner_end), F.col("_before") - block * SPAN, strict))
+        new = F.col("_at").isNull() & F.col("_hit").isNotNull()
+        found = found.withColumns({
+            "_level": F.when(new, level).otherwise(F.col("_level")), "_at": F.when(new, block * SPAN + F.col("_hit")).otherwise(F.col("_at")),
+            "_before": block}).drop("_values", "_hit")
+    found = found.where("_at IS NOT NULL")
+    for level in range(len(levels) - 2, -1, -1):
+        down = F.col("_level") > level
+        found = look(found, level, F.when(down, F.col("_at")), "_values")
+        found = found.withColumn("_hit", _last("_values", F.col(inner_end), F.lit(SPAN), strict))
+        found = found.withColumn("_at", F.when(down, F.col("_at") * SPAN + F.col("_hit")).otherwise(F.col("_at"))).drop("_values", "_hit")
+    block = (F.col("_at") / SPAN).cast("long")
+    taken = F.get("_takes", (F.col("_at") - block * SPAN).cast("int"))
+    return look(found, 0, block, "_takes").select(*[F.col(f"`{c}`") for c in inner.columns], *[taken[c].alias(c) for c in take])
+
+
+def other_owner_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Keys,
+    *,
+    at: str,
+    start: str,
+    end: str,
+    owner: Mapping[str, str] | str,
+    take: Mapping[str, str | Column],
+    tie: Sequence[str] = (),
+    bucket: str | int = DEFAULT_BUCKET,
+) -> DataFrame:
+    """Left rows plus the interval that holds `at` and belongs to another owner, latest end first, then least `tie`.
+
+    Two slots run along the intervals of a key: the best one so far, and the best one of any other owner than its. When
+    the owner of the first slot changes, the former first is the best of all others, and within such a stretch the
+    second slot is a running minimum. A left row takes the second slot if it owns the first. No pair is formed. Bounds
+    are closed; a left row without an owner, or right rows without one, match nothing.
+    """
+    pairs = _pairs(on)
+    mine, theirs = next(iter(owner.items())) if isinstance(owner, Mapping) else (owner, owner)
+    keys = [f"_k{i}" for i in range(len(pairs))]
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in [*(r for _, r in pairs), start, end, theirs])
+    best = F.struct(
+        (-F.unix_micros(F.col(end).cast("timestamp"))).alias("_late"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)],
+        F.col(theirs).alias("_owner"), F.col(end).alias("_until"), *[as_column(source).alias(target) for target, source in take.items()],
     )
-    order = [F.col("_o_start").desc(), F.col("_o_end").asc(), *[F.col(c).asc() for c in take]]
-    return latest_by(held, row_key, order).drop("_o_start", "_o_end")
+    rows = right.where(known).select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)], F.col(start).alias("_from"), best.alias("_c"))
+    line = Window.partitionBy(*keys).orderBy("_from", "_c")
+    sofar = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.select("*", F.min("_c").over(sofar).alias("_one"), F.row_number().over(line).alias("_nth"))
+    rows = rows.withColumn("_former", F.lag("_one").over(line))
+    turned = F.coalesce(F.col("_former._owner") != F.col("_one._owner"), F.lit(False))
+    rows = rows.withColumns({"_turned": turned, "_stretch": F.sum(turned.cast("int")).over(sofar)})
+    inside = Window.partitionBy(*keys, "_stretch").orderBy("_from", "_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    other = F.least(F.when(F.col("_turned"), F.col("_former")), F.when(F.col("_c._owner") != F.col("_one._owner"), F.col("_c")))
+    slots = rows.select(*keys, "_from", "_nth", "_one", F.min(other).over(inside).alias("_two"))
+    hits = match_running(left, slots, dict(zip([l for l, _ in pairs], keys)), at=at, since="_from", best=["_from", "_nth"],
+                         take={"_one": "_one", "_two": "_two"}, bucket=bucket)
+    picked = F.when(F.col("_one._owner") != F.col(mine), F.col("_one")).when(F.col("_one._owner") == F.col(mine), F.col("_two"))
+    hits = hits.withColumn("_pick", picked).withColumn("_open", F.col("_pick._until") >= F.col(at))
+    return hits.select(*left.columns, *[F.when(F.col("_open"), F.col("_pick")[c]).alias(c) for c in take])
 
 
 def range_join(

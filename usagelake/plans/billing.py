@@ -27,7 +27,7 @@ from usagelake.constants import LOOKBACK_DAYS, RULE_CONSUMER, RULE_CONSUMER_ACCO
 from usagelake.functions.columns import minutes_between
 from usagelake.operators.dedup import latest_by, row_key
 from usagelake.operators.groups import number_in_group, with_group_totals
-from usagelake.operators.temporal import interval_join, previous_end, range_join
+from usagelake.operators.temporal import interval_join, other_owner_join, previous_end
 from usagelake.operators.upsert import insert_uncovered, set_status, upsert, version_bump
 from usagelake.plans import rules as R
 from usagelake.session import settle, small
@@ -223,13 +223,19 @@ def flags_as_of(visits: DataFrame, ref: Reference, sub_type: str | None = None)
         types = types.where(F.col("flag_sub_type") == sub_type)
     named = ref.account_flags.join(small(types.select("flag_type_uuid", "flag_type", "flag_sub_type", "flag_rank")), "flag_type_uuid")
     days = visits.select("account_uuid", "promotion_uuid", "cycle_date").distinct()
-    return (
-        days.join(named, ["account_uuid", "promotion_uuid"])
-        .where(F.col("cycle_date").between(F.col("flag_start"), F.col("flag_end")))
-        .groupBy("account_uuid", "promotion_uuid", "cycle_date")
-        .agg(F.min(F.struct("flag_rank", "flag_type_uuid", "flag_type", "flag_sub_type")).alias("f"))
-        .select("account_uuid", "promotion_uuid", "cycle_date", "f.flag_type", "f.flag_sub_type")
+    # A lane per flag type, best first: types are kept by hand, as rules are. In a lane the interval that ends last tells
+    # whether any is open, so a day meets one candidate per type and no flag row.
+    kinds = types.select("flag_rank", "flag_type_uuid", "flag_type", "flag_sub_type").distinct().collect()
+    lanes = [
+        F.col("flag_type_uuid").eqNullSafe(k.flag_type_uuid) & F.col("flag_rank").eqNullSafe(k.flag_rank)
+        & F.col("flag_type").eqNullSafe(k.flag_type) & F.col("flag_sub_type").eqNullSafe(k.flag_sub_type)
+        for k in sorted(kinds, key=lambda k: [(v is not None, v) for v in k])
+    ]
+    flagged = interval_join(
+        days, named, ["account_uuid", "promotion_uuid"], at="cycle_date", start="flag_start", end="flag_end", closed="both",
+        prefer=lanes, take={"_hit": F.lit(True), "flag_type": "flag_type", "flag_sub_type": "flag_sub_type"}, bucket=BUCKET,
     )
+    return flagged.where("_hit").drop("_hit")
 
 
 def with_flags(visits: DataFrame, ref: Reference, sub_type: str | None = None) -> DataFrame:
@@ -462,20 +468,16 @@ def _priced(df: DataFrame, classes: DataFrame, how: str = "inner") -> DataFrame:
     )
 
 
-def _other_account_match(visits: DataFrame, current: DataFrame, clock: Clock) -> DataFrame:
+def _other_account_match(visits: DataFrame, current: DataFrame) -> DataFrame:
     """A subscription of the same sold-to but another account that covers the visit."""
     take = {
         "_o_uuid": "subscription_uuid", "_o_billed": "billed", "_o_start": "sub_start", "_o_end": "sub_end",
         "_o_pilot": "pilot_flag", "_o_account": "account_uuid",
     }
-    hits = range_join(
-        visits.where("consumer_id IS NOT NULL"), current, ["consumer_id", "sold_to", "promotion_uuid"],
-        at="cycle_date", start="sub_start", end="sub_end", closed="both", take=take, bucket="150 days",
-        origin="2000-01-01", horizon=str(clock.today + timedelta(days=LOOKBACK_DAYS)),
-        extra=F.col("_o_account") != F.col("account_uuid"),
+    return other_owner_join(
+        visits, current, ["consumer_id", "sold_to", "promotion_uuid"], at="cycle_date", start="sub_start", end="sub_end",
+        owner="account_uuid", tie=["subscription_uuid"], take=take, bucket=BUCKET,
     )
-    best = latest_by(hits, ["visit_id"], [F.col("_o_end").desc(), F.col("_o_uuid").asc()])
-    return visits.join(best.select("visit_id", *take), "visit_id", "left")
 
 
 def number_visits(visits: DataFrame) -> DataFrame:
@@ -504,7 +506,7 @@ def classify_visits(visits: DataFrame, state: State, ref: Reference, rule_type:
         tie=["subscription_uuid"], take=take, bucket=BUCKET,
     ).drop("_match_day")
     if rule_type == RULE_CONSUMER_ACCOUNT:
-        other = _other_account_match(matched, current, clock)
+        other = _other_account_match(matched, current)
         matched = other.withColumns(
             {
                 "sub_account_uuid": F.col("_o_account"),
@@ -597,19 +599,32 @@ def true_up_details(visits: DataFrame, state: State, ref: Reference, rule_type:
 
 # ---- comments --------------------------------------------------------------
 
+#: Lines created or changed in this time before a batch get comments again.
+RECENT_MINUTES = 15
+
+
+def _recent(clock: Clock, minutes: int) -> Column:
+    since = F.lit(clock.now - timedelta(minutes=minutes))
+    return F.coalesce((F.col("version") == 1) & ((F.col("created_at") >= since) | (F.col("updated_at") >= since)), F.lit(False))
+
 
-def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Reference, clock: Clock, minutes: int = 15) -> DataFrame:
+def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Reference, clock: Clock, minutes: int = RECENT_MINUTES,
+                      rest: State | None = None) -> DataFrame:
     """Comments that depend on the whole ledger, for lines touched in the last `minutes`.
 
+    `rest` is what else the ledgers hold: it is looked up, and not returned.
+
     Of several invoice periods in force, a line is late if it is so for any one. Two choices are deliberate: a line
     without `updated_by` counts as not patched, and invoice dates are taken per programme.
     """
     m = R.COMMENTS
     since = F.lit(clock.now - timedelta(minutes=minutes))
-    touched = F.coalesce((F.col("version") == 1) & ((F.col("created_at") >= since) | (F.col("updated_at") >= since)), F.lit(False))
-    recent, rest = details.where(touched), details.where(~touched)
+    touched = _recent(clock, minutes)
+    recent, others = details.where(touched), details.where(~touched)
+    ledger = details.unionByName(rest.details) if rest else details
+    everyone = subscriptions.unionByName(rest.subscriptions) if rest else subscriptions
     several = (
-        _only_of(_current(subscriptions), recent).groupBy("consumer_id").agg(F.count_distinct("subscription_uuid").alias("_n"))
+        _only_of(_current(everyone), recent).groupBy("consumer_id").agg(F.count_distinct("subscription_uuid").alias("_n"))
         .where("_n > 1").select("consumer_id", F.lit(True).alias("_several"))
     )
     names = ref.classes.select("class_uuid", F.col("class_name").alias("_class")).distinct()
@@ -620,7 +635,7 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
 
     day_keys = ["account_uuid", "cycle_date", "class_uuid"]
     earlier = (
-        described(_only_of(details, recent, day_keys))
+        described(_only_of(ledger, recent, day_keys))
         .where(F.expr(f"version = 1 AND _class = '{R.CLASSES['no_association']}' AND created_at <= _invoiced"))
         .select(*day_keys).distinct().withColumn("_earlier", F.lit(True))
     )
@@ -667,15 +682,44 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
         )
         late = reduce(or_, [(F.col("cycle_date") < F.lit(s).cast("date")) & (created > F.lit(s)) for s in starts])
         out = note(out, current & empty & text.isNotNull() & late & (created >= since), text)
-    return out.select(*details.columns).unionByName(rest)
+    return out.select(*details.columns).unionByName(others)
 
 
 # ---- the batch -------------------------------------------------------------
 
 
+def batch_part(state: State, eligible: DataFrame, clock: Clock, cut: Cut = settle) -> tuple[State, State]:
+    """What a batch may change, stored, and what it only reads, which stays where it is.
+
+    Steps change rows of the batch's consumers, lines of their subscriptions, and comments of recent lines.
+    """
+    consumers = cut(eligible.select(F.col("consumer_id").alias("_consumer")).where("_consumer IS NOT NULL").distinct())
+
+    def split(table: DataFrame, own: DataFrame, also: Column | None = None) -> tuple[DataFrame, DataFrame]:
+        marked = table.join(small(consumers.withColumn("_ours", F.lit(True))), F.col("consumer_id") == F.col("_consumer"), "left").drop("_consumer")
+        if also is not None:
+            marked = marked.join(small(own), F.col("subscription_uuid") == F.col("_own"), "left").withColumn(
+                "_ours", F.col("_ours").isNotNull() | F.col("_own").isNotNull() | also).drop("_own")
+        ours = F.coalesce("_ours", F.lit(False))
+        return cut(marked.where(ours).drop("_ours")), marked.where(~ours).drop("_ours")
+
+    subscriptions, other_subscriptions = split(state.subscriptions, consumers)
+    own = subscriptions.select(F.col("subscription_uuid").alias("_own")).where("_own IS NOT NULL").distinct()
+    details, other_details = split(state.details, own, _recent(clock, RECENT_MINUTES))
+    return State(subscriptions, details, state.audit), State(other_subscriptions, other_details)
+
+
+def whole_ledgers(part: State, rest: State, cut: Cut = settle) -> State:
+    """The ledgers after a batch, each written once."""
+    return State(cut(rest.subscriptions.unionByName(part.subscriptions)), cut(rest.details.unionByName(part.details)), part.audit)
+
+
 def process_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock,
-                   cut: Cut = settle) -> State:
-    """One rule type of a batch. Each step reads what the one before wrote, so lineage is cut between them."""
+                   cut: Cut = settle, rest: State | None = None) -> State:
+    """One rule type of a batch. Each step reads what the one before wrote, so lineage is cut between them.
+
+    With `rest` (see `batch_part`) the state is the batch's part of the ledgers, so a step stores no more than that.
+    """
     flagged = cut(flag_visits(visits, state, ref, rule_type, clock, cut))
     subscriptions, details = state.subscriptions, state.details
     if not flagged.where("is_adjust = 1 AND is_per_cycle = 0").isEmpty():
@@ -684,32 +728,42 @@ def process_visits(visits: DataFrame, state: State, ref: Reference, rule_type: s
         details = cut(true_up_details(flagged, State(subscriptions, details), ref, rule_type, clock, cut))
     subscriptions = cut(open_subscriptions(subscriptions, flagged, ref, rule_type, clock, cut))
     details = cut(live_details(flagged, State(subscriptions, details), ref, rule_type, clock, cut))
-    details = cut(backfill_comments(details, subscriptions, ref, clock))
+    details = cut(backfill_comments(details, subscriptions, ref, clock, rest=rest))
     audit = {**state.audit, f"{R.CYCLE}/{rule_type}": R.rule_audit(flagged, R.CYCLE, clock.user, clock.now)}
     return State(subscriptions, details, audit)
 
 
 def process_eligible(eligible: DataFrame, state: State, ref: Reference, clock: Clock,
-                     cut: Cut = settle) -> State:
-    visits = cut(with_flags(aggregate_visits(eligible), ref))
+                     cut: Cut = settle, rest: State | None = None) -> State:
+    visits = cut(with_flags(cut(aggregate_visits(eligible)), ref))
     for rule_type in (RULE_CONSUMER, RULE_CONSUMER_ACCOUNT):
         of_type = visits.where(F.col("rule_type") == rule_type)
         if not of_type.isEmpty():
-            state = process_visits(of_type, state, ref, rule_type, clock, cut)
+            state = process_visits(of_type, state, ref, rule_type, clock, cut, rest)
     return state
 
 
 def run_batch(cycles: DataFrame, state: State, ref: Reference, clock: Clock, *,
               overrides: DataFrame | None = None, all_cycles: DataFrame | None = None,
               cut: Cut = settle) -> tuple[State, DataFrame | None]:
-    """Overrides first, then the new cycles. Returns the state and the overrides with their new status."""
-    done = overrides
+    """Overrides first, then the new cycles. Returns the state and the overrides with their new status.
+
+    The batch's part of the ledgers is taken out once, all steps work on it, and each ledger is written once at the end.
+    """
+    done, turns = overrides, []
     if overrides is not None and all_cycles is not None:
         waiting = overrides.where("coalesce(workflow_status, '') = ''")
         if not waiting.isEmpty():
-            state = process_eligible(eligible_overrides(all_cycles, waiting, ref), state, ref, replace(clock, user="override"), cut)
+            turns.append((cut(eligible_overrides(all_cycles, waiting, ref)), replace(clock, user="override")))
             done = set_status(overrides, waiting, ["cycle_id", "promotion_uuid", "created_at"], "workflow_status", "Success")
-    return process_eligible(eligible_cycles(cycles, ref), state, ref, clock, cut), done
+    turns.append((cut(eligible_cycles(cycles, ref)), clock))
+    turns = [turn for turn in turns if not turn[0].isEmpty()]
+    if not turns:
+        return state, done
+    part, rest = batch_part(state, reduce(DataFrame.union, [eligible.select("consumer_id") for eligible, _ in turns]), clock, cut)
+    for eligible, moment in turns:
+        part = process_eligible(eligible, part, ref, moment, cut, rest)
+    return whole_ledgers(part, rest, cut), done
 
 
 def judge_exceptions(exceptions: DataFrame, ref: Reference, clock: Clock) -> DataFrame:

@@ -135,3 +135,13 @@ def test_an_emptied_partition_goes_and_old_versions_expire(spark, frame, tmp_pat
     N.expire_snapshots(spark, str(tmp_path / "s"))
     assert sorted(x.name for x in (tmp_path / "s").iterdir() if x.is_dir()) == ["v=3", "v=4"]
     assert rows_of(N.read_snapshot(spark, str(tmp_path / "s"))) == [(3,)]
+
+
+def test_null_and_escaped_partitions_lose_nothing(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    frame("k int, m string", (1, None), (2, None), (3, "b:c d"), (4, "x/y"), (5, "plain")).write.partitionBy("m").parquet(path)
+    N.update_partitions(spark, path, frame("k int, m string", (9, None)), "m", lambda t, s: t.select("k", "m").unionByName(s))
+    assert rows_of(spark.read.parquet(path), "k", "m") == [(1, None), (2, None), (3, "b:c d"), (4, "x/y"), (5, "plain"), (9, None)]
+    gone = frame("k int, m string", (3, "b:c d"), (1, None), (2, None), (9, None))
+    N.update_partitions(spark, path, gone, "m", lambda t, s: t.join(s.select("k"), "k", "left_anti").select("k", "m"))
+    assert rows_of(spark.read.parquet(path), "k", "m") == [(4, "x/y"), (5, "plain")]

@@ -102,3 +102,38 @@ def test_captured_rows_come_back_whole(frame):
     batch = frame(schema, (2**60 + 1, exact, exact, 0.1, "é\n\"", True, exact.date()), (None,) * 7)
     captured = capture_failed(batch, "s", "1", "m", AT)
     assert sorted(map(str, replay_failed(captured, "s", batch.schema).collect())) == sorted(map(str, batch.collect()))
+
+
+def test_a_repeated_batch_counts_once_and_untouched_buckets_stay(spark, frame, tmp_path):
+    from usagelake.operators.upsert import accumulate
+    from usagelake.sources.snapshots import bucket_column, current_version, read_buckets
+
+    path, schema = str(tmp_path / "state"), "k int, n bigint"
+    empty = frame(schema)
+    merge = R.upsert_batches(path, empty, lambda t, s: accumulate(t, s, ["k"], add=["n"]), stream="s", keys=["k"], buckets=8)
+    merge(frame(schema, *[(k, 1) for k in range(40)]), 0)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "state").rglob("*.parquet")}
+    one = frame(schema, (3, 10))
+    bucket = bucket_column(one, ["k"], 8).first().key_bucket
+    for _ in range(2):
+        merge(one, 1)
+    assert current_version(spark, path) == 2
+    assert {k: n for k, n in rows_of(read_buckets(spark, path, empty))} == {k: 11 if k == 3 else 1 for k in range(40)}
+    after = set((tmp_path / "state").rglob("*.parquet")) - set(before)
+    assert after and {f.parent.name for f in after} == {f"key_bucket={bucket}"}
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items())
+    for i in range(2, 5):  # folders that neither the newest nor the former version reads go
+        merge(one, i)
+    kept = {f.parent for f in (tmp_path / "state").rglob("*.parquet") if f.parent.name == f"key_bucket={bucket}"}
+    assert len(kept) == 2 and dict(rows_of(read_buckets(spark, path, empty)))[3] == 41
+
+
+def test_a_stream_keeps_its_last_batch_beside_a_whole_snapshot(spark, frame, tmp_path):
+    from usagelake.operators.upsert import accumulate
+
+    path, empty = str(tmp_path / "state"), frame("k int, n bigint")
+    one, two = (R.upsert_batches(path, empty, lambda t, s: accumulate(t, s, ["k"], add=["n"]), stream=name) for name in ("a", "b"))
+    for batch_id in (0, 0, 1, 1, 0):
+        one(frame("k int, n bigint", (1, 1)), batch_id)
+    two(frame("k int, n bigint", (1, 5)), 0)
+    assert rows_of(read_snapshot(spark, path)) == [(1, 7)]

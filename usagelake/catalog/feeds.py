@@ -16,8 +16,11 @@ from usagelake.plans import cycles as C
 from usagelake.plans import reports
 from usagelake.session import shared_folder
 from usagelake.sources import files
-from usagelake.sources.snapshots import bucket_column, compact, read_snapshot, update_partitions
-from usagelake.streaming.runner import drain, upsert_batches, with_capture
+from usagelake.sources.snapshots import bucket_column, compact, read_buckets, read_snapshot, update_partitions
+from usagelake.streaming.runner import append_batches, drain, upsert_batches, with_capture
+
+#: Files of one part of a streamed table, and of one micro-batch.
+PART_FILES = 4
 
 
 def _folder(t: Tables, name: str) -> str:
@@ -128,11 +131,11 @@ def partition_upsert(t: Tables) -> DataFrame:
     SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
 """)
 def stream_replay(t: Tables) -> DataFrame:
-    """Events in four files, one per micro-batch; the second batch fails, is captured and comes again with the third."""
+    """Events in four parts, one per micro-batch; the second batch fails, is captured and comes again with the third."""
     root, keys = _folder(t, "replay"), ["user_id", "event_type"]
     rows = t.events.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp").alias("ts"))
     for part in range(4):
-        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).repartition(PART_FILES).write.mode("append").parquet(f"{root}/in")
 
     def last(batch: DataFrame) -> DataFrame:
         return latest_by(batch, keys, [F.col("ts").desc(), F.col("event_id").desc()])
@@ -144,11 +147,64 @@ def stream_replay(t: Tables) -> DataFrame:
             raise RuntimeError("no disk")
         merge(batch, batch_id)
 
-    source = files.stream_table(t.spark, f"{root}/in", rows.schema, max_files=1)
+    source = files.stream_table(t.spark, f"{root}/in", rows.schema, max_files=PART_FILES)
     drain(source, with_capture(flaky, "state", f"{root}/log", lambda: datetime(2024, 1, 1)), f"{root}/checkpoint")
     return read_snapshot(t.spark, f"{root}/state").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("stream_accumulate", """
+    SELECT user_id, event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS total FROM events GROUP BY ALL
+""")
+def stream_accumulate(t: Tables) -> DataFrame:
+    """Events in four batches added up in a bucketed state; each batch comes twice, as after a crash, and counts once."""
+    root, keys = _folder(t, "accumulate"), ["user_id", "event_type"]
+    rows = t.events.select(*keys, "event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+    def summed(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+
+    empty = summed(rows).limit(0)
+    merge = upsert_batches(f"{root}/state", empty, lambda old, new: U.accumulate(old, summed(new), keys, add=["n", "total"]),
+                           stream="events", keys=keys, buckets=16)
+    for part in range(4):
+        batch = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part)
+        merge(batch, part)
+        merge(batch, part)
+    return read_buckets(t.spark, f"{root}/state", empty)
+
+
+@query("stream_chain", """
+    SELECT user_id, count(*) AS n, max(event_id) AS last_id,
+           count(DISTINCT event_type) AS n_types FROM events GROUP BY user_id
+""")
+def stream_chain(t: Tables) -> DataFrame:
+    """A source with two hops: events are appended to a table, which feeds two states; all streams restart half-way."""
+    root = _folder(t, "chain")
+    rows = t.events.select("user_id", "event_type", "event_id")
+
+    def counted(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id"))
+
+    def typed(batch: DataFrame) -> DataFrame:
+        return batch.select("user_id", "event_type").distinct()
+
+    counts, types = counted(rows).limit(0), typed(rows).limit(0)
+    add = upsert_batches(
+        f"{root}/counts", counts, lambda old, new: U.upsert(
+            old, counted(new), ["user_id"], update={"n": "t.n + s.n", "last_id": "greatest(t.last_id, s.last_id)"}),
+        stream="counts", keys=["user_id"], buckets=8)
+    meet = upsert_batches(f"{root}/types", types, lambda old, new: U.insert_only(old, typed(new), ["user_id", "event_type"]),
+                          stream="types", keys=["user_id"], buckets=8)
+    for half in range(2):
+        for part in (2 * half, 2 * half + 1):
+            rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).repartition(PART_FILES).write.mode("append").parquet(f"{root}/in")
+        drain(files.stream_table(t.spark, f"{root}/in", rows.schema, max_files=PART_FILES), append_batches(f"{root}/middle"), f"{root}/c0")
+        for name, sink in (("c1", add), ("c2", meet)):
+            drain(files.stream_table(t.spark, f"{root}/middle/batch_id=*", rows.schema, max_files=PART_FILES), sink, f"{root}/{name}")
+    by_user = read_buckets(t.spark, f"{root}/types", types).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_types"))
+    return read_buckets(t.spark, f"{root}/counts", counts).join(by_user, "user_id")
+
+
 # ---- columns, filters, file lists ------------------------------------------
 
 

@@ -17,6 +17,8 @@ from usagelake.operators.upsert import update_if_newer
 from usagelake.plans import intake, masters, reports
 from usagelake.session import settle, shared_folder
 from usagelake.sources.files import parse_header_json, parse_hub_messages
+from usagelake.sources.files import stream_table
+from usagelake.sources.snapshots import read_buckets
 from usagelake.streaming.runner import drain, upsert_batches
 
 # ---- associations ----------------------------------------------------------
@@ -419,8 +421,8 @@ def stream_latest_state(t: Tables) -> DataFrame:
         return flatten_json(last, "props", EVENT_FIELDS[:1]).select("user_id", "event_type", "event_id", "ts", "k")
 
     root = f"{shared_folder(t.spark)}/stream-{uuid4().hex}"
-    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{t.folder}/events*.parquet")
-    drain(source, upsert_batches(f"{root}/state", state(t.events).limit(0), lambda old, new: update_if_newer(old, state(new), keys, "ts")), f"{root}/checkpoint")
-    from usagelake.sources.snapshots import read_snapshot
-
-    return read_snapshot(t.spark, f"{root}/state")
+    empty = state(t.events).limit(0)
+    merge = upsert_batches(
+        f"{root}/state", empty, lambda old, new: update_if_newer(old, state(new), keys, "ts"), stream="events", keys=keys, buckets=16)
+    drain(stream_table(t.spark, f"{t.folder}/events*.parquet", t.events.schema, max_files=1), merge, f"{root}/checkpoint")
+    return read_buckets(t.spark, f"{root}/state", empty)

@@ -15,7 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelake.plans.intake import capture_failed, replay_failed
-from usagelake.sources.snapshots import current_version, expire_snapshots, read_snapshot, write_snapshot
+from usagelake.sources.snapshots import (
+    bucket_column,
+    current_version,
+    expire_snapshots,
+    read_buckets,
+    read_note,
+    read_snapshot,
+    write_buckets,
+    write_noted,
+    write_snapshot,
+)
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -56,17 +66,42 @@ def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] | None
     return write
 
 
-def upsert_batches(path: str, empty: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> BatchFunction:
-    """Merge each batch into a snapshot table: ``new = merge(target, batch)``."""
+def upsert_batches(
+    path: str,
+    empty: DataFrame,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    *,
+    stream: str | None = None,
+    keys: Sequence[str] = (),
+    buckets: int = 0,
+) -> BatchFunction:
+    """Merge each batch into a snapshot table: ``new = merge(target, batch)``.
+
+    `stream` names one checkpoint: its last merged batch is noted in the same write as the state, and a batch that
+    comes again is skipped, so counters add once. A stream with a new checkpoint needs a new name.
+    With `buckets` the state is split by a hash of `keys`, and a batch reads and writes only the buckets that it
+    touches; read such a state with `read_buckets`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        note = read_note(spark, path) if stream or buckets else {}
+        merged = note.get("merged", {})
+        if stream and merged.get(stream, -1) >= batch_id:
+            return
         if batch.isEmpty():
             return
-        target = read_snapshot(spark, path) if current_version(spark, path) else empty
+        if stream:
+            merged = {**merged, stream: batch_id}
         batch.persist()
         try:
-            write_snapshot(merge(target, batch), path)
+            if buckets:
+                touched = [row[0] for row in bucket_column(batch, keys, buckets).select("key_bucket").distinct().collect()]
+                write_buckets(merge(read_buckets(spark, path, empty, touched), batch), path, keys, buckets, touched, merged)
+                return
+            target = read_snapshot(spark, path) if current_version(spark, path) else empty
+            new = merge(target, batch)
+            write_noted(new, path, {"merged": merged}) if stream else write_snapshot(new, path)
             expire_snapshots(spark, path)
         finally:
             batch.unpersist()

@@ -21,7 +21,7 @@ def load(name, path):
 def test_contract():
     entry = load("entry", ROOT / "__spark_entry__.py")
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql() == ORACLES
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.items() <= entry.oracle_sql().items()
     assert set(QUERIES) - set(ORACLES) == {"billing_batch"}
 
 

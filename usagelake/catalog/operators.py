@@ -260,10 +260,11 @@ def containing_interval(t: Tables) -> DataFrame:
 
 
 @query("other_owner", """
-    WITH held AS (SELECT *, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS until FROM lineitem)
+    WITH held AS (SELECT *, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS until FROM lineitem),
+    shipped AS (SELECT *, row_number() OVER () AS n FROM lineitem)
     SELECT p.l_orderkey, p.l_linenumber, s.l_suppkey AS other_supplier, s.until
-    FROM lineitem p JOIN held s ON s.l_partkey = p.l_partkey AND s.l_suppkey <> p.l_suppkey AND p.l_shipdate BETWEEN s.l_shipdate AND s.until
-    QUALIFY row_number() OVER (PARTITION BY p.l_orderkey, p.l_linenumber ORDER BY s.until DESC, s.l_orderkey, s.l_linenumber) = 1
+    FROM shipped p JOIN held s ON s.l_partkey = p.l_partkey AND s.l_suppkey <> p.l_suppkey AND p.l_shipdate BETWEEN s.l_shipdate AND s.until
+    QUALIFY row_number() OVER (PARTITION BY p.n ORDER BY s.until DESC, s.l_orderkey, s.l_linenumber, s.l_suppkey) = 1
 """)
 def other_owner(t: Tables) -> DataFrame:
     """The stock of the same part from another supplier that lasts longest of those in use when a line is shipped."""

@@ -1,12 +1,14 @@
 """Phrase collocations: neighbouring ids counted in tiles, frequent pairs ranked again, up to phrases of four words.
 
 Texts become blocks of about a million tokens of one language, as codes into the block's own list of words. The lists
-meet in one shuffle, in which each word has a row per block at most; frequent words get ids by frequency, which go back
-to the blocks that have them. A block then counts its pairs of neighbouring ids: pairs fall into square tiles of the id
-plane, full tiles (frequent words stand first) are counted by `bincount` over all their cells, the others as sorted
-coordinates. Frequent pairs get ids by frequency and replace the ids at the places where they begin, and the same step
-counts pairs of pairs: two neighbouring ones share a word, so they are phrases of three words, and so on. A phrase is
-only counted where both its parts are frequent, which loses none, as a part stands wherever the phrase does.
+meet in one shuffle, in which each word has a row per block at most; frequent words go back to the blocks that have them.
+A block ranks its words by their frequency in all blocks and counts its pairs of neighbouring ranks: pairs fall into
+square tiles of the plane of ranks, full tiles (frequent words stand first) are counted by `bincount` over all their
+cells, the others as sorted coordinates. Frequent pairs are ranked in the same way and take the places where they begin,
+and the same step counts pairs of pairs: two neighbouring ones share a word, so they are phrases of three words, and so
+on. A phrase is only counted where both its parts are frequent, which loses none, as a part stands wherever it does.
+
+Between blocks a word or phrase goes by a name that its rows get in their shuffle, so no step numbers all of them.
 
 A block that ends inside a text keeps the next words as context that it doesn't count, so long texts lose nothing.
 
@@ -37,8 +39,10 @@ LONGEST = 4
 COVERED = 80
 SCALE = 2_000_000
 TOP = 2000
-#: Tokens of a block, and of all blocks that a task has open.
+#: Tokens of a block (one part of a text may come on top), and of all blocks that a task has open.
 TOKENS, OPEN_TOKENS = 1 << 20, 1 << 22
+#: Bits of a number inside a block, and of a block inside a task.
+NUMBER, BLOCK = 21, 20
 #: Side of a tile in bits, and the least occurrences with which all its cells are counted.
 SIDE = 10
 FULL = 1 << 2 * SIDE - 4
@@ -79,8 +83,10 @@ def _blocks(tokens: int, open_tokens: int, context: int):
             counts = np.bincount(codes[:own], minlength=len(block.code))
             counts[0] = 0
             done += 1
+            if done >> BLOCK or len(codes) >> NUMBER:
+                raise ValueError("too many blocks in a task, or too many tokens in a block")
             return pa.RecordBatch.from_arrays([
-                pa.array([task << 32 | done]), pa.array([lang]), pa.array([int(counts.sum())]), pa.array([own]),
+                pa.array([task << BLOCK | done]), pa.array([lang]), pa.array([int(counts.sum())]), pa.array([own]),
                 pa.array([codes.tobytes()], pa.binary()), pa.array([list(block.code)], pa.list_(pa.binary())),
                 pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
             ], ["block", "lang", "total", "own", "codes", "words", "counts"])
@@ -110,104 +116,97 @@ def _blocks(tokens: int, open_tokens: int, context: int):
 
 def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different pairs and how often they stand: full tiles by all their cells, the others as sorted coordinates."""
-    low, width = (1 << SIDE) - 1, (int(right.max()) >> SIDE) + 1 if len(right) else 1
-    tiles, which, sizes = np.unique((left >> SIDE) * width + (right >> SIDE), return_inverse=True, return_counts=True)
-    cell = (left & low) << SIDE | (right & low)
-    place, number, count = [], [], []
+    low, width = (1 << SIDE) - 1, (int(right.max(initial=0)) >> SIDE) + 1
+    tile, cell = (left >> SIDE) * width + (right >> SIDE), (left & low) << SIDE | (right & low)
+    sizes = np.bincount(tile, minlength=1)
+    keys, counts = [], []
     for t in np.flatnonzero(sizes >= FULL):
-        cells = np.bincount(cell[which == t], minlength=1 << 2 * SIDE)
+        cells = np.bincount(cell[tile == t], minlength=1 << 2 * SIDE)
         at = np.flatnonzero(cells)
-        place.append(at)
-        number.append(np.full(len(at), t))
-        count.append(cells[at])
-    rest = sizes[which] < FULL
-    at, n = np.unique(which[rest] << 2 * SIDE | cell[rest], return_counts=True)
-    place = np.concatenate([*place, at & (1 << 2 * SIDE) - 1]).astype(np.int64)
-    tile = tiles[np.concatenate([*number, at >> 2 * SIDE]).astype(np.int64)]
-    return (tile // width << SIDE) + (place >> SIDE), (tile % width << SIDE) + (place & low), np.concatenate([*count, n])
-
-
-def _packed(ids: np.ndarray) -> bytes:
-    return ids.astype(np.int32 if ids.max(initial=0) < 1 << 31 else np.int64).tobytes()
+        keys.append(t << 2 * SIDE | at)
+        counts.append(cells[at])
+    rest = sizes[tile] < FULL
+    key = np.sort(tile[rest] << 2 * SIDE | cell[rest])
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else key
+    key, count = np.concatenate([*keys, key[new]]), np.concatenate([*counts, np.diff(np.append(new, len(key)))])
+    tile, cell = key >> 2 * SIDE, key & (1 << 2 * SIDE) - 1
+    return (tile // width << SIDE) + (cell >> SIDE), (tile % width << SIDE) + (cell & low), count
 
 
-def _unpacked(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(data, np.int64 if len(data) == 8 * size else np.int32).astype(np.int64)
+def _row(block: int, own: int, ranks: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array([block]), pa.array([own]), pa.array([ranks.astype(np.int32).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()),
+    ], ["block", "own", "ranks", "names"])
 
 
-def _row(block: int, size: int, own: int, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([size]), pa.array([own]), pa.array([_packed(ids)], pa.binary())],
-                                      ["block", "size", "own", "ids"])
+#: `ranks`: what begins at each place, -1 for a break or what isn't frequent; `names`: the name of each rank.
+_ROW = "block long, own long, ranks binary, names binary"
 
 
-_ROW = "block long, size long, own long, ids binary"
+def _by_frequency(known: pa.StructArray) -> np.ndarray:
+    """Places of the different entries (a pair may also stand in the context), the most frequent first."""
+    names, once = np.unique(known.field("name").to_numpy(), return_index=True)
+    return once[np.lexsort((names, -known.field("a").to_numpy()[once]))]
 
 
-def _word_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with their words' ids in place of their codes; -1: a break or a word that isn't frequent."""
+def _word_ranks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with ranks in place of their words."""
     for batch in batches:
         for block, own, codes, known in zip(*(batch.column(c) for c in ("block", "own", "codes", "known"))):
-            codes = np.frombuffer(codes.as_py(), np.int32)
-            ids = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
-            ids[known.values.field("code").to_numpy()] = known.values.field("id").to_numpy()
-            yield _row(block.as_py(), len(codes), own.as_py(), ids[codes])
+            codes, known = np.frombuffer(codes.as_py(), np.int32), known.values
+            order = _by_frequency(known)
+            ranks = np.full(int(codes.max(initial=0)) + 1, -1, np.int32)
+            ranks[known.field("code").to_numpy()[order]] = np.arange(len(order), dtype=np.int32)
+            yield _row(block.as_py(), own.as_py(), ranks[codes], known.field("name").to_numpy()[order])
 
 
-def _pair_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks in which each id is replaced by that of the frequent pair that begins there, or -1."""
+def _pair_ranks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in which each rank is replaced by that of the frequent pair that begins there."""
     for batch in batches:
-        for block, size, own, ids, known in zip(*(batch.column(c) for c in ("block", "size", "own", "ids", "known"))):
-            ids = _unpacked(ids.as_py(), size.as_py())
-            left, right, number = (known.values.field(c).to_numpy() for c in ("left", "right", "id"))
-            lefts, rights = np.unique(left), np.unique(right)
-            keys = np.searchsorted(lefts, left) * len(rights) + np.searchsorted(rights, right)
-            order = np.argsort(keys)
-            keys, number = keys[order], number[order]
-            a = np.minimum(np.searchsorted(lefts, ids[:-1]), len(lefts) - 1)
-            b = np.minimum(np.searchsorted(rights, ids[1:]), len(rights) - 1)
-            wanted = a * len(rights) + b
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            good = (lefts[a] == ids[:-1]) & (rights[b] == ids[1:]) & (keys[at] == wanted)
-            yield _row(block.as_py(), len(good), own.as_py(), np.where(good, number[at], -1))
+        for block, own, ranks, names, known in zip(*(batch.column(c) for c in ("block", "own", "ranks", "names", "known"))):
+            ranks, names, known = np.frombuffer(ranks.as_py(), np.int32).astype(np.int64), np.frombuffer(names.as_py(), np.int64), known.values
+            order, by_name = _by_frequency(known), np.argsort(names)
+            left, right = (by_name[np.searchsorted(names[by_name], known.field(c).to_numpy()[order])] for c in ("left", "right"))
+            keys = left * len(names) + right
+            sort = np.argsort(keys)
+            wanted = np.where((ranks[:-1] >= 0) & (ranks[1:] >= 0), ranks[:-1] * len(names) + ranks[1:], -1)
+            at = np.minimum(np.searchsorted(keys[sort], wanted), len(keys) - 1)
+            yield _row(block.as_py(), own.as_py(), np.where(keys[sort][at] == wanted, sort[at], -1), known.field("name").to_numpy()[order])
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, left, right, n) of each block's neighbouring ids; pairs that stand in its context alone count 0."""
+    """(left, right, share: block and count) of each block's neighbouring pairs, by name; those in its context alone count 0."""
     for batch in batches:
-        for block, size, own, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "size", "own", "ids"))):
-            ids = _unpacked(ids, size)
-            left, right = ids[:-1], ids[1:]
+        for block, own, ranks, names in zip(*(batch.column(c).to_pylist() for c in ("block", "own", "ranks", "names"))):
+            ranks, names = np.frombuffer(ranks, np.int32).astype(np.int64), np.frombuffer(names, np.int64)
+            left, right = ranks[:-1], ranks[1:]
             both = (left >= 0) & (right >= 0)
             inside = both & (np.arange(len(left)) < own)
             a, b, n = count_pairs(left[inside], right[inside])
             more = np.flatnonzero(both & ~inside)
             a, b, n = np.concatenate([a, left[more]]), np.concatenate([b, right[more]]), np.concatenate([n, np.zeros(len(more), np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), block, np.int64)), pa.array(a), pa.array(b), pa.array(n)],
-                                             ["block", "left", "right", "n"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(names[a]), pa.array(names[b]), pa.array(n | block << NUMBER)], ["left", "right", "share"])
 
 
-def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Rows of the keys that stand `least` times in all blocks together, with that count `a`; a key has a row per block."""
-    return rows.withColumn("a", F.sum("n").over(Window.partitionBy(*keys))).where(F.col("a") >= least).drop("n")
+def _inside(column: str) -> Column:
+    return F.col(column).bitwiseAND(F.lit((1 << NUMBER) - 1))
 
 
-def _numbered(grams: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """`grams` with ids from 0 without gaps, by language and falling count: sorted in ranges, over all tasks."""
-    order = [F.col("lang"), F.desc("a"), F.col("phrase")]
-    placed = scratch.store(grams.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), name)
-    sizes = placed.groupBy(F.shiftright("place", 33).alias("part")).count().orderBy("part").collect()  # a row per task
-    offsets, total = [], 0
-    for part, count in sizes:
-        offsets.append((part, total))
-        total += count
-    known = F.broadcast(grams.sparkSession.createDataFrame(offsets, "part long, offset long"))
-    return placed.join(known, F.shiftright("place", 33) == F.col("part")).withColumn(
-        "id", F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("offset")).drop("place", "part", "offset")
+def _frequent(rows: DataFrame, keys: list[str], count: Column, least: int) -> DataFrame:
+    """Rows of what stands `least` times in all blocks together: that count `a`, its name, and whether it is its first row.
+
+    A word or pair has a row per block (and one in its context), so no group grows with the tokens. Names are numbers
+    of rows, taken after the one shuffle; they hold once the rows are stored.
+    """
+    same = Window.partitionBy(*keys)
+    found = rows.withColumn("a", F.sum(count).over(same)).where(F.col("a") >= least).withColumn("nth", F.monotonically_increasing_id())
+    return found.withColumn("name", F.min("nth").over(same)).withColumn("first", F.col("nth") == F.col("name")).drop("nth")
 
 
-def _known(rows: DataFrame, *columns: str) -> DataFrame:
+def _known(rows: DataFrame, block: Column, *columns: Column | str) -> DataFrame:
     """What each block needs to know: bounded by the block's own tokens."""
-    return rows.groupBy(F.col("block").alias("k_block")).agg(F.collect_list(F.struct(*columns)).alias("known"))
+    return rows.groupBy(F.shiftright(block, NUMBER).alias("k_block")).agg(F.collect_list(F.struct(*columns, "a", "name")).alias("known"))
 
 
 def _scores(level: int) -> Column:
@@ -224,8 +223,8 @@ def phrases(docs: DataFrame, scratch: Scratch, *, least: int = LEAST, longest: i
             open_tokens: int = OPEN_TOKENS) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases of 1, 2 ... `longest` words, a table each, and (lang, n) of all words.
 
-    Columns: id, lang, phrase, a (occurrences), last (word), heads and tails (occurrences of the first and of the last
-    1, 2 ... words); from two words on also left and right (ids of the phrases without the last and the first word).
+    Columns: name, lang, phrase, a (occurrences), last (word), heads and tails (occurrences of the first and of the last
+    1, 2 ... words); from two words on also left and right (names of the phrases without the last and the first word).
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole_text().alias("text"))
@@ -234,31 +233,28 @@ def phrases(docs: DataFrame, scratch: Scratch, *, least: int = LEAST, longest: i
         "block long, lang string, total long, own long, codes binary, words array<binary>, counts array<long>"), "blocks")
     totals = scratch.store(blocks.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
     entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("code", "word"))
-    entries = entries.where("code > 0").select("block", "lang", "code", "word.phrase", "word.n")
-    found = scratch.store(_frequent(entries, ["lang", "phrase"], least), "found-1")
-    grams = _numbered(found.select("lang", "phrase", "a").distinct(), scratch, "grams-1")
-    grams = scratch.store(grams.select(
-        "id", "lang", "phrase", "a", F.col("phrase").alias("last"), F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases-1")
-    known = _known(found.join(grams.select("id", F.col("lang").alias("g_lang"), F.col("phrase").alias("g_phrase")).hint("merge"),
-                              (F.col("lang") == F.col("g_lang")) & (F.col("phrase") == F.col("g_phrase"))), "code", "id")
+    entries = entries.where("code > 0").select(
+        F.shiftleft("block", NUMBER).bitwiseOR(F.col("code").cast("long")).alias("place"), "lang", "word.phrase", "word.n")
+    found = scratch.store(_frequent(entries, ["lang", "phrase"], F.col("n"), least).drop("n"), "found-1")
+    levels = [scratch.store(found.where("first").select(
+        "name", "lang", "phrase", "a", F.col("phrase").alias("last"), F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases-1")]
+    known = _known(found, F.col("place"), _inside("place").alias("code"))
     rows = blocks.select("block", "own", "codes").join(known.hint("merge"), F.col("block") == F.col("k_block"))
-    rows = scratch.store(rows.mapInArrow(_word_ids, _ROW), "rows-1")
-    scratch.drop("blocks", "found-1", "grams-1")
-    levels = [grams]
+    rows = scratch.store(rows.mapInArrow(_word_ranks, _ROW), "rows-1")
+    scratch.drop("blocks", "found-1")
     for level in range(2, longest + 1):
-        found = scratch.store(_frequent(rows.mapInArrow(_count, "block long, left long, right long, n long"), ["left", "right"], least), f"found-{level}")
-        one = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("first"), "heads")
-        two = levels[-1].select(F.col("id").alias("right"), "last", "tails")
-        pairs = found.select("left", "right", "a").distinct().join(one.hint("merge"), "left").join(two.hint("merge"), "right")
-        grams = _numbered(pairs.select(
-            "lang", F.concat("first", F.lit(b" "), "last").alias("phrase"), "a", "last", "left", "right",
-            F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails")), scratch, f"grams-{level}")
-        levels.append(scratch.store(grams, f"phrases-{level}"))
+        pairs = rows.mapInArrow(_count, "left long, right long, share long")
+        found = scratch.store(_frequent(pairs, ["left", "right"], _inside("share"), least), f"found-{level}")
+        one = levels[-1].select(F.col("name").alias("left"), "lang", F.col("phrase").alias("first"), "heads")
+        two = levels[-1].select(F.col("name").alias("right"), "last", "tails")
+        pairs = found.where("first").select("name", "left", "right", "a").join(one.hint("merge"), "left").join(two.hint("merge"), "right")
+        levels.append(scratch.store(pairs.select(
+            "name", "lang", F.concat("first", F.lit(b" "), "last").alias("phrase"), "a", "last", "left", "right",
+            F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails")), f"phrases-{level}"))
         if level < longest:
-            ids = levels[-1].select("id", F.col("left").alias("g_left"), F.col("right").alias("g_right"))
-            known = _known(found.join(ids.hint("merge"), (F.col("left") == F.col("g_left")) & (F.col("right") == F.col("g_right"))), "left", "right", "id")
-            rows = scratch.store(rows.join(known.hint("merge"), F.col("block") == F.col("k_block")).mapInArrow(_pair_ids, _ROW), f"rows-{level}")
-        scratch.drop(f"rows-{level - 1}", f"found-{level}", f"grams-{level}")
+            known = _known(found, F.col("share"), "left", "right")
+            rows = scratch.store(rows.join(known.hint("merge"), F.col("block") == F.col("k_block")).mapInArrow(_pair_ranks, _ROW), f"rows-{level}")
+        scratch.drop(f"rows-{level - 1}", f"found-{level}")
     return levels, totals
 
 
@@ -268,11 +264,11 @@ def collocations(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST,
     levels, totals = phrases(docs, Scratch(docs.sparkSession, "collocations"), least=least, longest=longest, tokens=tokens, open_tokens=open_tokens)
     scored = None
     for level, grams in enumerate(levels[1:], 2):
-        rows = grams.select("id", "lang", "phrase", "a", _scores(level).alias("best"))
+        rows = grams.select("name", "lang", "phrase", "a", _scores(level).alias("best"))
         if level < longest:
             # The longer phrases of one word more suffice: those are as frequent as any that hold them.
-            longer = levels[level].select(F.explode(F.array("left", "right")).alias("c_id"), "a").groupBy("c_id").agg(F.max("a").alias("most"))
-            rows = rows.join(longer, F.col("id") == F.col("c_id"), "left").where(
+            longer = levels[level].select(F.explode(F.array("left", "right")).alias("c_name"), "a").groupBy("c_name").agg(F.max("a").alias("most"))
+            rows = rows.join(longer, F.col("name") == F.col("c_name"), "left").where(
                 F.col("most").isNull() | (F.col("most").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * COVERED))
         rows = rows.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "best.l", "best.r", "best.score")
         scored = rows if scored is None else scored.union(rows)

@@ -219,6 +219,11 @@ def _scores(level: int) -> Column:
     return F.array_min(F.array(*cuts))
 
 
+def _stored(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
+    """A table of codes or ranks, well compressed: these are most of what lies on disk at a time."""
+    return scratch.store(df, name, codec="zstd")
+
+
 def phrases(docs: DataFrame, scratch: Scratch, *, least: int = LEAST, longest: int = LONGEST, tokens: int = TOKENS,
             open_tokens: int = OPEN_TOKENS) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases of 1, 2 ... `longest` words, a table each, and (lang, n) of all words.
@@ -228,23 +233,23 @@ def phrases(docs: DataFrame, scratch: Scratch, *, least: int = LEAST, longest: i
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole_text().alias("text"))
-    blocks = scratch.store(texts.mapInArrow(
+    blocks = _stored(scratch, texts.mapInArrow(
         _blocks(tokens, open_tokens, longest - 1),
         "block long, lang string, total long, own long, codes binary, words array<binary>, counts array<long>"), "blocks")
     totals = scratch.store(blocks.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
     entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("code", "word"))
     entries = entries.where("code > 0").select(
         F.shiftleft("block", NUMBER).bitwiseOR(F.col("code").cast("long")).alias("place"), "lang", "word.phrase", "word.n")
-    found = scratch.store(_frequent(entries, ["lang", "phrase"], F.col("n"), least).drop("n"), "found-1")
+    found = _stored(scratch, _frequent(entries, ["lang", "phrase"], F.col("n"), least).drop("n"), "found-1")
     levels = [scratch.store(found.where("first").select(
         "name", "lang", "phrase", "a", F.col("phrase").alias("last"), F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases-1")]
     known = _known(found, F.col("place"), _inside("place").alias("code"))
     rows = blocks.select("block", "own", "codes").join(known.hint("merge"), F.col("block") == F.col("k_block"))
-    rows = scratch.store(rows.mapInArrow(_word_ranks, _ROW), "rows-1")
+    rows = _stored(scratch, rows.mapInArrow(_word_ranks, _ROW), "rows-1")
     scratch.drop("blocks", "found-1")
     for level in range(2, longest + 1):
         pairs = rows.mapInArrow(_count, "left long, right long, share long")
-        found = scratch.store(_frequent(pairs, ["left", "right"], _inside("share"), least), f"found-{level}")
+        found = _stored(scratch, _frequent(pairs, ["left", "right"], _inside("share"), least), f"found-{level}")
         one = levels[-1].select(F.col("name").alias("left"), "lang", F.col("phrase").alias("first"), "heads")
         two = levels[-1].select(F.col("name").alias("right"), "last", "tails")
         pairs = found.where("first").select("name", "left", "right", "a").join(one.hint("merge"), "left").join(two.hint("merge"), "right")
@@ -253,7 +258,7 @@ def phrases(docs: DataFrame, scratch: Scratch, *, least: int = LEAST, longest: i
             F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails")), f"phrases-{level}"))
         if level < longest:
             known = _known(found, F.col("share"), "left", "right")
-            rows = scratch.store(rows.join(known.hint("merge"), F.col("block") == F.col("k_block")).mapInArrow(_pair_ranks, _ROW), f"rows-{level}")
+            rows = _stored(scratch, rows.join(known.hint("merge"), F.col("block") == F.col("k_block")).mapInArrow(_pair_ranks, _ROW), f"rows-{level}")
         scratch.drop(f"rows-{level - 1}", f"found-{level}")
     return levels, totals
 

@@ -26,10 +26,10 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         path = f"{self.path}/{name}"
         with shuffle_cleanup(self.spark):
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").parquet(path, compression=codec)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

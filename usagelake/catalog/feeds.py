@@ -233,12 +233,12 @@ def recent_and_effective(t: Tables) -> DataFrame:
 
 @query("insert_uncovered", """
     SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0
-    UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
+    UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
 """)
 def insert_uncovered(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_totalprice")
     covered = t.lineitem.where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
-    return U.insert_uncovered(rows.where("o_orderkey % 3 = 0"), rows.where("o_orderkey % 3 = 1"), covered=covered, row_key=["o_orderkey"])
+    return U.insert_uncovered(rows.where("o_orderkey % 3 = 0"), rows.where("o_orderkey % 3 > 0"), covered=covered, row_key=["o_orderkey"])
 
 
 @query("source_files", """
@@ -313,7 +313,7 @@ def merge_gen1(t: Tables) -> DataFrame:
 
 @query("upsert_null_keys", """
     WITH s AS (SELECT CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey END AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 2 = 0),
-    t AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS k, o_totalprice - 1 AS v FROM orders WHERE o_orderkey % 4 < 3)
+    t AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS k, o_totalprice - 1 AS v FROM orders WHERE o_orderkey % 4 > 0)
     SELECT t.k, coalesce(s.v, t.v) AS v FROM t LEFT JOIN s ON s.k = t.k
     UNION ALL SELECT k, v FROM s WHERE k IS NULL OR k NOT IN (SELECT k FROM t WHERE k IS NOT NULL)
 """)
@@ -321,13 +321,13 @@ def upsert_null_keys(t: Tables) -> DataFrame:
     """Null keys match nothing and repeat on both sides."""
     key = F.col("o_orderkey")
     source = t.orders.where("o_orderkey % 2 = 0").select(F.when(key % 5 > 0, key).alias("k"), F.col("o_totalprice").alias("v"))
-    target = t.orders.where("o_orderkey % 4 < 3").select(F.when(key % 3 > 0, key).alias("k"), (F.col("o_totalprice") - 1).alias("v"))
+    target = t.orders.where("o_orderkey % 4 > 0").select(F.when(key % 3 > 0, key).alias("k"), (F.col("o_totalprice") - 1).alias("v"))
     return U.scd1(target, source, ["k"])
 
 
 @query("accumulate_sets", """
     WITH s AS (SELECT user_id AS k, count(*) FILTER (WHERE value > 400) AS n, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS ids FROM events WHERE event_id % 3 = 0 GROUP BY 1),
-    t AS (SELECT user_id AS k, CASE WHEN user_id % 4 > 0 THEN count(*) END AS n, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS ids FROM events WHERE event_id % 7 = 1 GROUP BY 1)
+    t AS (SELECT user_id AS k, CASE WHEN user_id % 4 > 0 THEN count(*) END AS n, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS ids FROM events WHERE event_id % 3 > 0 GROUP BY 1)
     SELECT coalesce(t.k, s.k) AS k, CASE WHEN t.n IS NULL THEN s.n ELSE t.n + coalesce(s.n, 0) END AS n,
            list_aggregate(list_sort(list_distinct(string_split(concat_ws('|', t.ids, s.ids), '|'))), 'string_agg', '|') AS ids
     FROM t FULL JOIN s USING (k)
@@ -338,5 +338,5 @@ def accumulate_sets(t: Tables) -> DataFrame:
         return rows.groupBy(F.col("user_id").alias("k")).agg(n.alias("n"), F.concat_ws("|", F.array_sort(F.collect_set("event_type"))).alias("ids"))
 
     source = side(t.events.where("event_id % 3 = 0"), F.count(F.when(F.col("value") > 400, 1)))
-    target = side(t.events.where("event_id % 7 = 1"), F.count(F.lit(1))).withColumn("n", F.when(F.col("k") % 4 > 0, F.col("n")))
+    target = side(t.events.where("event_id % 3 > 0"), F.count(F.lit(1))).withColumn("n", F.when(F.col("k") % 4 > 0, F.col("n")))
     return U.accumulate(target, source, ["k"], add=["n"], merge_sets=["ids"], separator="|")

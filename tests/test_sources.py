@@ -145,3 +145,17 @@ def test_null_and_escaped_partitions_lose_nothing(spark, frame, tmp_path):
     gone = frame("k int, m string", (3, "b:c d"), (1, None), (2, None), (9, None))
     N.update_partitions(spark, path, gone, "m", lambda t, s: t.join(s.select("k"), "k", "left_anti").select("k", "m"))
     assert rows_of(spark.read.parquet(path), "k", "m") == [(4, "x/y"), (5, "plain")]
+
+
+def test_attempts_on_archives(frame):
+    from usagelake.sources.manifest import archive_states, replay_attempts
+
+    t = lambda m: datetime(2024, 1, 1, 0, m)
+    attempts = frame("attempt_id int, archive string, destination string, file_size bigint, attempted_at timestamp",
+                     (1, "a", "x", None, t(1)), (2, "a", "x", 10, t(2)), (3, "b", "x", 10, t(3)), (4, "c", "x", 12, t(3)), (5, "b", "x", 11, t(4)),
+                     (6, "d", "y", 5, t(1)), (7, "e", "z", None, t(1)), (8, "e", "z", None, t(2)), (9, "e", "z", None, t(3)), (10, "f", "z", None, t(9)))
+    judged = replay_attempts(attempts, frame("destination string, file_size bigint", ("y", 7), ("y", 5)))
+    assert dict(rows_of(judged, "attempt_id", "status")) == {
+        1: "Failed", 2: "New", 3: "Duplicate", 4: "Replace", 5: "Duplicate", 6: "Duplicate", 7: "Failed", 8: "Failed", 9: "Failed", 10: "Failed"}
+    assert dict(rows_of(archive_states(judged), "archive", "state")) == {
+        "a": "loaded", "b": "duplicate", "c": "loaded", "d": "duplicate", "e": "given_up", "f": "waiting"}

@@ -13,9 +13,10 @@ from usagelake.functions import columns as K
 from usagelake.operators import upsert as U
 from usagelake.operators.dedup import latest_by
 from usagelake.plans import cycles as C
-from usagelake.plans import reports
-from usagelake.session import shared_folder
+from usagelake.plans import masters, reports
+from usagelake.session import settle, shared_folder
 from usagelake.sources import files
+from usagelake.sources.manifest import archive_states, replay_attempts
 from usagelake.sources.snapshots import bucket_column, compact, read_buckets, read_snapshot, update_partitions
 from usagelake.streaming.runner import append_batches, drain, upsert_batches, with_capture
 
@@ -340,3 +341,46 @@ def accumulate_sets(t: Tables) -> DataFrame:
     source = side(t.events.where("event_id % 3 = 0"), F.count(F.when(F.col("value") > 400, 1)))
     target = side(t.events.where("event_id % 3 > 0"), F.count(F.lit(1))).withColumn("n", F.when(F.col("k") % 4 > 0, F.col("n")))
     return U.accumulate(target, source, ["k"], add=["n"], merge_sets=["ids"], separator="|")
+
+
+# ---- repeats: attempts on archives, later loads of numbers ------------------
+
+
+@query("dead_letter_replay", """
+    WITH a AS (SELECT event_id, 'd' || user_id AS destination, 'a' || user_id || '-' || (event_id % 20) AS archive, ts,
+                      CASE WHEN value >= 80 THEN CAST(floor(value) AS BIGINT) END AS size FROM events),
+    r AS (SELECT DISTINCT 'd' || user_id AS destination, 150 AS loaded FROM events WHERE user_id % 2 = 0),
+    h AS (SELECT a.*, greatest(max(size) OVER (PARTITION BY a.destination ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), loaded) AS held
+          FROM a LEFT JOIN r ON r.destination = a.destination),
+    j AS (SELECT *, CASE WHEN size IS NULL THEN 'Failed' WHEN held IS NULL THEN 'New' WHEN size > held THEN 'Replace' ELSE 'Duplicate' END AS status FROM h)
+    SELECT archive, count(*) AS n_attempts, count(*) FILTER (WHERE status = 'Failed') AS n_failed, count(*) FILTER (WHERE status = 'Replace') AS n_replaced,
+           CASE WHEN bool_or(status IN ('New', 'Replace')) THEN 'loaded' WHEN bool_or(status = 'Duplicate') THEN 'duplicate'
+                WHEN count(*) FILTER (WHERE status = 'Failed') >= 3 THEN 'given_up' ELSE 'waiting' END AS state
+    FROM j GROUP BY archive
+""")
+def dead_letter_replay(t: Tables) -> DataFrame:
+    """Attempts on archives of which some can't be read; half of the destinations hold a file already."""
+    user = F.col("user_id").cast("string")
+    attempts = t.events.select(
+        F.col("event_id").alias("attempt_id"), F.concat(F.lit("d"), user).alias("destination"),
+        F.concat(F.lit("a"), user, F.lit("-"), (F.col("event_id") % 20).cast("string")).alias("archive"),
+        F.when(F.col("value") >= 80, F.floor("value")).cast("long").alias("file_size"), F.col("ts").cast("timestamp").alias("attempted_at"))
+    registry = t.events.where("user_id % 2 = 0").select(F.concat(F.lit("d"), user).alias("destination"), F.lit(150).cast("long").alias("file_size")).distinct()
+    return archive_states(replay_attempts(attempts, registry))
+
+
+@query("consumer_numbers_later", """
+    WITH ids AS (SELECT DISTINCT o_custkey FROM orders)
+    SELECT o_custkey % 3 = 0 AS first_load, count(*) AS n,
+           CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 1 + (SELECT count(*) FROM ids WHERE o_custkey % 3 = 0) END AS lowest,
+           CASE WHEN o_custkey % 3 = 0 THEN count(*) ELSE (SELECT count(*) FROM ids) END AS highest
+    FROM ids GROUP BY 1, 3, o_custkey % 3 = 0
+""")
+def consumer_numbers_later(t: Tables) -> DataFrame:
+    """A second load goes on after the greatest number of the first, whose numbers stay."""
+    ids = t.orders.select(F.col("o_custkey").cast("string").alias("consumer_id"))
+    early = F.col("consumer_id").cast("long") % 3 == 0
+    first = settle(masters.number_consumers(t.spark.createDataFrame([], "consumer_id string, scanned_id bigint"), ids.where(early)))
+    both = masters.number_consumers(first, ids)
+    return both.groupBy(early.alias("first_load")).agg(
+        F.count_distinct("scanned_id").alias("n"), F.min("scanned_id").alias("lowest"), F.max("scanned_id").alias("highest"))

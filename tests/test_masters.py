@@ -39,6 +39,35 @@ def test_equipment_history_recomputes_touched_serials_only(frame):
         ("A", date(2024, 1, 10), open_, "RETURNED", date(2024, 1, 10), 1), ("Z", date(2024, 1, 1), open_, "SHIPPED", None, 1)]
 
 
+def test_equipment_splice_equals_a_whole_recompute(spark, frame):
+    """Random late changes: batch after batch gives what one load of all rows gives; rows before the change are not ordered again."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    days = rng.sample(range(1, 300), 60)
+    rows = [change(f"k{i}", rng.choice(["a", "b", None]), date.fromordinal(date(2023, 1, 1).toordinal() + day).strftime("%Y%m%d"),
+                   status=rng.choice(["SHIPPED", "IN WAREHOUSE"])) for i, day in enumerate(days)]
+    shown = ("equipment_key", "serial", "ship_start", "ship_end", "movement_status", "return_date", "load_order")
+    clean = M.clean_equipment(frame(CHANGE, *rows))
+    empty = clean.limit(0).withColumns({"ship_end": F.lit(None).cast("date"), "movement_status": F.lit(None).cast("string"), "return_date": F.lit(None).cast("date")})
+    whole = rows_of(M.equipment_history(empty, clean), *shown)
+    history = empty
+    for part in (rows[:25], rows[25:50], rows[50:], rows[40:]):
+        history = spark.createDataFrame(M.equipment_history(history, M.clean_equipment(frame(CHANGE, *part))).collect(), empty.schema)
+    assert rows_of(history, *shown) == whole
+    # plain Python on the same rows
+    by_serial = {}
+    for key, serial, _, changed, *rest in rows:
+        by_serial.setdefault((serial or "UNKNOWN").upper(), []).append((changed, key, rest[2]))
+    for serial, moves in by_serial.items():
+        moves.sort()
+        got = sorted((r[2].strftime("%Y%m%d"), r[0], r[4], r[6]) for r in whole if r[1] == serial)
+        assert got == [
+            (d, k, "RETURNED" if s == "IN WAREHOUSE" and i and moves[i - 1][2] == "SHIPPED" else s, len(moves) - i) for i, (d, k, s) in enumerate(moves)]
+
+
 def test_simple_masters(frame):
     c = frame("account_id string, file_name string, city string, city2 string, name string", ("1", "f1", "x", "", "old"), ("1", "f2", "a", "", "new"))
     assert rows_of(M.customers(c.limit(0), c), "account_id", "name") == [("1", "new")]
@@ -83,6 +112,41 @@ def test_twin_full_load_and_changes(frame):
     assert rows_of(got, "device_id", "version_nbr", "fluid_filter", "app1_version", "os_version") == [("D1", 5, "new", "2.1.0", "9.9.9")]
 
 
+def test_twin_epochs_equal_one_merge_per_epoch(spark, frame):
+    import random
+
+    rng = random.Random(3)
+    schema = "device_id string, twin_json string, operation_type string, operation_ts timestamp"
+    hour = lambda h: datetime(2024, 1, 1 + h // 24, h % 24)
+    epochs, n = [], 0
+    for e in range(4):
+        rows = []
+        if e:
+            for d in rng.sample(range(6), 4):
+                n += 1
+                rows.append((f"d{d}", json.dumps({"version": str(n), "properties": {"reported": {"AirFilter": f"full{n}"}}}), "FullLoad", hour(10 * e)))
+        for _ in range(8):
+            n += 1
+            reported = {}
+            if rng.random() < 0.7:
+                reported["FluidFilter"] = f"f{rng.randint(0, 99):02d}"
+            if rng.random() < 0.4:
+                reported["softwareVersions"] = {"App1": {"fw": {"mj": str(rng.randint(1, 9)), "md": "0", "mn": "0"}}}
+            rows.append((f"d{rng.randint(0, 6)}", json.dumps({"version": str(n), "properties": {"reported": reported}}), "updateTwin", hour(10 * e + rng.randint(1, 9))))
+        epochs.append(rows)
+    empty = M.parse_twin(frame(schema, *epochs[0]).limit(0)).drop("twin_json", "operation_type", "operation_ts", "has_versions")
+    held = M.merge_twins(empty, frame(schema, ("d6", json.dumps({"version": "0", "properties": {"reported": {"FluidFilter": "old"}}}), "FullLoad", AT)))
+    held = spark.createDataFrame(held.collect(), empty.schema)
+    shown = ("device_id", "version_nbr", "fluid_filter", "air_filter", "app1_version")
+    want = held
+    for rows in epochs:
+        want = spark.createDataFrame(M.merge_twins(want, frame(schema, *rows)).collect(), empty.schema)
+    mixed = [row for rows in epochs for row in rows]
+    rng.shuffle(mixed)
+    got = M.merge_twin_epochs(held, frame(schema, *mixed), lanes=4)
+    assert rows_of(got, *shown) == rows_of(want, *shown) and got.count() > 4
+
+
 def test_consumer_numbers_continue(frame):
     known = frame("consumer_id string, scanned_id bigint", ("1", 10))
     got = M.number_consumers(known, frame("consumer_id string", ("1",), ("2",), ("3",), ("2",), ("MISSING",), (None,)))

@@ -249,6 +249,31 @@ def equipment_history(t: Tables) -> DataFrame:
     return out.select("serial", "ship_start", "ship_end", "ship_to", "load_order", "movement_status", "return_date")
 
 
+@query("equipment_splice", """
+    WITH m AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d, min(l_suppkey) AS ship_to, min(l_returnflag) AS flag FROM lineitem GROUP BY ALL),
+    s AS (SELECT *, CASE WHEN min(ship_to) OVER (PARTITION BY l_partkey) > 2 THEN 'P' || l_partkey ELSE 'UNKNOWN' END AS serial, day(d) > 20 AS late FROM m)
+    SELECT serial, d AS ship_start, lead(d, 1, DATE '2111-11-11') OVER w AS ship_end, CAST(ship_to AS VARCHAR) AS ship_to,
+           count(*) OVER (PARTITION BY serial) - row_number() OVER w + 1 AS load_order,
+           CASE WHEN flag = 'R' AND lag(flag) OVER w <> 'R' THEN 'RETURNED' WHEN flag = 'R' THEN 'IN WAREHOUSE' ELSE 'SHIPPED' END AS movement_status,
+           CASE WHEN flag = 'R' AND lag(flag) OVER w <> 'R' THEN d END AS return_date
+    FROM s WINDOW w AS (PARTITION BY serial ORDER BY d, late, 'E' || l_partkey)
+""")
+def equipment_splice(t: Tables) -> DataFrame:
+    """Changes of the last third of each month come late into a filled history, and then once more; many parts have no serial."""
+    rows = equipment_changes(t)
+    least = rows.groupBy("equipment_key").agg(F.min(F.col("ship_to").cast("long")).alias("least"))
+    rows = rows.join(least, "equipment_key").withColumn("serial", F.when(F.col("least") > 2, F.col("serial"))).drop("least")
+    changes = settle(masters.clean_equipment(rows))
+    empty = changes.limit(0).withColumns(
+        {"ship_end": F.lit(None).cast("date"), "movement_status": F.lit(None).cast("string"), "return_date": F.lit(None).cast("date")}
+    )
+    late = changes.where("dayofmonth(ship_start) > 20")
+    history = settle(masters.equipment_history(empty, changes.where("dayofmonth(ship_start) <= 20")))
+    for _ in range(2):
+        history = settle(masters.equipment_history(history, late))
+    return history.select("serial", "ship_start", "ship_end", "ship_to", "load_order", "movement_status", "return_date")
+
+
 @query("territories", """
     SELECT c_nationkey AS account_id, min(c_mktsegment) AS territory FROM customer WHERE c_mktsegment LIKE '%U%' GROUP BY c_nationkey
 """)
@@ -276,6 +301,22 @@ def account_hierarchy(t: Tables) -> DataFrame:
     return out.drop("is_current", "updated_at")
 
 
+def twin_message(df: DataFrame, operation: str, version, filter_text, part: str, app, at: str = "ts") -> DataFrame:
+    """Rows as twin messages of the hub."""
+    reported = F.struct(filter_text.alias("FluidFilter"), F.struct(F.struct(F.struct(app[0].alias("mj"), app[1].alias("md"), app[2].alias("mn")).alias("fw")).alias("App1")).alias(part))
+    twin = F.to_json(F.struct(version.cast("string").alias("version"), F.struct(reported.alias("reported")).alias("properties")))
+    body = F.struct(F.encode(twin, "utf-8").alias("body"), F.create_map(F.lit("deviceId"), F.concat(F.lit("d"), F.col("user_id").cast("string")), F.lit("opType"), F.lit(operation)).alias("properties"))
+    hub = parse_hub_messages(df.select(body.alias("m"), at).select("m.*", at))
+    return hub.select("device_id", F.col("body").alias("twin_json"), "operation_type", F.col(at).alias("operation_ts"))
+
+
+def twin_views(t: Tables) -> DataFrame:
+    return twin_message(
+        of_type(t, "view").where("value > 150"), "updateTwin", F.col("event_id"), F.when(F.col("value") > 200, F.col("props")),
+        "softwareVersions", [F.lit("2"), F.lpad(F.col("event_id").cast("string"), 9, "0"), F.lit("1")],
+    )
+
+
 @query("twin_merge", """
     WITH full_load AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'signup'
                        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
@@ -285,23 +326,39 @@ def account_hierarchy(t: Tables) -> DataFrame:
     FROM full_load f LEFT JOIN chg c ON f.user_id = c.user_id
 """)
 def twin_merge(t: Tables) -> DataFrame:
-    def message(df: DataFrame, operation: str, version, filter_text, part: str, app) -> DataFrame:
-        reported = F.struct(filter_text.alias("FluidFilter"), F.struct(F.struct(F.struct(app[0].alias("mj"), app[1].alias("md"), app[2].alias("mn")).alias("fw")).alias("App1")).alias(part))
-        twin = F.to_json(F.struct(version.cast("string").alias("version"), F.struct(reported.alias("reported")).alias("properties")))
-        body = F.struct(F.encode(twin, "utf-8").alias("body"), F.create_map(F.lit("deviceId"), F.concat(F.lit("d"), F.col("user_id").cast("string")), F.lit("opType"), F.lit(operation)).alias("properties"))
-        hub = parse_hub_messages(df.select(body.alias("m"), "ts").select("m.*", "ts"))
-        return hub.select("device_id", F.col("body").alias("twin_json"), "operation_type", F.col("ts").alias("operation_ts"))
-
-    first = message(of_type(t, "signup"), "FullLoad", F.col("event_id"), F.lit('{"k": -1}'), "Versions", [F.lit("1"), F.lit("0"), F.lit("0")])
-    later = message(
-        of_type(t, "view").where("value > 150"), "updateTwin", F.col("event_id"), F.when(F.col("value") > 200, F.col("props")),
-        "softwareVersions", [F.lit("2"), F.lpad(F.col("event_id").cast("string"), 9, "0"), F.lit("1")],
-    )
-    messages = settle(first.unionByName(later))
+    first = twin_message(of_type(t, "signup"), "FullLoad", F.col("event_id"), F.lit('{"k": -1}'), "Versions", [F.lit("1"), F.lit("0"), F.lit("0")])
+    messages = settle(first.unionByName(twin_views(t)))
     empty = masters.parse_twin(messages.limit(0)).drop("twin_json", "operation_type", "operation_ts", "has_versions")
     return masters.merge_twins(empty, messages).select("device_id", "version_nbr", "fluid_filter", "app1_version")
 
 
+@query("twin_epochs", """
+    WITH signup AS (SELECT user_id, event_id, date_trunc('month', ts) + INTERVAL 10 DAY AS run FROM events WHERE event_type = 'signup'),
+    runs AS (SELECT DISTINCT run FROM signup),
+    held AS (SELECT user_id, max(event_id) AS version FROM events WHERE event_type = 'purchase' AND value > 300 GROUP BY user_id),
+    born AS (SELECT user_id, run, event_id FROM signup WHERE user_id NOT IN (SELECT user_id FROM held)
+             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY run, event_id DESC) = 1),
+    base AS (SELECT user_id, TIMESTAMP '0001-01-01' AS since, version, '{"k": -2}' AS filter FROM held
+             UNION ALL SELECT user_id, run, event_id, '{"k": -1}' FROM born),
+    chg AS (SELECT e.user_id, coalesce(r.run, TIMESTAMP '0001-01-01') AS epoch, max(e.event_id) AS version, max(CASE WHEN e.value > 200 THEN e.props END) AS filter
+            FROM (SELECT * FROM events WHERE event_type = 'view' AND value > 150) e ASOF LEFT JOIN runs r ON e.ts >= r.run GROUP BY ALL)
+    SELECT 'D' || b.user_id AS device_id, coalesce(arg_max(c.version, c.epoch), b.version) AS version_nbr,
+           coalesce(arg_max(c.filter, c.epoch) FILTER (c.filter IS NOT NULL), b.filter) AS fluid_filter,
+           CASE WHEN count(c.version) = 0 THEN '1.0.0' ELSE '2.' || lpad(CAST(arg_max(c.version, c.epoch) AS VARCHAR), 9, '0') || '.1' END AS app1_version
+    FROM base b LEFT JOIN chg c ON c.user_id = b.user_id AND c.epoch >= b.since GROUP BY b.user_id, b.version, b.filter
+""")
+def twin_epochs(t: Tables) -> DataFrame:
+    """A full load each month loads who signed up in it, changes come in between; dear purchases were in the target before."""
+    run = F.date_trunc("month", "ts") + F.expr("INTERVAL 10 DAYS")
+    first = [F.lit("1"), F.lit("0"), F.lit("0")]
+    held = of_type(t, "purchase").where("value > 300").groupBy("user_id").agg(F.max("event_id").alias("event_id"), F.max("ts").alias("ts"))
+    known = masters.parse_twin(twin_message(held, "FullLoad", F.col("event_id"), F.lit('{"k": -2}'), "Versions", first))
+    target = settle(known.drop("twin_json", "operation_type", "operation_ts", "has_versions"))
+    loads = twin_message(of_type(t, "signup").withColumn("run", run), "FullLoad", F.col("event_id"), F.lit('{"k": -1}'), "Versions", first, at="run")
+    messages = settle(loads.unionByName(twin_views(t)))
+    return masters.merge_twin_epochs(target, messages).select("device_id", "version_nbr", "fluid_filter", "app1_version")
+
+
 @query("consumer_numbers", """
     SELECT count(*) AS n, min(CAST(o_custkey AS VARCHAR)) AS lowest, count(*) AS top FROM (SELECT DISTINCT o_custkey FROM orders)
 """)

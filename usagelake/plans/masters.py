@@ -12,7 +12,9 @@ from usagelake.constants import OPEN_END
 from usagelake.functions.columns import norm_key, path_part
 from usagelake.operators.dedup import arg_min, latest_by, row_key
 from usagelake.operators.groups import with_neighbours
+from usagelake.operators.temporal import asof_join
 from usagelake.operators.upsert import keep_nulls_out, match_all, insert_only, scd1, update_if_changed, upsert
+from usagelake.session import settle
 
 # ---- SCD1 masters ----------------------------------------------------------
 
@@ -101,29 +103,61 @@ def clean_equipment(changes: DataFrame, refurbished: Sequence[str] = (), scrappe
 EQUIPMENT_KEY = ("equipment_key", "serial", "changed_on")
 
 
-def equipment_history(history: DataFrame, changes: DataFrame, bucket: str = "365 days") -> DataFrame:
-    """Recompute validity, returns and load order of the touched serials; others stay as they are."""
-    touched = changes.select("serial").distinct()
-    old = history.join(touched, "serial", "left_semi")
-    both = old.unionByName(changes, allowMissingColumns=True)
-    unique = latest_by(both, EQUIPMENT_KEY, [F.col("created_at").desc(), F.col("file_priority").desc(), F.col("is_refurbished").desc()])
+#: Sorts before every shipment; a row without a date is the oldest of its serial.
+NO_SHIPMENT = "0001-01-01"
+
+
+def _shipped(name: str = "ship_start") -> Column:
+    return F.coalesce(F.col(name), F.lit(NO_SHIPMENT).cast("date"))
+
+
+def equipment_history(history: DataFrame, changes: DataFrame, bucket: str = "7 days") -> DataFrame:
+    """Splice changes into the history: from each touched serial's earliest changed date on, rows are ordered anew.
+
+    `history` is as this function left it (or empty). Of a touched serial, rows before that date keep their content: the
+    last of them is closed at that date and is the prior row of what follows, and load orders move by the number of rows
+    that came in. Other serials stay as they are. So a serial that many rows share (`UNKNOWN`) is ordered from its first
+    changed date on, in buckets, and not as a whole.
+    """
+    since = changes.groupBy("serial").agg(F.min(_shipped()).alias("_since"))
+    known = history.unionByName(changes.limit(0), allowMissingColumns=True).join(since, "serial", "left")
+    early = F.col("_since").isNotNull() & (_shipped() < F.col("_since"))
     # Oldest to newest; the earlier load order of a known row ranks it (1 = newest).
     order: list[str | Column] = [
         "ship_start", "file_priority", (-F.coalesce(F.col("load_order"), F.lit(0))), "created_at", "is_refurbished", "equipment_key",
     ]
+    later = known.where(_shipped() >= F.col("_since")).drop("_since")
+    unique = settle(latest_by(
+        later.unionByName(changes, allowMissingColumns=True), EQUIPMENT_KEY,
+        [F.col("created_at").desc(), F.col("file_priority").desc(), F.col("is_refurbished").desc(), F.col("load_order").asc_nulls_last()],
+    ))
+    # One row per touched serial: the last early row and the number of rows that follow it.
+    carried = known.where(early).groupBy("serial").agg(
+        F.min("load_order").alias("_carried"), F.min_by("transit_status", "load_order").alias("_carried_status")
+    )
+    edges = settle(
+        unique.groupBy("serial").agg(F.count(F.lit(1)).alias("_later"), F.min(_shipped()).alias("_first")).join(carried, "serial", "left")
+    )
     near = with_neighbours(
         unique.drop("ship_end", "movement_status", "return_date"), ["serial"], order,
         previous={"_prior_status": "transit_status"}, following={"_next_start": "ship_start"},
         number_from_end="load_order", bucket=bucket,
-    )
-    dated = near.withColumn("ship_end", F.coalesce("_next_start", F.lit(OPEN_END).cast("date"))).drop("_next_start")
-    returned = (F.col("_prior_status") == "SHIPPED") & (F.col("transit_status") == "IN WAREHOUSE")
-    status = F.when(F.coalesce(returned, F.lit(False)), "RETURNED").otherwise(F.col("transit_status"))
-    fresh = dated.withColumns(
-        {"movement_status": status, "return_date": F.when(status == "RETURNED", F.col("ship_start"))}
-    ).drop("_prior_status")
-    kept = history.join(touched, "serial", "left_anti")
-    return kept.unionByName(fresh.select(*history.columns))
+    ).join(edges.select("serial", "_later", "_carried_status"), "serial")
+    prior = F.when(F.col("load_order") == F.col("_later"), F.col("_carried_status")).otherwise(F.col("_prior_status"))
+    returned = F.coalesce((prior == "SHIPPED") & (F.col("transit_status") == "IN WAREHOUSE"), F.lit(False))
+    status = F.when(returned, "RETURNED").otherwise(F.col("transit_status"))
+    fresh = near.withColumns({
+        "ship_end": F.coalesce("_next_start", F.lit(OPEN_END).cast("date")),
+        "movement_status": status,
+        "return_date": F.when(status == "RETURNED", F.col("ship_start")),
+    })
+    before = known.where(early).join(edges, "serial").withColumns({
+        "ship_end": F.when(F.col("load_order") == F.col("_carried"), F.col("_first")).otherwise(F.col("ship_end")),
+        "load_order": F.col("load_order") - F.col("_carried") + F.col("_later") + 1,
+    })
+    untouched = known.where("_since IS NULL")
+    parts = [part.select(*history.columns) for part in (untouched, before, fresh)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def ownership(equipment: DataFrame, products_: DataFrame, accounts: DataFrame, territory: DataFrame) -> DataFrame:
@@ -205,12 +239,16 @@ def twin_full_load(target: DataFrame, twins: DataFrame) -> DataFrame:
     return insert_only(target, last.select(*[c for c in target.columns if c in last.columns]), ["device_id"])
 
 
+def _informative() -> str:
+    """A change message that carries state; a version number alone does not count."""
+    return " OR ".join([*(f"{c} IS NOT NULL" for c in TWIN_STATE if c != "version_nbr"), "has_versions"])
+
+
 def twin_changes(target: DataFrame, twins: DataFrame) -> DataFrame:
     """Collapse change messages by column maximum, then update without overwriting by nulls."""
     columns = [*TWIN_STATE, *TWIN_VERSIONS]
-    informative = " OR ".join([*(f"{c} IS NOT NULL" for c in TWIN_STATE if c != "version_nbr"), "has_versions"])
     changes = (
-        twins.where("operation_type = 'updateTwin'").where(informative)
+        twins.where("operation_type = 'updateTwin'").where(_informative())
         .groupBy("device_id").agg(*[F.max(c).alias(c) for c in columns], F.max("has_versions").alias("has_versions"))
     )
     versioned = keep_nulls_out(target, changes, ["device_id"], TWIN_VERSIONS, condition="s.has_versions")
@@ -222,6 +260,40 @@ def merge_twins(target: DataFrame, messages: DataFrame) -> DataFrame:
     return twin_changes(twin_full_load(target, twins), twins)
 
 
+def merge_twin_epochs(target: DataFrame, messages: DataFrame, bucket: str = "1 day", lanes: int = 256) -> DataFrame:
+    """Full loads and the changes between them, folded epoch by epoch in one plan.
+
+    An epoch begins with each full-load run (an `operation_ts` of FullLoad messages) and ends before the next one;
+    messages before the first run, or without a time, are epoch 0. The result is that of `merge_twins` called with one
+    epoch after the other: a device enters the target with the latest message of its first run, changes of earlier
+    epochs miss it, and each later epoch, collapsed by column maximum, overwrites what it has a value for.
+    """
+    twins = parse_twin(messages).withColumn("_lane", F.pmod(F.xxhash64("device_id"), F.lit(lanes)))
+    # One row per run; every lane of devices gets its own copies, so that no lane's time line holds all messages.
+    runs = messages.where("operation_type = 'FullLoad'").select(F.col("operation_ts").alias("_run")).dropna().distinct()
+    runs = runs.select("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("_lane"))
+    dated = settle(asof_join(twins, runs, ["_lane"], at="operation_ts", time="_run", take={"epoch": "_run"}, bucket=bucket).drop("_lane"))
+    epoch = F.coalesce("epoch", F.lit("0001-01-01").cast(dated.schema["epoch"].dataType))
+    dated = dated.withColumn("epoch", epoch)
+
+    entered = dated.where("operation_type = 'FullLoad'").join(target.select("device_id"), "device_id", "left_anti")
+    born = entered.groupBy("device_id").agg(F.min("epoch").alias("born"))
+    first = entered.join(born, "device_id").where(F.col("epoch") == F.col("born"))
+    first = latest_by(first, ["device_id"], [F.col("operation_ts").desc(), F.col("version_nbr").desc(), F.col("etag").asc()])
+    columns = [*TWIN_STATE, *TWIN_VERSIONS]
+    per_epoch = (
+        dated.where("operation_type = 'updateTwin'").where(_informative())
+        .groupBy("device_id", "epoch").agg(*[F.max(c).alias(c) for c in columns])
+        .join(born, "device_id", "left").where("born IS NULL OR epoch >= born")
+    )
+    # The last epoch with a value decides; a column without one in any epoch is null and changes nothing.
+    folded = per_epoch.groupBy("device_id").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("epoch"))).alias(c) for c in columns]
+    )
+    loaded = insert_only(target, first.select(*[c for c in target.columns if c in first.columns]), ["device_id"])
+    return keep_nulls_out(loaded, folded, ["device_id"], columns)
+
+
 def number_consumers(target: DataFrame, ids: DataFrame, column: str = "consumer_id", number: str = "scanned_id", seed: int = 0) -> DataFrame:
     """Give new valid consumer ids the next numbers."""
     from usagelake.functions.columns import valid_consumer

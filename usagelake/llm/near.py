@@ -3,17 +3,18 @@
 The similarity is the probability Jaccard of weighted word shingles (weight: how often a shingle stands in the text):
 the chance that two exponential races over the shingles have one winner. With weights of 1 it is the plain Jaccard.
 
-No bucket is expanded into pairs. Each member of a bucket is compared with the bucket's few most connected members,
-so the work is linear in its rows; a bucket of more members than that is also cut finer by further bands, each part
-with centres of its own. Signatures are compared first, then texts are verified in full. Buckets of up to
-`CENTRES + 1` texts have all their pairs compared.
+Buckets of up to `SMALL` texts have all their pairs compared. Members of a larger bucket are compared with one centre,
+the member of most company in all its buckets; after the components of what that joins, with the next centre, taken from
+the classes that have none yet, and so on while a round joins anything. So the work is linear in the rows of buckets.
+Signatures are compared first, then texts are verified in full.
 
-What larger buckets leave open is found by an exact join. Open texts are members of such a bucket that are none of its
-centres and, after the components of the links so far, not all of one class. Let u and v be the odds of what two texts
+What larger buckets leave open is found by a join on shingles. Open texts are members of such a bucket that are none of
+its centres and, after the components of the links so far, not all of one class. Let u and v be the odds of what two texts
 don't share (its weight : the weight of the rest). Their probability Jaccard is at most 1 / (1 + u + v), so at a
-similarity s u + v is at most 1/s - 1: one text has at most half of that. With shingles in one order (those of fewest
-open texts first), the first shingles of the one (1/9 of its weight at 0.8) and of the other (1/5) then share one. Only
-texts of different classes meet there, and what most texts of a shingle's largest class have in common is not paired.
+similarity s u + v is at most 1/s - 1. With shingles in one order (those of fewest open texts first), what comes before the
+first shared one is not shared, so the odds of what comes before it in the one and in the other add up to no more than
+that. Only texts of different classes meet there, if this bound holds and if sketches of 2048 bits differ in no more bits
+than those of a pair at the threshold do in all but one of three million cases; that chance is all that the join leaves.
 
 Defined results: null and wordless texts have no shingles and are joined to nothing but their exact copies; a text of
 fewer words than a shingle is one shingle. Rows that share a doc_id are one member, linked by any of their texts. Rows
@@ -36,10 +37,14 @@ from usagelake.llm.words import ASCII_SPACE, U64, Hasher, flat, lists, mix, slic
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-#: Members of a bucket that all others are compared with.
-CENTRES = 8
+#: Buckets of so many members have all their pairs compared; of a larger one, members are compared with at most so many
+#: centres, one after the other.
+SMALL, CENTRES = 9, 3
 #: Texts of one shingle that meet in one task in the exact join are about so many; a shingle is spread over at most SALTS.
 SALT_TEXTS, SALTS = 1000, 256
+#: One-bit registers of an open text, in longs; a pair at the threshold differs in more of them than its mean and so many
+#: deviations once in three million cases.
+SKETCH, DEVIATIONS = 32, 5
 #: Signatures of a pair at the threshold agree less often than this only once in some million cases.
 SLACK = 0.17
 
@@ -155,36 +160,51 @@ def _verifier(words: int, least: float):
     return verify
 
 
-def _candidates(signed: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of bucket members and centres, and members (id, key) of large buckets that are no centres there."""
-    def deeper(deep: int) -> Column:
-        """Keys of finer parts of the buckets, in which the next one or two bands agree too."""
-        return F.transform("bands", lambda key, i: F.xxhash64(key, *[F.get("bands", (i + j) % bands) for j in range(1, deep + 1)]))
-
-    buckets = signed.select("id", F.inline(F.arrays_zip(F.col("bands").alias("key"), deeper(1).alias("fine"), deeper(2).alias("finest"))))
-    sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = buckets.join(sized, "key")
+def _buckets(signed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """All pairs (a < b) of small buckets, and rows (id, key, reach) of large ones; reach: members of all buckets of the id."""
+    rows = signed.select("id", F.explode("bands").alias("key"))
+    sized = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = scratch.store(rows.join(sized, "key"), "shared")
+    small = shared.where(F.col("n") <= SMALL).select("id", "key")
+    pairs = small.join(small.select(F.col("id").alias("b"), F.col("key").alias("b_key")), (F.col("key") == F.col("b_key")) & (F.col("id") < F.col("b")))
     reach = shared.groupBy("id").agg(F.sum("n").alias("reach"))
-    shared = shared.join(reach, "id")
-    large = shared.where(F.col("n") > CENTRES + 1)
-    rows = shared.select("id", "reach", "key").union(large.select("id", "reach", "fine")).union(large.select("id", "reach", "finest"))
-    order = Window.partitionBy("key").orderBy(F.desc("reach"), "id")
-    centres = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES).select(
-        F.col("key").alias("c_key"), F.col("id").alias("centre"))
-    met = rows.join(centres, (F.col("key") == F.col("c_key")) & (F.col("id") != F.col("centre")))
-    rest = large.select("id", "key").join(centres, (F.col("key") == F.col("c_key")) & (F.col("id") == F.col("centre")), "left_anti")
-    return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), rest
-
-
-def _verified(pairs: DataFrame, single: DataFrame, texts: DataFrame, scratch: Scratch, name: str, words: int, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose similarity is `similarity` at least: a, b, similarity."""
-    registers = single.select(F.col("id").alias("x_id"), "registers")
-    near = (
-        pairs.join(registers, F.col("a") == F.col("x_id")).select("a", "b", F.col("registers").alias("r_a"))
-        .join(registers, F.col("b") == F.col("x_id")).select("a", "b", "r_a", F.col("registers").alias("r_b"))
-        .mapInArrow(_alike(similarity - SLACK), "a long, b long")
-    )
-    near = scratch.store(near, f"{name}-near")
+    return pairs.select(F.col("id").alias("a"), "b").distinct(), shared.where(F.col("n") > SMALL).join(reach, "id").select("id", "key", "reach")
+
+
+def _classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return rows.withColumn("class", F.col("id"))
+    return rows.join(found, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
+
+
+def _stars(large: DataFrame, used: DataFrame | None, found: DataFrame | None, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Next centre (key, id) of each bucket that holds a class without one, and its pairs with members of other classes."""
+    classed = scratch.store(_classed(large, found), f"classed-{turn}")
+    free = classed
+    if used is not None:
+        centred = _classed(used, found).select(F.col("key").alias("u_key"), F.col("class").alias("u_class")).distinct()
+        free = classed.join(centred.hint("merge"), (F.col("key") == F.col("u_key")) & (F.col("class") == F.col("u_class")), "left_anti")
+    best = free.groupBy("key").agg(F.max(F.struct("reach", (-F.col("id")).alias("least"), "class")).alias("c")).select(
+        F.col("key").alias("c_key"), (-F.col("c.least")).alias("centre"), F.col("c.class").alias("c_class"))
+    best = scratch.store(best, f"centres-{turn}")
+    met = classed.join(best.hint("merge"), (F.col("key") == F.col("c_key")) & (F.col("class") != F.col("c_class"))).select(
+        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    return best.select(F.col("c_key").alias("key"), F.col("centre").alias("id")), met
+
+
+def _verified(pairs: DataFrame, single: DataFrame, texts: DataFrame, scratch: Scratch, name: str, words: int, similarity: float,
+              compared: bool = False) -> DataFrame:
+    """Those of the pairs (a, b) whose similarity is `similarity` at least: a, b, similarity.
+
+    Registers are held against each other before texts, unless sketches of the pairs have been `compared`.
+    """
+    near = pairs
+    if not compared:
+        registers = single.select(F.col("id").alias("x_id"), "registers")
+        near = scratch.store(
+            pairs.join(registers, F.col("a") == F.col("x_id")).select("a", "b", F.col("registers").alias("r_a"))
+            .join(registers, F.col("b") == F.col("x_id")).select("a", "b", "r_a", F.col("registers").alias("r_b"))
+            .mapInArrow(_alike(similarity - SLACK), "a long, b long"), f"{name}-near")
     bodies = scratch.store(_bodies(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), single, texts), f"{name}-bodies")
     links = (
         near.join(bodies, F.col("a") == F.col("doc_id")).select("a", "b", "text")
@@ -220,11 +240,25 @@ def _exploder(words: int):
     return explode
 
 
+def _sketcher(words: int):
+    """One bit of each of many registers per text: of two texts a share of (1 + similarity) / 2 agrees."""
+
+    def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                winner = signatures(*_shingles(part.column("text"), words), SKETCH * 64)
+                bits = np.packbits((mix(winner ^ _STEP) & U64(1)).astype(bool), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("tag"), *[pa.array(bits[:, i]) for i in range(SKETCH)]],
+                    ["s_id", "s_tag", *[f"b{i}" for i in range(SKETCH)]])
+
+    return sketch
+
+
 def _left_open(rest: DataFrame, found: DataFrame, single: DataFrame, texts: DataFrame, scratch: Scratch, words: int,
                similarity: float) -> DataFrame | None:
     """Pairs (a < b) of open texts of different classes, among them all that are similar; None if no text is open."""
-    classed = rest.join(found, "id", "left").select("id", "key", F.coalesce("component", "id").alias("class"))
-    classed = scratch.store(classed, "rest-classed")
+    classed = scratch.store(_classed(rest, found), "rest-classed")
     mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
     mixed = scratch.store(mixed, "rest-mixed")
     members = scratch.store(classed.join(mixed.hint("merge"), "key").select("id", "class").distinct(), "open")
@@ -232,8 +266,10 @@ def _left_open(rest: DataFrame, found: DataFrame, single: DataFrame, texts: Data
     if members.isEmpty():
         return None
     bodies = _bodies(members.select("id"), single, texts).join(members, F.col("doc_id") == F.col("id"))
-    shingles = scratch.store(bodies.select("id", F.xxhash64("t_sha").alias("tag"), "class", "text").mapInArrow(
-        _exploder(words), "id long, tag long, class long, total long, shingle long, n long"), "shingles")
+    tagged = scratch.store(bodies.select("id", F.xxhash64("t_sha").alias("tag"), "class", "text"), "open-texts")
+    shingles = scratch.store(tagged.mapInArrow(_exploder(words), "id long, tag long, class long, total long, shingle long, n long"), "shingles")
+    bits = [f"b{i}" for i in range(SKETCH)]
+    sketches = scratch.store(tagged.mapInArrow(_sketcher(words), "s_id long, s_tag long, " + ", ".join(f"{b} long" for b in bits)), "sketches")
     groups = shingles.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(
         F.sum("m").alias("texts"), F.max_by("class", F.struct("m", "class")).alias("most"), F.count(F.lit(1)).alias("classes")).where("texts > 1")
     groups = scratch.store(groups, "groups")
@@ -242,20 +278,25 @@ def _left_open(rest: DataFrame, found: DataFrame, single: DataFrame, texts: Data
     before = F.sum("n").over(inside.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1))
     alone = F.col("total") - F.sum("n").over(inside)
     share = (alone + F.coalesce(before, F.lit(0))) / F.col("total")
-    odds = (1 / similarity - 1) / 2
+    odds = 1 / similarity - 1
     rows = shingles.join(groups.hint("merge"), "shingle").withColumn("share", share).where("classes > 1").where(
         F.col("share") <= 1 - similarity + 1e-9).select(
-        "id", "class", "shingle", (F.col("share") <= odds / (1 + odds) + 1e-9).alias("short"), (F.col("class") != F.col("most")).alias("minor"),
-        F.least(F.ceil(F.col("texts") / SALT_TEXTS), F.lit(SALTS)).alias("salts")).distinct()
+        "id", "tag", "class", "shingle", (F.col("share") / (1 - F.col("share"))).alias("odds"), (F.col("class") != F.col("most")).alias("minor"),
+        F.least(F.ceil(F.col("texts") / SALT_TEXTS), F.lit(SALTS)).alias("salts"))
+    rows = rows.join(sketches.hint("merge"), (F.col("id") == F.col("s_id")) & (F.col("tag") == F.col("s_tag"))).drop("tag", "s_id", "s_tag")
     rows = scratch.store(rows, "firsts")
-    scratch.drop("shingles", "groups")
+    scratch.drop("shingles", "groups", "sketches", "open-texts")
+    apart = (1 - similarity) / 2
+    most = SKETCH * 64 * apart + DEVIATIONS * (SKETCH * 64 * apart * (1 - apart)) ** 0.5
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"o_{b}"))) for b in bits), F.lit(0))
 
     def met(one: DataFrame, two: DataFrame) -> DataFrame:
-        one = one.where("short").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
-        two = two.select(F.col("id").alias("o_id"), F.col("class").alias("o_class"), F.col("shingle").alias("o_shingle"),
+        one = one.where(F.col("odds") <= odds / 2 + 1e-9).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+        two = two.select(F.col("id").alias("o_id"), F.col("class").alias("o_class"), F.col("shingle").alias("o_shingle"), F.col("odds").alias("o_odds"),
+                         *[F.col(b).alias(f"o_{b}") for b in bits],
                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("o_salt"))
         return one.join(two.hint("merge"), (F.col("shingle") == F.col("o_shingle")) & (F.col("salt") == F.col("o_salt")) & (
-            F.col("class") != F.col("o_class"))).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
+            F.col("class") != F.col("o_class")) & (F.col("odds") + F.col("o_odds") <= odds + 1e-9) & (differ <= most)).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
 
     pairs = met(rows.where("minor"), rows).union(met(rows.where("NOT minor"), rows.where("minor"))).distinct()
     pairs = scratch.store(pairs, "open-pairs")
@@ -276,20 +317,31 @@ def _linked(docs: DataFrame, scratch: Scratch, words: int, similarity: float, ba
     single = signed.join(first.select(F.col("id").alias("doc_id"), "sha"), ["doc_id", "sha"]).groupBy("doc_id", "sha").agg(
         F.first("bands").alias("bands"), F.first("registers").alias("registers"))
     single = scratch.store(single.select(F.col("doc_id").alias("id"), "sha", "bands", "registers"), "single")
-    pairs, rest = _candidates(single.where("size(bands) > 0"), bands)
-    pairs, rest = scratch.store(pairs, "pairs"), scratch.store(rest, "rest")
-    scratch.drop("signed", "first")
+    pairs, large = _buckets(single.where("size(bands) > 0"), scratch)
+    pairs, large = scratch.store(pairs, "pairs"), scratch.store(large, "large")
     links = _verified(pairs, single, texts, scratch, "links", words, similarity)
-    scratch.drop("pairs")
-    found = components(links.select("a", "b"), scratch)
+    scratch.drop("pairs", "shared")
+    found, used = components(links.select("a", "b"), Scratch(docs.sparkSession, "near")), None
+    for turn in range(CENTRES):
+        centres, met = _stars(large, used, found, scratch, turn)
+        met = scratch.store(met, f"met-{turn}")
+        used = centres if used is None else used.union(centres)
+        more = _verified(met, single, texts, scratch, f"links-{turn}", words, similarity)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more.select("a", "b")),
+                           Scratch(docs.sparkSession, f"near-{turn}"))
+    rest = large.select("id", "key").join(
+        used.select(F.col("id").alias("u_id"), F.col("key").alias("u_key")).hint("merge"), (F.col("id") == F.col("u_id")) & (F.col("key") == F.col("u_key")), "left_anti")
     more = _left_open(rest, found, single, texts, scratch, words, similarity)
     if more is not None:
-        late = _verified(more, single, texts, scratch, "late-links", words, similarity)
+        late = _verified(more, single, texts, scratch, "late-links", words, similarity, compared=True)
         links = links.union(late)
         found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(late.select("a", "b")),
                            Scratch(docs.sparkSession, "near-late"))
         scratch.drop("open-pairs")
-    scratch.drop("rest", "single")
+    scratch.drop("large", "single", *[f"{name}-{turn}" for turn in range(CENTRES) for name in ("classed", "centres", "met")])
     return links, members, found
 
 

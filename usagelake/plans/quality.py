@@ -187,7 +187,8 @@ def _billed(details: DataFrame) -> DataFrame:
     )
 
 
-def _period_cases(start: datetime, end: datetime) -> Cases:
+def line_period_cases(start: datetime, end: datetime) -> Cases:
+    """What explains a difference between usage (l_) and lines (r_)."""
     return [
         (F.col("r_invoiced"), "Already invoiced"),
         (near_edge(F.col("l_created_at"), F.lit(end)), "Received at the period end"),
@@ -201,25 +202,25 @@ def _period_cases(start: datetime, end: datetime) -> Cases:
 def check_cycle_counts(visits: DataFrame, details: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Cycle counts of usage and invoice lines agree."""
     same = F.col("l_cycle_count") == F.col("r_cycle_count")
-    return reconcile(expected_lines(visits), _billed(details), BILL_KEYS, [(same, "Matched"), *_period_cases(start, end)])
+    return reconcile(expected_lines(visits), _billed(details), BILL_KEYS, [(same, "Matched"), *line_period_cases(start, end)])
 
 
 def check_visit_dates(visits: DataFrame, details: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Every treated day is on an invoice line and the other way round."""
     both = F.col("l_cycle_count").isNotNull() & F.col("r_cycle_count").isNotNull()
-    return reconcile(expected_lines(visits), _billed(details), BILL_KEYS, [(both, "Matched"), *_period_cases(start, end)])
+    return reconcile(expected_lines(visits), _billed(details), BILL_KEYS, [(both, "Matched"), *line_period_cases(start, end)])
 
 
 def check_charges(expected: DataFrame, details: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Amounts recomputed per line agree. `expected` adds `charge` to the line keys and `created_at`."""
     same = F.col("l_charge") == F.col("r_charge")
-    return reconcile(expected, _billed(details), BILL_KEYS, [(same, "Matched"), *_period_cases(start, end)])
+    return reconcile(expected, _billed(details), BILL_KEYS, [(same, "Matched"), *line_period_cases(start, end)])
 
 
 def check_class(expected: DataFrame, details: DataFrame, start: datetime, end: datetime, column: str = "class_name") -> DataFrame:
     """Class (or comment) recomputed per line agrees."""
     same = F.col(f"l_{column}") == F.col(f"r_{column}")
-    return reconcile(expected, _billed(details), BILL_KEYS, [(same, "Matched"), *_period_cases(start, end)])
+    return reconcile(expected, _billed(details), BILL_KEYS, [(same, "Matched"), *line_period_cases(start, end)])
 
 
 def check_exceptions(exceptions: DataFrame, details: DataFrame, subscriptions: DataFrame, end: datetime) -> DataFrame:

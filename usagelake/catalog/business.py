@@ -286,8 +286,7 @@ def subscriptions_live(t: Tables) -> DataFrame:
     return opened.select("consumer_id", "account_uuid", "sold_to", "promotion_uuid", "sub_start", "sub_end")
 
 
-@query("detail_lines", f"""
-    WITH {CYCLES_SQL}, {LIVE_SQL},
+DETAIL_SQL = """
     m AS (
         SELECT p.*, l.sub_start, row_number() OVER (PARTITION BY CASE WHEN l.sub_start IS NOT NULL THEN p.cid END ORDER BY p.cycle_date, p.first_ts, p.account_uuid, p.visit_id) AS visit_no
         FROM pc p LEFT JOIN live l ON p.cid = l.consumer_id AND p.cycle_date BETWEEN l.sub_start AND l.sub_end AND (p.per_cycle = 0 OR p.small = 1)),
@@ -310,7 +309,11 @@ def subscriptions_live(t: Tables) -> DataFrame:
                        WHEN fraud = 1 AND anon = 0 AND small = 0 THEN 'Flag_FraudViolation'
                        WHEN late = 0 THEN '' WHEN anon = 1 THEN 'LateCycle_NoPatientAssociation'
                        WHEN pp = 1 THEN 'LateCycle_NewSubscription' ELSE 'LateCycle_FollowUp' END AS comments
-        FROM c)
+        FROM c)"""
+
+
+@query("detail_lines", f"""
+    WITH {CYCLES_SQL}, {LIVE_SQL}, {DETAIL_SQL}
     SELECT cid AS consumer_id, account_uuid, cycle_date, class, comments, CAST(sum(cycle_count) AS BIGINT) AS cycle_count,
            CAST(CASE WHEN class IN ('PerPatientFee') THEN 950 WHEN class IN ('FollowUpVisit', 'PerCycleEfficacyFail') THEN 0 ELSE 200 * sum(cycle_count) END AS DOUBLE) AS charge
     FROM n GROUP BY cid, account_uuid, sold_to, cycle_date, class, comments, sub_start
@@ -355,7 +358,42 @@ def late_adjust(t: Tables) -> DataFrame:
     )
 
 
-@query("billing_batch")
+@query("billing_batch", f"""
+    WITH {CYCLES_SQL}, {LIVE_SQL}, {DETAIL_SQL},
+    fo AS (
+        SELECT *, CASE WHEN coalesce(TRY_CAST(consumer_id AS BIGINT), 0) = 0 THEN 'MISSING' ELSE consumer_id END AS cid,
+               CASE WHEN plan_type = 'SmallTreatmentPlan' THEN 1 ELSE 0 END AS small,
+               sha256(concat_ws(chr(31), consumer_id, sold_to, ship_to, account_uuid, promotion_uuid, CAST(cycle_date AS VARCHAR), rule_type, plan_type, efficacy)) AS visit_id
+        FROM flg WHERE promotion_uuid = 'P-O'),
+    po AS (SELECT *, CASE WHEN cid = 'MISSING' OR small = 1 OR coalesce(flag_sub_type, '') = 'PerCycle' THEN 1 ELSE 0 END AS per_cycle FROM fo),
+    live_o AS (
+        SELECT cid, sold_to, account_uuid, cycle_date AS sub_start, cycle_date + 150 AS sub_end FROM po WHERE per_cycle = 0
+        QUALIFY row_number() OVER (PARTITION BY cid, sold_to ORDER BY cycle_date, first_ts, account_uuid, visit_id) = 1),
+    mo AS (
+        SELECT p.*, l.sub_start, p.account_uuid <> l.account_uuid AS elsewhere,
+               row_number() OVER (PARTITION BY l.sub_start IS NULL, CASE WHEN l.sub_start IS NOT NULL THEN p.cid END, CASE WHEN l.sub_start IS NOT NULL THEN p.sold_to END
+                                  ORDER BY p.cycle_date, p.first_ts, p.account_uuid, p.visit_id) AS visit_no,
+               p.cycle_date <= (SELECT CAST(max(o_orderdate) AS DATE) FROM orders WHERE o_orderdate < '2000-01-01' AND o_orderstatus = 'O') AS late
+        FROM po p LEFT JOIN live_o l ON p.cid = l.cid AND p.sold_to = l.sold_to AND p.cycle_date BETWEEN l.sub_start AND l.sub_end
+          AND (p.account_uuid <> l.account_uuid OR p.per_cycle = 0 OR p.small = 1)),
+    no AS (
+        SELECT *, CASE WHEN cid = 'MISSING' THEN 'NoPatientAssociationFee' WHEN visit_no > 1 THEN 'FollowUpVisit'
+                       WHEN small = 1 THEN 'PerCycleFee' ELSE 'PerPatientFee' END AS class,
+               CASE WHEN elsewhere AND visit_no > 1 THEN CASE WHEN late THEN 'DifferentShipToID_LateCycle_FollowUp' ELSE 'DifferentShipToID_FollowUp' END
+                    WHEN NOT late THEN '' WHEN cid = 'MISSING' THEN 'LateCycle_NoPatientAssociation' WHEN visit_no > 1 THEN 'LateCycle_FollowUp'
+                    WHEN small = 1 THEN 'LateCycle_PerCycleFee' ELSE 'LateCycle_NewSubscription' END AS comments
+        FROM mo),
+    lines AS (
+        SELECT 'P-F' AS promo, cid, class, comments, sum(cycle_count) AS cycles FROM n GROUP BY cid, account_uuid, sold_to, cycle_date, class, comments, sub_start
+        UNION ALL
+        SELECT 'P-O', cid, class, comments, sum(cycle_count) FROM no GROUP BY cid, account_uuid, sold_to, cycle_date, class, comments, sub_start),
+    again AS (SELECT cid FROM (SELECT consumer_id AS cid FROM live UNION ALL SELECT cid FROM live_o) GROUP BY cid HAVING count(*) > 1)
+    SELECT promo AS promotion_uuid, promo || ':' || class AS class_uuid,
+           CASE WHEN class = 'PerPatientFee' AND comments = '' AND cid IN (SELECT cid FROM again) THEN 'ReturnSubscription' ELSE comments END AS comments,
+           count(*) AS n_lines, CAST(sum(cycles) AS BIGINT) AS cycle_count,
+           CAST(sum(CASE WHEN class = 'PerPatientFee' THEN 950 WHEN class IN ('FollowUpVisit', 'PerCycleEfficacyFail') THEN 0 ELSE 200 * cycles END) AS DOUBLE) AS charge
+    FROM lines GROUP BY ALL
+""")
 def billing_batch(t: Tables) -> DataFrame:
     """A whole batch over all cycles: both programmes, subscriptions, lines and comments."""
     state, _ = B.run_batch(cycles(t), empty_state(t), reference(t), CLOCK)

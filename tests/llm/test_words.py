@@ -96,6 +96,32 @@ def test_differencing_balances():
     assert sharding.difference([], 4) == [] and sharding.difference([5], 4) == [0]
 
 
+def plain_difference(sizes, shards):
+    """Largest differencing with all parts written out."""
+    sets = [[-s, i, [(s, {i})] + [(0, set())] * (shards - 1)] for i, s in enumerate(sizes)]
+    while len(sets) > 1:
+        sets.sort(key=lambda x: x[:2])
+        (_, _, one), (_, tie, two) = sets[:2]
+        parts = sorted(((a + b, x | y) for (a, x), (b, y) in zip(one, two[::-1])), key=lambda p: -p[0])
+        sets = [[parts[-1][0] - parts[0][0], tie, parts], *sets[2:]]
+    return [next(k for k, (_, own) in enumerate(sets[0][2]) if i in own) for i in range(len(sizes))]
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 8, 50])
+def test_differencing_equals_brute_force(shards):
+    rng = random.Random(shards)
+    for n in (1, 2, 7, 40):
+        sizes = [rng.randint(1, 30) for _ in range(n)]
+        assert sharding.difference(sizes, shards) == plain_difference(sizes, shards)
+
+
+def test_more_shards_than_a_block_has_places(frame, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 16)
+    rows = [(i, f"text {i}") for i in range(400)] + [(None, "a"), (None, "a"), (900, "long " * 40_000)]
+    got = sharding.shards_by_bytes(frame(DOCS, *rows), 12).collect()
+    assert len(got) == 403 and {r.shard for r in got} <= set(range(12)) and len({r.shard for r in got if r.doc_id is None}) == 1
+
+
 def test_shards_of_several_levels(frame, monkeypatch):
     monkeypatch.setattr(sharding, "BLOCK", 64)
     monkeypatch.setattr(sharding, "SLOT_ROWS", 100)

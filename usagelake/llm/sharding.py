@@ -39,19 +39,22 @@ def difference(sizes: list[int], shards: int) -> list[int]:
     """The shard of each element."""
     heap = []
     for i, size in enumerate(sizes):
-        parts = [(size, [i])] + [(0, [])] * (shards - 1)
-        heap.append((-size, i, parts))
+        # Parts in order of size; empty ones are left out, so memory grows with the elements and not with the shards.
+        heap.append((-size, i, [(size, [i])]))
     heapify(heap)
     while len(heap) > 1:
         (_, _, one), (_, tie, two) = heappop(heap), heappop(heap)
-        parts = []
-        for (a, own), (b, other) in zip(one, reversed(two)):
+        # The largest part of one meets the smallest place of the other, which is empty unless both together overflow.
+        meet = max(shards - len(two), 0)
+        parts = one[:meet]
+        for (a, own), (b, other) in zip(one[meet:], reversed(two)):
             if len(own) < len(other):
                 own, other = other, own
-            own = own if not other else [*own, *other] if not own else (own.extend(other) or own)
+            own.extend(other)
             parts.append((a + b, own))
+        parts += two[::-1][max(len(one) - meet, 0) :]
         parts.sort(key=lambda part: -part[0])
-        heappush(heap, (parts[-1][0] - parts[0][0], tie, parts))
+        heappush(heap, ((parts[-1][0] if len(parts) == shards else 0) - parts[0][0], tie, parts))
     shard = [0] * len(sizes)
     for _, _, parts in heap:
         for k, (_, own) in enumerate(parts):
@@ -76,9 +79,11 @@ def assign(groups: DataFrame, scratch: Scratch, shards: int = SHARDS) -> DataFra
     now = groups.select("element", "size")
     total = now.agg(F.sum("size")).first()[0] or 0
     limit = max(total // (shards * HEAVY), 1)
-    while (light := now.where(F.col("size") <= limit).count()) > BLOCK:
-        blocks = -(-2 * light // BLOCK)
-        parts_each = max(shards, BLOCK // (2 * blocks))
+    # A block has at least four times as many elements as it leaves parts, so each level has fewer.
+    least = max(BLOCK, 8 * shards)
+    while (light := now.where(F.col("size") <= limit).count()) > least:
+        blocks = -(-2 * light // least)
+        parts_each = max(shards, least // (2 * blocks))
         block = F.pmod(F.xxhash64("element"), F.lit(blocks))
         placed = now.where(F.col("size") <= limit).withColumn("block", block).groupBy("block").applyInArrow(_placed(parts_each), schema)
         placed = scratch.store(placed, f"level-{len(levels)}")

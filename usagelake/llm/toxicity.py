@@ -2,11 +2,12 @@
 
 The lexicon is learned from labelled texts: words and stems that stand in many toxic texts and in almost no other. A
 text is cut into words; each distinct word is run once through the product of the trie and the automaton of one edit,
-whose states are made when first needed. A hit counts as quoted if it stands inside quotation marks, else as open.
+whose states are made when first needed. A word that begins with a stem is a hit, also with one edit before the stem's
+last letter (which must stand, else each word that begins like a shortened stem would be one). A hit counts as quoted if it stands inside quotation marks, else as open.
 Counts of both, their misspelled forms and the densest window of open hits are the inputs of a logistic regression.
 
 Defined results: null and empty texts have no hits and get the score that the fit gives to none. Without a labelled
-text of both kinds every score is 0. Repeated rows are scored alike; a null doc_id is scored and not held out. An
+text of both kinds, or without a term, every score is 0 and nothing is dropped. A very long text is scored whole. Repeated rows are scored alike; a null doc_id is scored and not held out. An
 empty table gives an empty result. doc_id, lang, source and other columns are no inputs of a score.
 """
 
@@ -29,10 +30,10 @@ from usagelake.llm.words import slices
 #: A term follows so many different words in toxic texts (a share of the toxic texts of the sample, and 4 at least;
 #: near copies add none), and makes up 19 of 20 of these and the other texts that it stands in.
 SUPPORT, PRECISION, LEAST = 0.006, 0.95, 4
-#: Terms of a lexicon, those of largest support.
-MAX_TERMS = 2000
+#: A lexicon of more characters is an error. It can't have more terms than the labelled rows give enough support to.
+MAX_LEXICON = 16 << 20
 STEMS = (4, 5, 6, 7, 8)
-#: A word may differ from a term of so many letters by one edit.
+#: A word may differ from a term of so many letters by one edit, and so may its beginning from a stem.
 FUZZY_FROM = 5
 WINDOW = 20
 #: Distinct words whose result a task remembers.
@@ -67,16 +68,19 @@ class Automaton:
         self.moves: list[dict[str, int]] = []
         self.verdict: list[int] = []
         self.sets: list[dict[int, int]] = []
-        self.known: dict[frozenset, int] = {}
-        self.start = self._state({0: 0})
+        self.known: dict[tuple[frozenset, bool], int] = {}
+        self.start = self._state({0: 0}, False)
 
-    def _state(self, nodes: dict[int, int]) -> int:
-        """Number of the state; a letter of a term may be left out at the price of one edit."""
+    def _state(self, nodes: dict[int, int], near_stem: bool) -> int:
+        """Number of the state; a letter of a term may be left out at the price of one edit.
+
+        `near_stem`: the last letter ended a stem that has one edit.
+        """
         for node, edits in list(nodes.items()):
             if edits == 0:
                 for child in self.children[node].values():
                     nodes[child] = min(nodes.get(child, 1), 1)
-        key = frozenset(nodes.items())
+        key = frozenset(nodes.items()), near_stem
         if key not in self.known:
             self.known[key] = len(self.sets)
             self.sets.append(nodes)
@@ -84,34 +88,37 @@ class Automaton:
             exact = any(e == 0 and self.ends[n] & 1 for n, e in nodes.items())
             close = any(e == 1 and self.ends[n] & 1 and self.depth[n] >= FUZZY_FROM for n, e in nodes.items())
             stem = any(e == 0 and self.ends[n] & 2 for n, e in nodes.items())
-            self.verdict.append(2 if stem else 1 if exact else -1 if close else 0)
+            self.verdict.append(2 if stem else 1 if exact else -2 if near_stem else -1 if close else 0)
         return self.known[key]
 
     def _step(self, state: int, c: str) -> int:
         after: dict[int, int] = {}
+        near_stem = False
         for node, edits in self.sets[state].items():
             child = self.children[node].get(c)
             if child is not None:
                 after[child] = min(after.get(child, edits), edits)
+                near_stem = near_stem or edits == 1 and bool(self.ends[child] & 2) and self.depth[child] >= FUZZY_FROM
             if edits == 0:
                 after[node] = min(after.get(node, 1), 1)
                 for other in self.children[node].values():
                     after[other] = min(after.get(other, 1), 1)
-        return self._state(after) if after else -1
+        return self._state(after, near_stem) if after else -1
 
     def match(self, word: str) -> int:
-        """1: a term or begins with a stem, -1: one edit from a term, 0: neither."""
-        state = self.start
+        """1: a term or begins with a stem, -1: one edit from that, 0: neither."""
+        state, near_stem = self.start, False
         for c in word:
             after = self.moves[state].get(c)
             if after is None:
                 after = self.moves[state][c] = self._step(state, c)
             if after < 0:
-                return 0
+                return -1 if near_stem else 0
             state = after
             if self.verdict[state] == 2:
                 return 1
-        return min(self.verdict[state], 1)
+            near_stem = near_stem or self.verdict[state] == -2
+        return -1 if near_stem and self.verdict[state] != 1 else max(self.verdict[state], -1)
 
 
 @dataclass
@@ -254,7 +261,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counted = counted.groupBy("term", "stem", "before").agg(F.sum("n").alias("n")).groupBy("term", "stem").agg(
         F.count("before").alias("toxic"), F.coalesce(F.sum(F.when(F.col("before").isNull(), F.col("n"))), F.lit(0)).alias("other")).where(
         (F.col("toxic") >= max(LEAST, SUPPORT * toxic)) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("other"))))
-    model = Model(*_lexicon(counted.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()), [])
+    counted = scratch.store(counted, "counted")
+    size = counted.agg(F.coalesce(F.sum(F.length("term")), F.lit(0))).first()[0]
+    if size > MAX_LEXICON:
+        raise ValueError(f"a lexicon of {size} characters: raise SUPPORT")
+    words, stems = _lexicon(counted.collect())
+    scratch.drop("counted")
+    if not words and not stems:
+        scratch.drop("sample")
+        return Model([], [], None)
+    model = Model(words, stems, [])
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -115,6 +115,15 @@ def test_pairs_in_a_large_family_below_the_threshold(frame, monkeypatch):
     assert {r.doc_id: r.class_id for r in near.near_classes(frame(DOCS, *rows)).collect()} == want
 
 
+def test_near_classes_of_int_ids(frame):
+    rows = near_rows(18, groups=2, copies=3)
+    docs = frame("doc_id int, text string", *rows)
+    want = plain_classes(rows)
+    assert {r.doc_id: r.class_id for r in near.near_classes(docs).collect()} == want
+    kept = near.drop_near(docs)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == set(want.values())
+
+
 def test_near_of_an_empty_table(frame):
     assert near.near_classes(frame(DOCS)).count() == 0
     assert near.drop_near(frame(DOCS)).count() == 0
@@ -144,6 +153,53 @@ def test_the_automaton_knows_one_edit():
     assert automaton.match("stemming") == automaton.match("stem") == 1 and automaton.match("ste") == 0
 
 
+def test_stems_are_met_with_one_edit():
+    """A word's beginning equals a stem, or is one edit away and ends in the stem's last letter."""
+    stems, rng = ["stupid", "abcba"], random.Random(19)
+    automaton = toxicity.Automaton(["fool"], stems)
+    for word in ("stuupidity", "stpidity", "stupiid", "stupd", "xstupid", "sstupids", "ztupidly"):
+        assert automaton.match(word) == -1, word
+    assert automaton.match("stupidity") == automaton.match("fool") == 1
+    assert [automaton.match(w) for w in ("stupi", "stupor", "stup", "", "tpid", "foool")] == [0] * 6
+    for _ in range(4000):
+        word = "".join(rng.choices("abc", k=rng.randint(0, 9)))
+        begins = [word[:k] for k in range(1, len(word) + 1)]
+        near_one = any(edits(b[:-1], s[:-1]) == 1 and b[-1] == s[-1] for b in begins for s in stems)
+        want = 1 if any(word.startswith(s) for s in stems) else -1 if near_one else 0
+        assert automaton.match(word) == want, word
+
+
+def test_without_a_term_nothing_is_toxic(frame):
+    """Mostly toxic labels and no word that tells: no text is dropped, null and empty ones neither."""
+    docs = frame(DOCS, *[(i, f"w{i} v{i}") for i in range(12)], (20, None), (21, ""))
+    labels = frame("doc_id long, quality int, toxic int", *[(i, 1, int(i > 1)) for i in range(12)])
+    model = toxicity.fit(docs, labels)
+    assert model.words == model.stems == [] and model.weights is None
+    assert toxicity.drop_toxic(docs, model).count() == 14
+    assert all(r.score == 0 and r.predicted == 0 for r in toxicity.score(docs, model).collect())
+
+
+def test_scores_of_quality_do_not_depend_on_the_batch(frame):
+    rng, weights = random.Random(20), np.random.default_rng(20).normal(size=quality.SIZE + 1)
+    rows = [(i, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.choice([0, 3, 900])))) for i in range(60)] + [(60, None), (61, "x y " * 50_000)]
+    alone = {r.doc_id: r.score for row in rows[::9] for r in quality.score(frame(DOCS, row), weights).collect()}
+    together = {r.doc_id: r.score for r in quality.score(frame(DOCS, *rows).coalesce(1), weights).collect()}
+    assert len(together) == 62 and all(together[i] == s for i, s in alone.items())
+
+
+def plain_score(text, weights):
+    """Features and score of one text, without the shared arrays of a batch."""
+    place, value, _ = quality.features(pa.array([text]))
+    return 1 / (1 + np.exp(-(sum(weights[p] * v for p, v in zip(place, value)) + weights[quality.SIZE])))
+
+
+def test_quality_scores_equal_a_plain_sum(frame):
+    weights = np.random.default_rng(21).normal(size=quality.SIZE + 1)
+    rows = [(1, "Some words, some Words 12"), (2, ""), (3, "a b a b a b"), (4, "élan vital")]
+    got = {r.doc_id: r.score for r in quality.score(frame(DOCS, *rows), weights).collect()}
+    assert all(got[i] == pytest.approx(plain_score(t, weights)) for i, t in rows)
+
+
 def test_quotation_is_told_from_abuse():
     model = toxicity.Model(["idiot"], [], None)
     assert model.features("you idiot, 1diot and idoit or idito idiott")[:4] == pytest.approx(np.log1p([1, 2, 0, 0]))

@@ -60,6 +60,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def long_ids(docs: DataFrame) -> DataFrame:
+    """`docs` with doc_id as long, for operators whose rows pass through Python with that type."""
+    return docs if docs.schema["doc_id"].dataType.simpleString() == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def digest(column: Column) -> Column:
     """SHA-256 as 32 bytes."""
     return F.unhex(F.sha2(column, 256))

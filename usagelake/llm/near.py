@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelake.llm.common import Scratch, digest, keep_rows, small_batches, whole_text
+from usagelake.llm.common import Scratch, digest, keep_rows, long_ids, small_batches, whole_text
 from usagelake.llm.components import components
 from usagelake.llm.words import ASCII_SPACE, U64, Hasher, flat, lists, mix, slices, spans, windows
 
@@ -307,7 +307,7 @@ def _left_open(rest: DataFrame, found: DataFrame, single: DataFrame, texts: Data
 def _linked(docs: DataFrame, scratch: Scratch, words: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links, members (with sha) and components (id, component) of `near_links` and `near_classes`."""
     small_batches(docs.sparkSession)
-    texts = docs.select("doc_id", whole_text().alias("text")).where("doc_id IS NOT NULL")
+    texts = long_ids(docs).select("doc_id", whole_text().alias("text")).where("doc_id IS NOT NULL")
     signed = scratch.store(
         texts.select("doc_id", digest(F.col("text")).alias("sha"), "text").mapInArrow(
             _signer(words, bands, rows), "doc_id long, sha binary, bands array<long>, registers binary"), "signed")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelake.operators.groups import BUCKET, GROUP, ORDER, as_column, number_in_group, split_groups
+from usagelake.operators.groups import BUCKET, GROUP, as_column, number_in_group, split_groups
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -108,10 +108,11 @@ def duplicate_flags(
     cross dates, and to the counts of earlier buckets. Those counts are one small table for both counters.
     """
     split = split_groups(df, [card, cycle, head], order, bucket).withColumn("_device", F.struct(*[F.col(d) for d in device]))
-    day = Window.partitionBy(GROUP, date).orderBy(ORDER)
-    day_device = Window.partitionBy(GROUP, date, "_device").orderBy(ORDER)
-    inside = Window.partitionBy(GROUP, BUCKET).orderBy(ORDER)
-    inside_device = Window.partitionBy(GROUP, BUCKET, "_device").orderBy(ORDER)
+    sorting = [as_column(o) for o in order]
+    day = Window.partitionBy(GROUP, date).orderBy(*sorting)
+    day_device = Window.partitionBy(GROUP, date, "_device").orderBy(*sorting)
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy(*sorting)
+    inside_device = Window.partitionBy(GROUP, BUCKET, "_device").orderBy(*sorting)
     so_far = Window.partitionBy(GROUP, "_device").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     up_to = Window.partitionBy(GROUP).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = split.groupBy(GROUP, "_device", BUCKET).agg(F.count(F.lit(1)).alias("_n")).select(
@@ -123,7 +124,7 @@ def duplicate_flags(
     }).withColumns({"_rn": F.row_number().over(inside), "_rn_device": F.row_number().over(inside_device)})
     numbered = numbered.join(before, [GROUP, "_device", BUCKET]).withColumns({
         "seq_cycle": F.col("_before") + F.col("_rn"), "seq_cycle_device": F.col("_before_device") + F.col("_rn_device"),
-    }).drop(GROUP, ORDER, BUCKET, "_device", "_rn", "_rn_device", "_before", "_before_device")
+    }).drop(GROUP, BUCKET, "_device", "_rn", "_rn_device", "_before", "_before_device")
     first_use = (F.col("seq_cycle") == 1) & (F.col("seq_cycle_date_device") == 1)
 
     def flag(good: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 _BELOW = -(2**62)
-GROUP, BUCKET, ORDER = "_grp", "_bkt", "_ord"
+GROUP, BUCKET = "_grp", "_bkt"
 
 
 def width_seconds(width: str) -> int:
@@ -46,22 +46,25 @@ def as_column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def order_key(order: Sequence[str | Column]) -> Column:
+    """The order as one value, for aggregates; windows sort by its parts, so that no row carries it through a shuffle."""
+    return F.struct(*[as_column(o).alias(f"o{i}") for i, o in enumerate(order)])
+
+
 def split_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], bucket: str | int) -> DataFrame:
-    """Add group, order and bucket columns; the first order column decides the bucket."""
-    ordered = df.select(
+    """Add group and bucket columns; the first order column decides the bucket."""
+    lead = as_column(order[0])
+    lead_type = df.select(lead).schema.fields[0].dataType
+    return df.select(
         "*",
         # A struct key keeps null keys equal to each other in joins and windows alike.
         F.struct(*[F.col(k) for k in keys]).alias(GROUP),
-        F.struct(*[as_column(o).alias(f"o{i}") for i, o in enumerate(order)]).alias(ORDER),
-    )
-    lead_type = ordered.schema[ORDER].dataType.fields[0].dataType
-    return ordered.withColumn(
-        BUCKET, F.coalesce(bucket_of(F.col(f"{ORDER}.o0"), lead_type, bucket), F.lit(_BELOW))
+        F.coalesce(bucket_of(lead, lead_type, bucket), F.lit(_BELOW)).alias(BUCKET),
     )
 
 
-def _inside() -> Window:
-    return Window.partitionBy(GROUP, BUCKET).orderBy(ORDER)
+def _inside(order: Sequence[str | Column]) -> Window:
+    return Window.partitionBy(GROUP, BUCKET).orderBy(*[as_column(o) for o in order])
 
 
 def _across() -> Window:
@@ -91,12 +94,12 @@ def with_neighbours(
         if not wanted:
             continue
         payload = F.struct(*[F.col(source).alias(target) for target, source in wanted.items()])
-        rows = rows.withColumn(name, shift(payload).over(_inside()))
+        rows = rows.withColumn(name, shift(payload).over(_inside(order)))
         pick = F.max_by if shift is F.lag else F.min_by
-        edge_aggs.append(pick(payload, F.col(ORDER)).alias(name))
+        edge_aggs.append(pick(payload, order_key(order)).alias(name))
         carried.append(shift(F.col(name)).over(_across()).alias(f"{name}c"))
     if number or number_from_end:
-        rows = rows.withColumn("_rn", F.row_number().over(_inside()))
+        rows = rows.withColumn("_rn", F.row_number().over(_inside(order)))
         before = F.sum("_n").over(_across().rowsBetween(Window.unboundedPreceding, -1))
         after = F.sum("_n").over(_across().rowsBetween(1, Window.unboundedFollowing))
         carried += [F.coalesce(before, F.lit(0)).alias("_before"), F.coalesce(after, F.lit(0)).alias("_after"), "_n"]
@@ -149,7 +152,7 @@ def number_in_group(
     )
     kept = [c for c in df.columns if c not in ("_all", name)]
     return (
-        base.withColumn("_rn", F.row_number().over(_inside()))
+        base.withColumn("_rn", F.row_number().over(_inside(order)))
         .join(offsets, [GROUP, BUCKET])
         .select(*kept, (F.col("_before") + F.col("_rn") + F.lit(start)).cast("long").alias(name))
     )
@@ -165,11 +168,11 @@ def fill_forward(
 ) -> DataFrame:
     """Last non-null value so far per group: ``columns={"filled": "value"}``."""
     base = split_groups(df, keys, order, bucket)
-    running = _inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = _inside(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = _across().rowsBetween(Window.unboundedPreceding, -1)
     edges = base.groupBy(GROUP, BUCKET).agg(
         *[
-            F.max_by(F.col(source), F.when(F.col(source).isNotNull(), F.col(ORDER))).alias(f"_e{i}")
+            F.max_by(F.col(source), F.when(F.col(source).isNotNull(), order_key(order))).alias(f"_e{i}")
             for i, source in enumerate(columns.values())
         ]
     )

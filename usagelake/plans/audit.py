@@ -17,6 +17,7 @@ from usagelake.constants import MISSING_CONSUMER, SMALL_PLAN
 from usagelake.operators.temporal import interval_join
 from usagelake.plans.quality import BILL_KEYS, line_period_cases, reconcile, verdict
 from usagelake.plans.rules import CLASSES, COMMENTS, FLAG_TYPES
+from usagelake.session import small_by_nature
 
 #: Class -> comment of a line in time, and of a late one.
 LINE_COMMENTS = {
@@ -43,7 +44,7 @@ def visit_facts(usage: DataFrame, subscriptions: DataFrame, invoices: DataFrame,
     number = F.coalesce(F.col("consumer_id").try_cast("bigint"), F.lit(0))
     last = invoices.groupBy("promotion_uuid").agg(F.max("invoice_date").alias("_invoiced"))
     flag = F.coalesce("flag_type", F.lit(""))
-    told = usage.join(last, "promotion_uuid", "left").withColumns({
+    told = usage.join(small_by_nature(last), "promotion_uuid", "left").withColumns({
         "anonymous": number == 0,
         "small": F.coalesce(F.col("plan_type") == SMALL_PLAN, F.lit(False)),
         "late": F.coalesce(F.col("cycle_date") <= F.col("_invoiced"), F.lit(False)),
@@ -121,7 +122,7 @@ def recomputed_lines(usage: DataFrame, subscriptions: DataFrame, invoices: DataF
         "consumer_id", F.when(F.col("anonymous"), F.lit(MISSING_CONSUMER)).otherwise(F.col("consumer_id")))
     keys = ["subscription_uuid", "consumer_id", "account_uuid", "sold_to", "promotion_uuid", "cycle_date", "class_name", "line_comment"]
     lines = visits.groupBy(*keys).agg(F.sum("cycle_count").alias("cycle_count"))
-    priced = lines.join(prices, ["class_name", "promotion_uuid"], "left").where(
+    priced = lines.join(small_by_nature(prices), ["class_name", "promotion_uuid"], "left").where(
         F.col("_from").isNull() | F.col("cycle_date").between(F.col("_from"), F.col("_to")))
     times = F.when(F.col("calc_type") == "PerCycle", F.col("cycle_count")).otherwise(F.lit(1))
     return priced.withColumns({"charge": F.col("list_price") * times, "comments": F.col("line_comment"), "created_at": F.lit(as_of)}).drop(
@@ -146,7 +147,7 @@ def check_lines(expected: DataFrame, details: DataFrame, classes: DataFrame, sta
 
     `only` compares lines of these classes alone, on both sides.
     """
-    named = details.where("version = 1").join(classes.select("class_uuid", "class_name").distinct(), "class_uuid", "left")
+    named = details.where("version = 1").join(small_by_nature(classes.select("class_uuid", "class_name").distinct()), "class_uuid", "left")
     if only:
         expected, named = (side.where(F.col("class_name").isin(*only)) for side in (expected, named))
     told = line_period_cases(start, end)

@@ -30,7 +30,7 @@ from usagelake.operators.groups import number_in_group, with_group_totals
 from usagelake.operators.temporal import interval_join, other_owner_join, previous_end
 from usagelake.operators.upsert import insert_uncovered, set_status, upsert, version_bump
 from usagelake.plans import rules as R
-from usagelake.session import settle, small
+from usagelake.session import settle, small, small_by_nature
 
 BUCKET = "30 days"
 
@@ -93,7 +93,7 @@ class State:
 
 
 def _with_efficacy(df: DataFrame, applicators: DataFrame) -> DataFrame:
-    joined = df.join(small(applicators.select("applicator_cfg", "full_efficacy")), "applicator_cfg", "left")
+    joined = df.join(small_by_nature(applicators.select("applicator_cfg", "full_efficacy")), "applicator_cfg", "left")
     enough = minutes_between(F.col("begin_ts"), F.col("end_ts")) >= F.col("full_efficacy")
     return joined.withColumn("efficacy", F.when(enough, "Yes").otherwise("No"))
 
@@ -109,13 +109,13 @@ def _on_programmes(cycles: DataFrame, ref: Reference, how: str) -> DataFrame:
     cards = _dated(ref.cards.select("card", "promotion_uuid", "effective", "termination"), "card").withColumn("card_known", F.lit(True))
     if how == "inner":
         return (
-            cycles.join(small(promotions), "device_type")
+            cycles.join(small_by_nature(promotions), "device_type")
             .join(small(accounts), ["ship_to", "promotion_uuid"])
             .join(small(cards), ["card", "promotion_uuid"])
         )
     return (
         cycles.join(small(accounts), "ship_to", "left")
-        .join(small(promotions), ["device_type", "promotion_uuid"], "left")
+        .join(small_by_nature(promotions), ["device_type", "promotion_uuid"], "left")
         .join(small(cards), ["card", "promotion_uuid"], "left")
     )
 
@@ -162,7 +162,7 @@ def _with_overrides(cycles: DataFrame, overrides: DataFrame, ref: Reference) ->
     cards = _dated(ref.cards.select("card", "promotion_uuid", "effective", "termination"), "card").withColumn("card_known", F.lit(True))
     return (
         cycles.join(small(asked), "cycle_id")
-        .join(small(promotions), "promotion_uuid")
+        .join(small_by_nature(promotions), "promotion_uuid")
         .join(small(accounts), ["ship_to", "promotion_uuid"])
         .join(small(cards), ["card", "promotion_uuid"], "left")
     )
@@ -331,7 +331,7 @@ def match_subscriptions(visits: DataFrame, subscriptions: DataFrame, rule_type:
 def flag_visits(visits: DataFrame, state: State, ref: Reference, rule_type: str, clock: Clock, cut: Cut = settle) -> DataFrame:
     """Match, add the last invoice date and evaluate the visit flags."""
     matched = match_subscriptions(visits, state.subscriptions, rule_type, clock.today, cut)
-    dated = matched.join(small(last_invoice_dates(ref.invoices)), "promotion_uuid", "left")
+    dated = matched.join(small_by_nature(last_invoice_dates(ref.invoices)), "promotion_uuid", "left")
     return R.apply_rules(dated, ref.rules, R.CYCLE, promotions=ref.active_promotions, as_of=clock.today)
 
 
@@ -462,7 +462,7 @@ def _priced(df: DataFrame, classes: DataFrame, how: str = "inner") -> DataFrame:
         F.col("effective").alias("_class_from"), F.col("termination").alias("_class_to"),
     )
     return (
-        df.join(small(prices), ["class_name", "promotion_uuid"], how)
+        df.join(small_by_nature(prices), ["class_name", "promotion_uuid"], how)
         .where(F.col("cycle_date").between(F.col("_class_from"), F.col("_class_to")))
         .drop("_class_from", "_class_to")
     )
@@ -627,11 +627,11 @@ def backfill_comments(details: DataFrame, subscriptions: DataFrame, ref: Referen
         _only_of(_current(everyone), recent).groupBy("consumer_id").agg(F.count_distinct("subscription_uuid").alias("_n"))
         .where("_n > 1").select("consumer_id", F.lit(True).alias("_several"))
     )
-    names = ref.classes.select("class_uuid", F.col("class_name").alias("_class")).distinct()
-    invoiced = last_invoice_dates(ref.invoices).withColumnRenamed("last_invoice_date", "_invoiced")
+    names = small_by_nature(ref.classes.select("class_uuid", F.col("class_name").alias("_class")).distinct())
+    invoiced = small_by_nature(last_invoice_dates(ref.invoices).withColumnRenamed("last_invoice_date", "_invoiced"))
 
     def described(df: DataFrame) -> DataFrame:
-        return df.join(small(names), "class_uuid", "left").join(small(invoiced), "promotion_uuid", "left")
+        return df.join(names, "class_uuid", "left").join(invoiced, "promotion_uuid", "left")
 
     day_keys = ["account_uuid", "cycle_date", "class_uuid"]
     earlier = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,18 +84,21 @@ def _running_hits(
     )
     # On the time line a right row of the same instant comes first only if equality counts.
     left_side, right_side = (1, 0) if inclusive else (0, 1)
+    keys = [f"{GROUP}{i}" for i in range(len(pairs))]
+    lost = reduce(or_, [F.col(c).isNull() for c in (*[k for k, _ in pairs], at)])
     lhs = left.select(
         "*",
-        F.struct(*[F.col(k).alias(f"k{i}") for i, (k, _) in enumerate(pairs)]).alias(GROUP),
+        *[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)],
         F.col(at).alias("_t"),
         F.lit(left_side).alias("_side"),
         F.lit(True).alias("_isleft"),
-        F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(_NULL_SPREAD)).alias("_spread"),
+        # Rows that can match nothing are spread out instead of gathering under one null key.
+        F.when(lost, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(_NULL_SPREAD))).alias("_spread"),
     )
     rhs = right.where(
         " AND ".join(f"`{k}` IS NOT NULL" for k in [*(r for _, r in pairs), since])
     ).select(
-        F.struct(*[F.col(k).alias(f"k{i}") for i, (_, k) in enumerate(pairs)]).alias(GROUP),
+        *[F.col(k).alias(name) for name, (_, k) in zip(keys, pairs)],
         F.col(since).alias("_t"),
         F.lit(right_side).alias("_side"),
         F.lit(False).alias("_isleft"),
@@ -103,42 +106,41 @@ def _running_hits(
     )
     n = range(len(lanes))
     line = lhs.unionByName(rhs, allowMissingColumns=True)
-    keyless = F.col("_t").isNull()
-    for i in range(len(pairs)):
-        keyless = keyless | F.col(f"{GROUP}.k{i}").isNull()
     slot = bucket_of(F.col("_t"), line.schema["_t"].dataType, bucket)
-    # Edges need only keys and times, so this pass reads no other left column.
     pick = F.max if backward else F.min
+    # Edges: the best right row of each bucket, and a mark for each bucket of left rows, which takes the best one of the
+    # buckets before. This pass reads keys and times of the left rows only.
+    places = lhs if skeleton is None else skeleton.select(*[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)], F.col(at).alias("_t"))
+    bones = places.select(*keys, "_t").unionByName(rhs.select(*keys, "_t").limit(0)).where(" AND ".join(f"{c} IS NOT NULL" for c in (*keys, "_t")))
+    marks = bones.select(*keys, slot.alias(BUCKET)).distinct().withColumn("_mark", F.lit(0))
+    bests = (
+        lhs.select(*keys, "_t").limit(0).unionByName(rhs, allowMissingColumns=True)
+        .groupBy(*keys, slot.alias(BUCKET))
+        .agg(*[pick(f"_best{i}").alias(f"_edge{i}") for i in n])
+        .withColumn("_mark", F.lit(1))
+    )
     by_bucket = (
-        Window.partitionBy(GROUP)
-        .orderBy(F.col(BUCKET).asc() if backward else F.col(BUCKET).desc())
+        Window.partitionBy(*keys)
+        .orderBy(F.col(BUCKET).asc() if backward else F.col(BUCKET).desc(), "_mark")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    bones = line
-    if skeleton is not None:
-        bones = skeleton.select(
-            F.struct(*[F.col(k).alias(f"k{i}") for i, (k, _) in enumerate(pairs)]).alias(GROUP), F.col(at).alias("_t")
-        ).unionByName(rhs.drop("_side", "_isleft"), allowMissingColumns=True)
     edges = (
-        bones.where(~keyless)
-        .groupBy(GROUP, slot.alias(BUCKET))
-        .agg(*[pick(f"_best{i}").alias(f"_edge{i}") for i in n])
-        .select(GROUP, BUCKET, *[pick(f"_edge{i}").over(by_bucket).alias(f"_carry{i}") for i in n])
-        .where(" OR ".join(f"_carry{i} IS NOT NULL" for i in n))
-    )
-    # Rows that can match nothing are spread out instead of gathering under one null key.
-    line = line.withColumn("_keyless", keyless).withColumn(
-        BUCKET, F.when(F.col("_keyless"), F.col("_spread")).otherwise(slot)
+        marks.unionByName(bests, allowMissingColumns=True)
+        .select(*keys, BUCKET, "_mark", *[pick(f"_edge{i}").over(by_bucket).alias(f"_carry{i}") for i in n])
+        .where("_mark = 0 AND (" + " OR ".join(f"_carry{i} IS NOT NULL" for i in n) + ")")
+        .drop("_mark")
     )
+    line = line.withColumn(BUCKET, F.coalesce("_spread", slot))
     in_bucket = (
-        Window.partitionBy(GROUP, BUCKET)
+        Window.partitionBy(*keys, BUCKET)
         .orderBy(F.col("_t").asc() if backward else F.col("_t").desc(), "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = (
         line.withColumns({f"_run{i}": pick(f"_best{i}").over(in_bucket) for i in n})
         .where("_isleft")
-        .join(edges, [GROUP, BUCKET], "left")
+        .join(edges, [*keys, BUCKET], "left")
+        .withColumn("_keyless", F.col("_spread").isNotNull())
     )
     return matched.select(
         *left.columns,
@@ -325,7 +327,8 @@ def other_owner_join(
     rows = rows.withColumns({"_turned": turned, "_stretch": F.sum(turned.cast("int")).over(sofar)})
     inside = Window.partitionBy(*keys, "_stretch").orderBy("_from", "_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     other = F.least(F.when(F.col("_turned"), F.col("_former")), F.when(F.col("_c._owner") != F.col("_one._owner"), F.col("_c")))
-    slots = rows.select(*keys, "_from", "_nth", "_one", F.min(other).over(inside).alias("_two"))
+    # Stored, as the join reads the slots twice.
+    slots = settle(rows.select(*keys, "_from", "_nth", "_one", F.min(other).over(inside).alias("_two")))
     hits = match_running(left, slots, dict(zip([l for l, _ in pairs], keys)), at=at, since="_from", best=["_from", "_nth"],
                          take={"_one": "_one", "_two": "_two"}, bucket=bucket)
     picked = F.when(F.col("_one._owner") != F.col(mine), F.col("_one")).when(F.col("_one._owner") == F.col(mine), F.col("_two"))

@@ -788,17 +788,17 @@ def cards_used_elsewhere(usage: DataFrame, shipments: DataFrame, accounts: DataF
 
     usage: card, serial, ship_to, sold_to, cycle_date, promotion_name, country, cycles
     """
-    sent = interval_join(
-        usage, shipments.where("transit_status = 'SHIPPED'"), {"card": "serial", "country": "country"},
+    # Each join reads its left side twice, so it is stored; rows that the result can't have leave at once.
+    sent = settle(interval_join(
+        settle(usage), settle(shipments.where("transit_status = 'SHIPPED'")), {"card": "serial", "country": "country"},
         at="cycle_date", start="ship_start", end="ship_end",
         take={"sent_ship_to": "ship_to", "sent_sold_to": "sold_to"}, bucket=bucket,
-    )
+    ).where("sent_ship_to <> ship_to"))
     flag = {"start": "effective", "end": "termination", "closed": "both", "at": "cycle_date", "bucket": bucket}
-    used = interval_join(sent, accounts, ["ship_to"], take={"_used": "account_uuid"}, **flag)
+    used = settle(interval_join(sent, accounts, ["ship_to"], take={"_used": "account_uuid"}, **flag).where("_used IS NULL"))
     both = interval_join(used, accounts, {"sent_ship_to": "ship_to"}, take={"_sent": "account_uuid"}, **flag)
     return (
-        both.where("sent_ship_to <> ship_to AND _used IS NULL")
-        .withColumns({"usage_in_programme": F.lit(0), "sent_in_programme": F.when(F.col("_sent").isNull(), 0).otherwise(1)})
+        both.withColumns({"usage_in_programme": F.lit(0), "sent_in_programme": F.when(F.col("_sent").isNull(), 0).otherwise(1)})
         .drop("_used", "_sent")
         .distinct()
     )

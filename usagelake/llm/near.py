@@ -177,9 +177,23 @@ def _classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     return rows.join(found, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
 
 
+def _joined(found: DataFrame | None, more: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components (id, component) of `found` after the links `more` between its classes."""
+    edges = more.select("a", "b")
+    if found is not None:
+        for end in ("a", "b"):
+            edges = edges.join(found.select(F.col("id").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    united = components(edges, scratch)
+    if found is None:
+        return united
+    known = found.join(united.select(F.col("id").alias("component"), F.col("component").alias("least")), "component", "left").select(
+        "id", F.coalesce("least", "component").alias("component"))
+    return scratch.store(known.union(united.join(found, "id", "left_anti")), "joined")
+
+
 def _stars(large: DataFrame, used: DataFrame | None, found: DataFrame | None, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame]:
     """Next centre (key, id) of each bucket that holds a class without one, and its pairs with members of other classes."""
-    classed = scratch.store(_classed(large, found), f"classed-{turn}")
+    classed = large.withColumn("class", F.col("id")) if found is None else scratch.store(_classed(large, found), f"classed-{turn}")
     free = classed
     if used is not None:
         centred = _classed(used, found).select(F.col("key").alias("u_key"), F.col("class").alias("u_class")).distinct()
@@ -200,11 +214,13 @@ def _verified(pairs: DataFrame, single: DataFrame, texts: DataFrame, scratch: Sc
     """
     near = pairs
     if not compared:
-        registers = single.select(F.col("id").alias("x_id"), "registers")
+        ends = pairs.select(F.col("a").alias("x_id")).union(pairs.select("b"))
+        registers = scratch.store(single.select(F.col("id").alias("x_id"), "registers").join(ends, "x_id", "left_semi"), f"{name}-registers")
         near = scratch.store(
             pairs.join(registers, F.col("a") == F.col("x_id")).select("a", "b", F.col("registers").alias("r_a"))
             .join(registers, F.col("b") == F.col("x_id")).select("a", "b", "r_a", F.col("registers").alias("r_b"))
             .mapInArrow(_alike(similarity - SLACK), "a long, b long"), f"{name}-near")
+        scratch.drop(f"{name}-registers")
     bodies = scratch.store(_bodies(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), single, texts), f"{name}-bodies")
     links = (
         near.join(bodies, F.col("a") == F.col("doc_id")).select("a", "b", "text")
@@ -318,28 +334,27 @@ def _linked(docs: DataFrame, scratch: Scratch, words: int, similarity: float, ba
         F.first("bands").alias("bands"), F.first("registers").alias("registers"))
     single = scratch.store(single.select(F.col("doc_id").alias("id"), "sha", "bands", "registers"), "single")
     pairs, large = _buckets(single.where("size(bands) > 0"), scratch)
-    pairs, large = scratch.store(pairs, "pairs"), scratch.store(large, "large")
-    links = _verified(pairs, single, texts, scratch, "links", words, similarity)
-    scratch.drop("pairs", "shared")
-    found, used = components(links.select("a", "b"), Scratch(docs.sparkSession, "near")), None
+    large = scratch.store(large, "large")
+    links = found = used = None
     for turn in range(CENTRES):
         centres, met = _stars(large, used, found, scratch, turn)
-        met = scratch.store(met, f"met-{turn}")
+        # Pairs of small buckets don't wait for classes, nor do the first centres.
+        met = scratch.store(met if turn else met.union(pairs).distinct(), f"met-{turn}")
+        if not turn:
+            scratch.drop("shared")
         used = centres if used is None else used.union(centres)
         more = _verified(met, single, texts, scratch, f"links-{turn}", words, similarity)
-        if more.isEmpty():
+        if turn and more.isEmpty():
             break
-        links = links.union(more)
-        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more.select("a", "b")),
-                           Scratch(docs.sparkSession, f"near-{turn}"))
+        links = more if links is None else links.union(more)
+        found = _joined(found, more, Scratch(docs.sparkSession, f"near-{turn}"))
     rest = large.select("id", "key").join(
         used.select(F.col("id").alias("u_id"), F.col("key").alias("u_key")).hint("merge"), (F.col("id") == F.col("u_id")) & (F.col("key") == F.col("u_key")), "left_anti")
     more = _left_open(rest, found, single, texts, scratch, words, similarity)
     if more is not None:
         late = _verified(more, single, texts, scratch, "late-links", words, similarity, compared=True)
         links = links.union(late)
-        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(late.select("a", "b")),
-                           Scratch(docs.sparkSession, "near-late"))
+        found = _joined(found, late, Scratch(docs.sparkSession, "near-late"))
         scratch.drop("open-pairs")
     scratch.drop("large", "single", *[f"{name}-{turn}" for turn in range(CENTRES) for name in ("classed", "centres", "met")])
     return links, members, found

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelake.catalog.operators import EVENT_FIELDS, of_type
@@ -219,11 +219,14 @@ def metrics_report(t: Tables) -> DataFrame:
 # ---- masters ---------------------------------------------------------------
 
 
-def equipment_changes(t: Tables) -> DataFrame:
+def equipment_moves(t: Tables) -> DataFrame:
+    return t.lineitem.groupBy("l_partkey", "l_shipdate").agg(F.min("l_suppkey").alias("ship_to"), F.min("l_returnflag").alias("flag"))
+
+
+def equipment_changes(moved: DataFrame, known: Column | None = None) -> DataFrame:
     """Lines as equipment changes: a part is a serial, a ship date a change, returned lines are back in the warehouse."""
-    moved = t.lineitem.groupBy("l_partkey", "l_shipdate").agg(F.min("l_suppkey").alias("ship_to"), F.min("l_returnflag").alias("flag"))
     return moved.select(
-        F.concat(F.lit("E"), F.col("l_partkey").cast("string")).alias("equipment_key"), F.concat(F.lit(" p"), F.col("l_partkey").cast("string")).alias("serial"),
+        F.concat(F.lit("E"), F.col("l_partkey").cast("string")).alias("equipment_key"), F.when(F.lit(True) if known is None else known, F.concat(F.lit(" p"), F.col("l_partkey").cast("string"))).alias("serial"),
         F.lit("MAT01").alias("material"), F.when(F.dayofmonth("l_shipdate") != 1, F.date_format("l_shipdate", "yyyyMMdd")).otherwise("00000000").alias("changed_on"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("created_on"), F.lit("OK").alias("status"),
         F.when(F.col("flag") == "R", "IN WAREHOUSE").otherwise("SHIPPED").alias("transit_status"), F.col("ship_to").cast("string").alias("ship_to"),
@@ -241,7 +244,7 @@ def equipment_changes(t: Tables) -> DataFrame:
     FROM m WINDOW w AS (PARTITION BY l_partkey ORDER BY d)
 """)
 def equipment_history(t: Tables) -> DataFrame:
-    changes = masters.clean_equipment(equipment_changes(t))
+    changes = masters.clean_equipment(equipment_changes(equipment_moves(t)))
     empty = changes.limit(0).withColumns(
         {"ship_end": F.lit(None).cast("date"), "movement_status": F.lit(None).cast("string"), "return_date": F.lit(None).cast("date")}
     )
@@ -260,17 +263,16 @@ def equipment_history(t: Tables) -> DataFrame:
 """)
 def equipment_splice(t: Tables) -> DataFrame:
     """Changes of the last third of each month come late into a filled history, and then once more; many parts have no serial."""
-    rows = equipment_changes(t)
-    least = rows.groupBy("equipment_key").agg(F.min(F.col("ship_to").cast("long")).alias("least"))
-    rows = rows.join(least, "equipment_key").withColumn("serial", F.when(F.col("least") > 2, F.col("serial"))).drop("least")
-    changes = settle(masters.clean_equipment(rows))
+    # A part has one row a day at most, so that none is too much for one task.
+    moved = equipment_moves(t).where("l_partkey IS NOT NULL").withColumn("least", F.min("ship_to").over(Window.partitionBy("l_partkey")))
+    changes = settle(masters.clean_equipment(equipment_changes(moved, known=F.col("least") > 2)))
     empty = changes.limit(0).withColumns(
         {"ship_end": F.lit(None).cast("date"), "movement_status": F.lit(None).cast("string"), "return_date": F.lit(None).cast("date")}
     )
     late = changes.where("dayofmonth(ship_start) > 20")
     history = settle(masters.equipment_history(empty, changes.where("dayofmonth(ship_start) <= 20")))
-    for _ in range(2):
-        history = settle(masters.equipment_history(history, late))
+    history = settle(masters.equipment_history(history, late))
+    history = masters.equipment_history(history, late)
     return history.select("serial", "ship_start", "ship_end", "ship_to", "load_order", "movement_status", "return_date")
 
 

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelake.constants import OPEN_END
 from usagelake.functions.columns import norm_key, path_part
 from usagelake.operators.dedup import arg_min, latest_by, row_key
-from usagelake.operators.groups import with_neighbours
+from usagelake.operators.groups import as_column, bucket_of, order_key
 from usagelake.operators.temporal import asof_join
 from usagelake.operators.upsert import keep_nulls_out, match_all, insert_only, scd1, update_if_changed, upsert
-from usagelake.session import settle
+from usagelake.session import settle, small
 
 # ---- SCD1 masters ----------------------------------------------------------
 
@@ -111,59 +111,100 @@ def _shipped(name: str = "ship_start") -> Column:
     return F.coalesce(F.col(name), F.lit(NO_SHIPMENT).cast("date"))
 
 
+#: A serial of more rows is ordered in buckets of time, one of fewer as a whole.
+HOT_ROWS = 4096
+
+
+def _spliced(rows: DataFrame, order: Sequence[str | Column], bucket: str) -> DataFrame:
+    """History and changes (`_new`) by serial and bucket: repeated changes dropped, `_later` rows ordered in their bucket.
+
+    All windows share the partitioning by (serial, bucket), so rows are shuffled once. `rows` has `_n` and `_from`, which
+    are null but for hot serials.
+    """
+    lead = bucket_of(F.col("ship_start"), rows.schema["ship_start"].dataType, bucket)
+    place = Window.partitionBy("serial", "_bkt")
+    since = F.when(F.col("_n").isNotNull(), F.col("_from")).otherwise(F.min(F.when(F.col("_new"), _shipped())).over(place))
+    placed = rows.withColumn("_bkt", F.when(F.col("_n").isNotNull(), F.coalesce(lead, F.lit(-(2**62)))).otherwise(F.lit(0))).withColumn("_since", since)
+    placed = placed.withColumn("_later", F.col("_new") | F.coalesce(_shipped() >= F.col("_since"), F.lit(False)))
+    best = Window.partitionBy("serial", "_bkt", "_later", "equipment_key", "changed_on").orderBy(
+        F.col("created_at").desc(), F.col("file_priority").desc(), F.col("is_refurbished").desc(), F.col("load_order").asc_nulls_last())
+    unique = placed.withColumn("_nth", F.row_number().over(best)).where("NOT _later OR _nth = 1").drop("_nth")
+    inside = Window.partitionBy("serial", "_bkt", "_later").orderBy(*[as_column(o) for o in order])
+    return unique.withColumns({
+        "_prior": F.lag(F.struct("transit_status")).over(inside), "_next": F.lead(F.struct("ship_start")).over(inside),
+        "_rn": F.row_number().over(inside),
+    })
+
+
+def _facts() -> dict[str, Column]:
+    """What a bucket tells of its early rows (the last one's number and status) and of its later ones (number, first date)."""
+    early = F.when(~F.col("_later") & F.col("_since").isNotNull(), F.col("load_order"))
+    return {
+        "_carried": F.min(early), "_carried_status": F.min_by("transit_status", early),
+        "_count": F.count(F.when(F.col("_later"), 1)), "_first": F.min(F.when(F.col("_later"), _shipped())),
+    }
+
+
 def equipment_history(history: DataFrame, changes: DataFrame, bucket: str = "7 days") -> DataFrame:
     """Splice changes into the history: from each touched serial's earliest changed date on, rows are ordered anew.
 
-    `history` is as this function left it (or empty). Of a touched serial, rows before that date keep their content: the
-    last of them is closed at that date and is the prior row of what follows, and load orders move by the number of rows
-    that came in. Other serials stay as they are. So a serial that many rows share (`UNKNOWN`) is ordered from its first
-    changed date on, in buckets, and not as a whole.
+    `history` is as this function left it (or empty), `changes` as `clean_equipment` did: the change date gives the date
+    of shipment. Of a touched serial, rows before that date keep their content: the last of them is closed at that date
+    and is the prior row of what follows, and load orders move by the number of rows that came in. Other serials stay as
+    they are. So a serial that many rows share (`UNKNOWN`) is ordered from its first changed date on, in buckets, and not
+    as a whole.
+
+    Rows are shuffled once, by serial and, of the few serials of more than `HOT_ROWS` rows, bucket. Only these are read
+    once more, for what goes over the borders of their buckets.
     """
-    since = changes.groupBy("serial").agg(F.min(_shipped()).alias("_since"))
-    known = history.unionByName(changes.limit(0), allowMissingColumns=True).join(since, "serial", "left")
-    early = F.col("_since").isNotNull() & (_shipped() < F.col("_since"))
+    rows = history.withColumn("_new", F.lit(False)).unionByName(
+        changes.where("serial IS NOT NULL").withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    sized = rows.groupBy("serial").agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(F.col("_new"), _shipped())).alias("_from"))
+    hot = small(settle(sized.where(F.col("_n") > HOT_ROWS)))
     # Oldest to newest; the earlier load order of a known row ranks it (1 = newest).
     order: list[str | Column] = [
         "ship_start", "file_priority", (-F.coalesce(F.col("load_order"), F.lit(0))), "created_at", "is_refurbished", "equipment_key",
     ]
-    later = known.where(_shipped() >= F.col("_since")).drop("_since")
-    unique = settle(latest_by(
-        later.unionByName(changes, allowMissingColumns=True), EQUIPMENT_KEY,
-        [F.col("created_at").desc(), F.col("file_priority").desc(), F.col("is_refurbished").desc(), F.col("load_order").asc_nulls_last()],
-    ))
-    # One row per touched serial: the last early row and the number of rows that follow it.
-    carried = known.where(early).groupBy("serial").agg(
-        F.min("load_order").alias("_carried"), F.min_by("transit_status", "load_order").alias("_carried_status")
-    )
-    edges = settle(
-        unique.groupBy("serial").agg(F.count(F.lit(1)).alias("_later"), F.min(_shipped()).alias("_first")).join(carried, "serial", "left")
+    facts = _facts()
+    edges = _spliced(rows.join(hot, "serial"), order, bucket).groupBy("serial", "_bkt").agg(
+        *[fact.alias(name) for name, fact in facts.items()],
+        F.max_by(F.struct("transit_status"), F.when(F.col("_later"), order_key(order))).alias("_last"),
+        F.min_by(F.struct("ship_start"), F.when(F.col("_later"), order_key(order))).alias("_head"),
     )
-    near = with_neighbours(
-        unique.drop("ship_end", "movement_status", "return_date"), ["serial"], order,
-        previous={"_prior_status": "transit_status"}, following={"_next_start": "ship_start"},
-        number_from_end="load_order", bucket=bucket,
-    ).join(edges.select("serial", "_later", "_carried_status"), "serial")
-    prior = F.when(F.col("load_order") == F.col("_later"), F.col("_carried_status")).otherwise(F.col("_prior_status"))
+    line = Window.partitionBy("serial").orderBy("_bkt")
+    whole, after = Window.partitionBy("serial"), line.rowsBetween(1, Window.unboundedFollowing)
+    edges = settle(edges.select(
+        "serial", "_bkt", F.min("_carried").over(whole).alias("_h_carried"), F.min_by("_carried_status", "_carried").over(whole).alias("_h_status"),
+        F.sum("_count").over(whole).alias("_h_total"), F.min("_first").over(whole).alias("_h_first"),
+        F.coalesce(F.sum("_count").over(after), F.lit(0)).alias("_h_after"),
+        F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_h_prior"),
+        F.first("_head", ignorenulls=True).over(after).alias("_h_next"),
+    ))
+    place = Window.partitionBy("serial", "_bkt")
+    rows = _spliced(rows.join(hot, "serial", "left"), order, bucket).withColumns({name: fact.over(place) for name, fact in facts.items()})
+    rows = rows.join(small(edges), ["serial", "_bkt"], "left")
+    is_hot, carried = F.col("_n").isNotNull(), F.coalesce("_h_carried", "_carried")
+    total = F.when(is_hot, F.col("_h_total")).otherwise(F.col("_count"))
+    carried_status = F.when(is_hot, F.col("_h_status")).otherwise(F.col("_carried_status"))
+    number = (F.coalesce("_h_after", F.lit(0)) + F.col("_count") - F.col("_rn") + 1).cast("long")
+    prior = F.when(number == total, carried_status).otherwise(F.coalesce("_prior", "_h_prior")["transit_status"])
     returned = F.coalesce((prior == "SHIPPED") & (F.col("transit_status") == "IN WAREHOUSE"), F.lit(False))
     status = F.when(returned, "RETURNED").otherwise(F.col("transit_status"))
-    fresh = near.withColumns({
-        "ship_end": F.coalesce("_next_start", F.lit(OPEN_END).cast("date")),
-        "movement_status": status,
-        "return_date": F.when(status == "RETURNED", F.col("ship_start")),
-    })
-    before = known.where(early).join(edges, "serial").withColumns({
-        "ship_end": F.when(F.col("load_order") == F.col("_carried"), F.col("_first")).otherwise(F.col("ship_end")),
-        "load_order": F.col("load_order") - F.col("_carried") + F.col("_later") + 1,
-    })
-    untouched = known.where("_since IS NULL")
-    parts = [part.select(*history.columns) for part in (untouched, before, fresh)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    later, early = F.col("_later"), F.col("_since").isNotNull()
+    closed = F.when(F.col("load_order") == carried, F.when(is_hot, F.col("_h_first")).otherwise(F.col("_first"))).otherwise(F.col("ship_end"))
+    spliced = {
+        "ship_end": F.when(later, F.coalesce(F.coalesce("_next", "_h_next")["ship_start"], F.lit(OPEN_END).cast("date")))
+        .when(early, closed).otherwise(F.col("ship_end")),
+        "load_order": F.when(later, number).when(early, F.col("load_order") - carried + total + 1).otherwise(F.col("load_order")),
+        "movement_status": F.when(later, status).otherwise(F.col("movement_status")),
+        "return_date": F.when(~later, F.col("return_date")).when(status == "RETURNED", F.col("ship_start")),
+    }
+    return rows.select(*[spliced.get(c, F.col(c)).alias(c) for c in history.columns])
 
 
 def ownership(equipment: DataFrame, products_: DataFrame, accounts: DataFrame, territory: DataFrame) -> DataFrame:
     """Latest shipment of each serial with product, both account roles and territory."""
     from usagelake.functions.columns import strip_zeros
-    from usagelake.session import small
 
     last = latest_by(
         equipment, ["serial"], [F.col("ship_start").desc(), F.col("ship_end").desc(), F.col("equipment_key").asc()]

@@ -265,7 +265,9 @@ def equipment_splice(t: Tables) -> DataFrame:
     """Changes of the last third of each month come late into a filled history, and then once more; many parts have no serial."""
     # A part has one row a day at most, so that none is too much for one task.
     moved = equipment_moves(t).where("l_partkey IS NOT NULL").withColumn("least", F.min("ship_to").over(Window.partitionBy("l_partkey")))
-    changes = settle(masters.clean_equipment(equipment_changes(moved, known=F.col("least") > 2)))
+    changes = masters.clean_equipment(equipment_changes(moved, known=F.col("least") > 2))
+    # Stored steps hide from Catalyst that nothing below reads the other columns.
+    changes = settle(changes.drop("material", "created_on", "status", "sold_to", "mfg_batch", "file_path"))
     empty = changes.limit(0).withColumns(
         {"ship_end": F.lit(None).cast("date"), "movement_status": F.lit(None).cast("string"), "return_date": F.lit(None).cast("date")}
     )

@@ -4,7 +4,7 @@ The similarity is the probability Jaccard of weighted word shingles (weight: how
 the chance that two exponential races over the shingles have one winner. With weights of 1 it is the plain Jaccard.
 
 Buckets of up to `SMALL` texts have all their pairs compared. Members of a larger bucket are compared with one centre,
-the member of most company in all its buckets; after the components of what that joins, with the next centre, taken from
+the member of most company in all its buckets; after the components of all that joins, with the next centre, taken from
 the classes that have none yet, and so on while a round joins anything. So the work is linear in the rows of buckets.
 Signatures are compared first, then texts are verified in full.
 

@@ -26,7 +26,7 @@ from usagelake.operators.groups import (
     number_in_group,
     with_neighbours,
 )
-from usagelake.session import settle
+from usagelake.session import BROADCAST_BYTES, fits, plan_bytes, settle, small
 
 Keys = Mapping[str, str] | Sequence[str]
 DEFAULT_BUCKET = "30 days"
@@ -85,36 +85,37 @@ def _running_hits(
     # On the time line a right row of the same instant comes first only if equality counts.
     left_side, right_side = (1, 0) if inclusive else (0, 1)
     keys = [f"{GROUP}{i}" for i in range(len(pairs))]
-    lost = reduce(or_, [F.col(c).isNull() for c in (*[k for k, _ in pairs], at)])
-    lhs = left.select(
-        "*",
-        *[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)],
-        F.col(at).alias("_t"),
-        F.lit(left_side).alias("_side"),
-        F.lit(True).alias("_isleft"),
-        # Rows that can match nothing are spread out instead of gathering under one null key.
-        F.when(lost, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(_NULL_SPREAD))).alias("_spread"),
-    )
     rhs = right.where(
         " AND ".join(f"`{k}` IS NOT NULL" for k in [*(r for _, r in pairs), since])
     ).select(
         *[F.col(k).alias(name) for name, (_, k) in zip(keys, pairs)],
         F.col(since).alias("_t"),
         F.lit(right_side).alias("_side"),
-        F.lit(False).alias("_isleft"),
         *[F.when(lane, candidate).alias(f"_best{i}") for i, lane in enumerate(lanes)],
     )
     n = range(len(lanes))
-    line = lhs.unionByName(rhs, allowMissingColumns=True)
-    slot = bucket_of(F.col("_t"), line.schema["_t"].dataType, bucket)
     pick = F.max if backward else F.min
+    alike = all(left.schema[l].dataType == rhs.schema[name].dataType for name, (l, _) in [*zip(keys, pairs), ("_t", (at, ""))])
+    steps = _few_steps(rhs, keys, len(lanes), backward) if alike else None
+    if steps is not None:
+        return _step_hits(left, steps, pairs, keys, at, len(lanes), backward, inclusive)
+    line, same = _time_line(left, rhs, pairs, keys, at, left_side)
+    places = (left if skeleton is None else skeleton).select(*[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)], F.col(at).alias("_t"))
+    hot = _hot_keys(places.unionByName(rhs.select(*keys, "_t")).where("_t IS NOT NULL"), keys)
+    by_time = [F.col("_t").asc() if backward else F.col("_t").desc(), F.col("_side")]
+    sofar = Window.unboundedPreceding, Window.currentRow
+    if hot is None:
+        in_key = Window.partitionBy(*keys, "_spread").orderBy(*by_time).rowsBetween(*sofar)
+        matched = line.withColumns({f"_run{i}": pick(f"_best{i}").over(in_key) for i in n}).where("_isleft")
+        hits = [F.when(F.col("_spread").isNull(), F.col(f"_run{i}")) for i in n]
+        return matched.select(*_restored(left, same), *[hit.alias(f"_hit{i}") for i, hit in enumerate(hits)])
+    slot = bucket_of(F.col("_t"), line.schema["_t"].dataType, bucket)
     # Edges: the best right row of each bucket, and a mark for each bucket of left rows, which takes the best one of the
-    # buckets before. This pass reads keys and times of the left rows only.
-    places = lhs if skeleton is None else skeleton.select(*[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)], F.col(at).alias("_t"))
-    bones = places.select(*keys, "_t").unionByName(rhs.select(*keys, "_t").limit(0)).where(" AND ".join(f"{c} IS NOT NULL" for c in (*keys, "_t")))
+    # buckets before. This pass reads keys and times of the left rows only, and rows of long keys alone.
+    bones = places.unionByName(rhs.select(*keys, "_t").limit(0)).where("_t IS NOT NULL").join(hot, keys, "left_semi")
     marks = bones.select(*keys, slot.alias(BUCKET)).distinct().withColumn("_mark", F.lit(0))
     bests = (
-        lhs.select(*keys, "_t").limit(0).unionByName(rhs, allowMissingColumns=True)
+        places.limit(0).unionByName(rhs.drop("_side"), allowMissingColumns=True).join(hot, keys, "left_semi")
         .groupBy(*keys, slot.alias(BUCKET))
         .agg(*[pick(f"_best{i}").alias(f"_edge{i}") for i in n])
         .withColumn("_mark", F.lit(1))
@@ -130,12 +131,9 @@ def _running_hits(
         .where("_mark = 0 AND (" + " OR ".join(f"_carry{i} IS NOT NULL" for i in n) + ")")
         .drop("_mark")
     )
-    line = line.withColumn(BUCKET, F.coalesce("_spread", slot))
-    in_bucket = (
-        Window.partitionBy(*keys, BUCKET)
-        .orderBy(F.col("_t").asc() if backward else F.col("_t").desc(), "_side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    line = line.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+    line = line.withColumn(BUCKET, F.coalesce("_spread", F.when(F.col("_hot"), slot), F.lit(0))).drop("_hot")
+    in_bucket = Window.partitionBy(*keys, BUCKET).orderBy(*by_time).rowsBetween(*sofar)
     matched = (
         line.withColumns({f"_run{i}": pick(f"_best{i}").over(in_bucket) for i in n})
         .where("_isleft")
@@ -143,7 +141,7 @@ def _running_hits(
         .withColumn("_keyless", F.col("_spread").isNotNull())
     )
     return matched.select(
-        *left.columns,
+        *_restored(left, same),
         *[
             F.when(~F.col("_keyless"), _better(F.col(f"_run{i}"), F.col(f"_carry{i}"), backward)).alias(f"_hit{i}")
             for i in n
@@ -151,6 +149,71 @@ def _running_hits(
     )
 
 
+def _time_line(left: DataFrame, rhs: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str], at: str, side: int,
+               ) -> tuple[DataFrame, dict[str, str]]:
+    """Both sides on one time line (`_t`, `_side`), and which left columns the line holds as its keys or time already."""
+    lost = reduce(or_, [F.col(c).isNull() for c in (*[k for k, _ in pairs], at)])
+    same = {l: name for name, (l, _) in [*zip(keys, pairs), ("_t", (at, ""))] if left.schema[l].dataType == rhs.schema[name].dataType}
+    lhs = left.select(
+        *[F.col(f"`{c}`") for c in left.columns if c not in same],
+        *[F.col(k).alias(name) for name, (k, _) in zip(keys, pairs)],
+        F.col(at).alias("_t"),
+        F.lit(side).alias("_side"),
+        F.lit(True).alias("_isleft"),
+        # Rows that can match nothing are spread out instead of gathering under one null key.
+        F.when(lost, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(_NULL_SPREAD))).alias("_spread"),
+    )
+    return lhs.unionByName(rhs.withColumn("_isleft", F.lit(False)), allowMissingColumns=True), same
+
+
+def _restored(left: DataFrame, same: Mapping[str, str]) -> list[Column]:
+    return [F.col(same[c]).alias(c) if c in same else F.col(f"`{c}`") for c in left.columns]
+
+
+#: Rows of a key, both sides together, up to which it is worked on as one bucket.
+HOT_ROWS = 4096
+
+
+def _hot_keys(places: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys of more than `HOT_ROWS` rows, stored, or None (as usual): only their rows need buckets and edges."""
+    known = places.where(" AND ".join(f"{c} IS NOT NULL" for c in keys))
+    hot = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(*keys)
+    return None if hot.isEmpty() else small(settle(hot))
+
+
+#: Changes of a key's best right row up to which a left row may look through them in memory.
+FEW_STEPS = 64
+
+
+def _few_steps(rhs: DataFrame, keys: Sequence[str], lanes: int, backward: bool) -> DataFrame | None:
+    """The best right row from each instant of a key to its next one, if all this is small enough for every task; else None.
+
+    Then left rows stay where they are. Each instant has one row, so a left row meets one step at most.
+    """
+    if plan_bytes(rhs) > BROADCAST_BYTES:
+        return None
+    pick = F.max if backward else F.min
+    instants = rhs.groupBy(*keys, "_t").agg(*[pick(f"_best{i}").alias(f"_best{i}") for i in range(lanes)])
+    line = Window.partitionBy(*keys).orderBy(F.col("_t").asc() if backward else F.col("_t").desc())
+    steps = instants.select(*keys, "_t", F.lead("_t").over(line).alias("_next"), F.row_number().over(line).alias("_nth"),
+                            *[pick(f"_best{i}").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_hit{i}") for i in range(lanes)])
+    steps = settle(steps)
+    most = steps.agg(F.max("_nth")).first()[0] or 0
+    return F.broadcast(steps.drop("_nth")) if most <= FEW_STEPS and fits(steps) else None
+
+
+def _step_hits(left: DataFrame, steps: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str], at: str, lanes: int,
+               backward: bool, inclusive: bool) -> DataFrame:
+    time, begin, end = F.col(f"`{at}`"), F.col("_t"), F.col("_next")
+    if backward:
+        held = (time >= begin) & (end.isNull() | (time < end)) if inclusive else (time > begin) & (end.isNull() | (time <= end))
+    else:
+        held = (time <= begin) & (end.isNull() | (time > end)) if inclusive else (time < begin) & (end.isNull() | (time >= end))
+    same = [F.col(f"`{l}`") == F.col(name) for name, (l, _) in zip(keys, pairs)]
+    return left.join(steps, reduce(and_, same, held), "left").select(
+        *[F.col(f"`{c}`") for c in left.columns], *[F.col(f"_hit{i}") for i in range(lanes)])
+
+
 def _better(one: Column, other: Column, greatest: bool) -> Column:
     wins = one >= other if greatest else one <= other
     return F.when(one.isNull(), other).when(other.isNull(), one).when(wins, one).otherwise(other)
@@ -314,26 +377,51 @@ def other_owner_join(
     mine, theirs = next(iter(owner.items())) if isinstance(owner, Mapping) else (owner, owner)
     keys = [f"_k{i}" for i in range(len(pairs))]
     known = " AND ".join(f"`{c}` IS NOT NULL" for c in [*(r for _, r in pairs), start, end, theirs])
+    # What the order holds already isn't carried twice.
+    held = {end: "_until", theirs: "_owner", **{c: f"_tie{i}" for i, c in enumerate(tie)}}
+    more = {target: source for target, source in take.items() if not isinstance(source, str) or source not in held}
     best = F.struct(
         (-F.unix_micros(F.col(end).cast("timestamp"))).alias("_late"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)],
-        F.col(theirs).alias("_owner"), F.col(end).alias("_until"), *[as_column(source).alias(target) for target, source in take.items()],
+        F.col(theirs).alias("_owner"), F.col(end).alias("_until"), *[as_column(source).alias(f"_take_{target}") for target, source in more.items()],
     )
-    rows = right.where(known).select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)], F.col(start).alias("_from"), best.alias("_c"))
-    line = Window.partitionBy(*keys).orderBy("_from", "_c")
-    sofar = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select("*", F.min("_c").over(sofar).alias("_one"), F.row_number().over(line).alias("_nth"))
-    rows = rows.withColumn("_former", F.lag("_one").over(line))
-    turned = F.coalesce(F.col("_former._owner") != F.col("_one._owner"), F.lit(False))
-    rows = rows.withColumns({"_turned": turned, "_stretch": F.sum(turned.cast("int")).over(sofar)})
-    inside = Window.partitionBy(*keys, "_stretch").orderBy("_from", "_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    other = F.least(F.when(F.col("_turned"), F.col("_former")), F.when(F.col("_c._owner") != F.col("_one._owner"), F.col("_c")))
-    # Stored, as the join reads the slots twice.
-    slots = settle(rows.select(*keys, "_from", "_nth", "_one", F.min(other).over(inside).alias("_two")))
-    hits = match_running(left, slots, dict(zip([l for l, _ in pairs], keys)), at=at, since="_from", best=["_from", "_nth"],
+    rows = right.where(known).select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)], F.col(start).alias("_t"), best.alias("_c"))
+    places = left.select(*[F.col(l).alias(k) for (l, _), k in zip(pairs, keys)], F.col(at).alias("_t"))
+    hot = _hot_keys(places.unionByName(rows.select(*keys, "_t")).where("_t IS NOT NULL"), keys)
+
+    def slots(line: DataFrame, within: Sequence[str], order: Sequence[str]) -> DataFrame:
+        ordered = Window.partitionBy(*within).orderBy(*order)
+        sofar = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        line = line.select("*", F.min("_c").over(sofar).alias("_one"), F.min("_c").over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("_former"))
+        turned = F.coalesce(F.col("_former._owner") != F.col("_one._owner"), F.lit(False))
+        line = line.withColumns({"_turned": turned, "_stretch": F.sum(turned.cast("int")).over(sofar)})
+        inside = Window.partitionBy(*within, "_stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        other = F.least(F.when(F.col("_turned"), F.col("_former")), F.when(F.col("_c._owner") != F.col("_one._owner"), F.col("_c")))
+        return line.withColumn("_two", F.min(other).over(inside))
+
+    def picked(hits: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
+        pick = F.when(F.col("_one._owner") != F.col(mine), F.col("_one")).when(F.col("_one._owner") == F.col(mine), F.col("_two"))
+        hits = hits.select(*columns, pick.alias("_pick")).withColumn("_open", F.col("_pick._until") >= F.col(at))
+        places = {target: f"_take_{target}" if target in more else held[source] for target, source in take.items()}
+        return hits.select(*left.columns, *[F.when(F.col("_open"), F.col("_pick")[place]).alias(target) for target, place in places.items()])
+
+    def on_line(some: DataFrame, theirs_: DataFrame) -> DataFrame:
+        # Left rows stand on the line themselves: they change no slot and read those of the row before.
+        line, same = _time_line(some, theirs_.withColumn("_side", F.lit(0)), pairs, keys, at, 1)
+        hits = slots(line, [*keys, "_spread"], ["_t", "_side", "_c"]).where("_isleft").withColumn("_one", F.when(F.col("_spread").isNull(), F.col("_one")))
+        restored = dict(zip(left.columns, _restored(left, same)))
+        return picked(hits.select(*restored.values(), "_one", "_two"), left.columns)
+
+    if hot is None:
+        return on_line(left, rows)
+    # Left rows of long keys are dealt by bucket; the slots are stored, as that reads them twice.
+    mark = [F.col(f"`{l}`") == F.col(k) for (l, _), k in zip(pairs, keys)]
+    long = left.join(hot, reduce(and_, mark), "left_semi")
+    held_long = rows.join(hot, keys, "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy("_t", "_c")))
+    stored = settle(slots(held_long, keys, ["_t", "_c"]).select(*keys, F.col("_t").alias("_from"), "_nth", "_one", "_two"))
+    hits = match_running(long, stored, dict(zip([l for l, _ in pairs], keys)), at=at, since="_from", best=["_from", "_nth"],
                          take={"_one": "_one", "_two": "_two"}, bucket=bucket)
-    picked = F.when(F.col("_one._owner") != F.col(mine), F.col("_one")).when(F.col("_one._owner") == F.col(mine), F.col("_two"))
-    hits = hits.withColumn("_pick", picked).withColumn("_open", F.col("_pick._until") >= F.col(at))
-    return hits.select(*left.columns, *[F.when(F.col("_open"), F.col("_pick")[c]).alias(c) for c in take])
+    others = on_line(left.join(hot, reduce(and_, mark), "left_anti"), rows.join(hot, keys, "left_anti"))
+    return others.unionByName(picked(hits, [*left.columns]))
 
 
 def range_join(

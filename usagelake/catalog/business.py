@@ -421,9 +421,11 @@ def cards_used_elsewhere(t: Tables) -> DataFrame:
         F.col("l_partkey").cast("string").alias("serial"), "ship_start", "ship_end", "ship_to", F.col("ship_to").alias("sold_to"),
         F.lit("SHIPPED").alias("transit_status"), F.lit("US").alias("country"),
     )
+    # Grouped by the number: a shuffled text would be wider.
     usage = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
-        F.col("l_partkey").cast("string").alias("card"), F.col("l_suppkey").alias("ship_to"), F.col("o_orderdate").cast("date").alias("cycle_date")
-    ).agg(F.count(F.lit(1)).alias("cycles")).withColumn("country", F.lit("US"))
+        "l_partkey", F.col("l_suppkey").alias("ship_to"), F.col("o_orderdate").cast("date").alias("cycle_date")
+    ).agg(F.count(F.lit(1)).alias("cycles")).select(
+        F.col("l_partkey").cast("string").alias("card"), "ship_to", "cycle_date", "cycles", F.lit("US").alias("country"))
     accounts = t.supplier.where("s_nationkey < 5").select(
         F.col("s_suppkey").alias("ship_to"), F.col("s_name").alias("account_uuid"), F.lit(date(1996, 1, 1)).alias("effective"), F.lit(date(1999, 12, 31)).alias("termination")
     )

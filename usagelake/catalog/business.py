@@ -103,7 +103,8 @@ def empty_state(t: Tables) -> B.State:
 
 
 def visits_of(t: Tables, ref: B.Reference, rule_type: str) -> DataFrame:
-    return B.with_flags(B.aggregate_visits(B.eligible_cycles(cycles(t), ref)), ref).where(F.col("rule_type") == rule_type)
+    # Stored, as the flags read the visits too: cycles would be joined and broadcast to twice.
+    return B.with_flags(settle(B.aggregate_visits(B.eligible_cycles(cycles(t), ref))), ref).where(F.col("rule_type") == rule_type)
 
 
 CYCLES_SQL = """

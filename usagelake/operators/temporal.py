@@ -197,9 +197,9 @@ def _few_steps(rhs: DataFrame, keys: Sequence[str], lanes: int, backward: bool)
     line = Window.partitionBy(*keys).orderBy(F.col("_t").asc() if backward else F.col("_t").desc())
     steps = instants.select(*keys, "_t", F.lead("_t").over(line).alias("_next"), F.row_number().over(line).alias("_nth"),
                             *[pick(f"_best{i}").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_hit{i}") for i in range(lanes)])
-    steps = settle(steps)
     most = steps.agg(F.max("_nth")).first()[0] or 0
-    return F.broadcast(steps.drop("_nth")) if most <= FEW_STEPS and fits(steps) else None
+    steps = steps.drop("_nth")
+    return F.broadcast(steps) if most <= FEW_STEPS and fits(steps) else None
 
 
 def _step_hits(left: DataFrame, steps: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str], at: str, lanes: int,
